@@ -1,0 +1 @@
+"""Empty on purpose: every job covered here is a single batch, so there is nothing to stream."""
