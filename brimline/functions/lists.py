@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 def split_names(text):
     """Trimmed, non-empty entries of a comma list, in order."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def lag_names(lists):

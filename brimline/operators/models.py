@@ -42,14 +42,17 @@ def _sample() -> Column:
 
 
 def _cell_weight(rows: DataFrame, halflife, keys) -> DataFrame:
-    """Weight of each row against the newest row of its cell, so no weight can overflow or all vanish."""
+    """Weight of each row against the newest row of its cell, so no weight can overflow or all vanish.
+
+    A NULL half-life means equal weights.
+    """
     newest = F.max("date").over(Window.partitionBy(*keys, "train_after"))
-    return rows.withColumn("_w", decay(F.datediff(newest, F.col("date")), halflife))
+    return rows.withColumn("_w", F.coalesce(decay(F.datediff(newest, F.col("date")), halflife), F.lit(1.0)))
 
 
 def _rescale(halflife) -> Column:
     """Turn weights against the newest row of a cell into weights against the newest row of the fold."""
-    return decay(F.datediff("latest", "last_day"), halflife)
+    return F.coalesce(decay(F.datediff("latest", "last_day"), halflife), F.lit(1.0))
 
 
 def _halflife(halflife) -> Column:
@@ -144,7 +147,7 @@ def _cuts(rows: DataFrame, keys) -> DataFrame:
 def _own(f, keys):
     hit = f["fold"] > F.col("train_after")
     for k in keys[1:]:
-        hit = hit & (f[k] == F.col(k))
+        hit = hit & f[k].eqNullSafe(F.col(k))
     return hit
 
 
@@ -180,7 +183,8 @@ def ridge_sums(rows: DataFrame, inputs, halflife=None, keys=KEYS) -> DataFrame:
     newest = F.max("last_day").over(Window.partitionBy(*keys, "train_after"))
     spread = cell.withColumn("_newest", newest).withColumn("_f", F.explode("_own"))
     in_fit = F.col("last_sample") <= F.col("_f.cut")
-    factor = F.lit(1.0) if halflife is None else decay(F.datediff("_f.latest", "_newest"), _halflife(halflife))
+    factor = F.lit(1.0) if halflife is None else F.coalesce(
+        decay(F.datediff("_f.latest", "_newest"), _halflife(halflife)), F.lit(1.0))
     names = [n for n, _ in weighted]
     prefix = "u_" if plain else "w_"
     k = len(every)
@@ -240,7 +244,7 @@ def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, s
     train = validation_tail(training_rows(rows, folds, keys))
     if halflife is not None:
         g = Window.partitionBy(*keys, "fold")
-        raw = decay(F.datediff("latest", "date"), _halflife(halflife))
+        raw = F.coalesce(decay(F.datediff("latest", "date"), _halflife(halflife)), F.lit(1.0))
         train = train.withColumn("_w", raw).withColumn("weight", F.col("_w") / F.avg("_w").over(g))
     test = rows.filter(F.col("test_fold").isNotNull() & has_sequence())
     usable = folds.select(*keys, F.col("fold").alias("test_fold"))

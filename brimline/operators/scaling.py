@@ -40,7 +40,7 @@ def with_packed(rows: DataFrame, table: DataFrame, columns, keys=KEYS, fold="tes
     def matches(m):
         hit = m["fold"] == F.col(fold)
         for k in keys[1:]:
-            hit = hit & (m[k] == F.col(k))
+            hit = hit & m[k].eqNullSafe(F.col(k))
         return hit
 
     return (

@@ -148,11 +148,16 @@ def training_rows(rows: DataFrame, folds: DataFrame, keys=KEYS) -> DataFrame:
     """Every (row, fold) the row trains. The result repeats rows by design; fits work on cells instead."""
     packed = folds.groupBy("entity").agg(F.collect_list(F.struct(*[
         F.col(k) for k in (*keys[1:], "fold", "train_samples", "latest")])).alias("_folds"))
-    fits = F.filter("_folds", lambda f: F.reduce(
-        F.array(*[f[k] == F.col(k) for k in keys[1:]]), F.col("train_after") < f["fold"], lambda a, b: a & b))
+
+    def trains(f):
+        hit = f["fold"] > F.col("train_after")
+        for k in keys[1:]:
+            hit = hit & f[k].eqNullSafe(F.col(k))
+        return hit
+
     return (
         rows.filter("train_after is not null").join(packed, "entity")
-        .withColumn("_f", F.explode(fits))
+        .withColumn("_f", F.explode(F.filter("_folds", trains)))
         .withColumns({c: F.col(f"_f.{c}") for c in ("fold", "train_samples", "latest")})
         .drop("_f", "_folds")
     )

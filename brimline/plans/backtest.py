@@ -12,6 +12,7 @@ RIDGE_LAST = (
     "month_sin", "month_cos",
 )
 RIDGE_MEANS = ("rain", "temp", "demand")
+RIDGE_INPUTS = (*RIDGE_LAST, *[f"{c}_mean" for c in RIDGE_MEANS])
 
 
 def roles(frame: DataFrame, strategies=STRATEGIES, split=SPLIT_DATE, months=FOLD_MONTHS,
