@@ -362,8 +362,8 @@ def slice_ols_report(spark, sf):
     return _round(out.select("entity", "train_rows", "test_rows", "rmse", "mae", "r2"), 4)
 
 
-def _ols(spark, sf, strategy, halflife=None):
-    rows = _roles(spark, sf, [strategy])
+def _ols(spark, sf, strategy, halflife=None, panel=P.flag_panel):
+    rows = _roles(spark, sf, [strategy], panel)
     fitted = models.fit_ols(rows, "lag_7", halflife)
     return rows, fitted, models.predict_ols(rows, fitted, "lag_7")
 
@@ -380,6 +380,15 @@ def metrics_walkforward(spark, sf):
     return _metrics(_ols(spark, sf, WALK_FORWARD, 365)[2])
 
 
+def metrics_nation_baseline(spark, sf):
+    """Many entities, some too short for every horizon."""
+    return _metrics(_ols(spark, sf, BASELINE, panel=P.nation_flag_panel)[2])
+
+
+def metrics_nation_walkforward(spark, sf):
+    return _metrics(_ols(spark, sf, WALK_FORWARD, 365, P.nation_flag_panel)[2])
+
+
 def summary_pivot(spark, sf):
     rows, _, predictions = _ols(spark, sf, BASELINE)
     return M.summary(M.metrics(predictions), splits.fold_table(rows))
@@ -427,6 +436,10 @@ def ridge_report(spark, sf):
     return _metrics(_ridge(spark, sf, P.flag_panel))
 
 
+def ridge_nation_report(spark, sf):
+    return _metrics(_ridge(spark, sf, P.nation_flag_panel))
+
+
 def gbt_report(spark, sf):
     rows = writers.materialize(_roles(spark, sf, [BASELINE]))
     inputs = [c for c in X.feature_columns(_frame(spark, sf))]
@@ -452,7 +465,7 @@ QUERIES = {f.__name__: f for f in (
     entity_subset, config_defaults, horizon_config, lag_columns, natural_start, date_bounds,
     baseline_split, folds, fold_rows, strategy_union, sample_weights, validation_tail,
     scale_bounds, scaled_features, sequences_baseline, sequences_walkforward,
-    metrics_baseline, metrics_walkforward, summary_pivot, missing_horizons, residual_report,
-    weighted_ols, ridge_statistics, ridge_report, gbt_report,
+    metrics_baseline, metrics_walkforward, metrics_nation_baseline, metrics_nation_walkforward, summary_pivot, missing_horizons, residual_report,
+    weighted_ols, ridge_statistics, ridge_report, ridge_nation_report, gbt_report,
     time_interpolate, test_fill,
 )}

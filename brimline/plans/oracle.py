@@ -103,6 +103,7 @@ frame as (select * from with_targets where {whole})"""
 
 
 FLAG_FRAME = FLAG + ", " + frame("flag_panel")
+NATION_FLAG = f"nation_flag_panel as ({_panel('concat(n_name, chr(45), l_returnflag)', NATION_JOIN)})"
 FRAME_COLUMNS = "entity, date, " + ", ".join(
     r(c, {"demand": 2, "rain_x_level": 4}.get(c, 6)) for c in [*RAW, "target_7", "target_14", "target_30"])
 
@@ -139,10 +140,11 @@ test as (select t.* from tagged t join fold_sizes f using (entity, strategy, hor
 
 
 FLAG_ROLES = FLAG_FRAME + roles("lag_7, rain_30d, temp_7d, demand")
+NATION_ROLES = NATION_FLAG + ", " + frame("nation_flag_panel") + roles("lag_7, rain_30d, temp_7d, demand")
 WEIGHT = "exp(-date_diff('day', date, latest) * ln(2) / 365.0)"
 
 
-def ols(strategy):
+def ols(strategy, source=FLAG_ROLES):
     """CTEs ending in `predictions` of the one-regressor model."""
     if strategy == "baseline":
         model = """models as (select entity, horizon, fold, coalesce(regr_slope(target, lag_7), 0) as slope,
@@ -158,7 +160,7 @@ models as (select entity, horizon, fold,
   any_value(my) - sum(w * (lag_7 - mx) * (target - my)) / nullif(sum(w * (lag_7 - mx) * (lag_7 - mx)), 0)
     * any_value(mx) as intercept
   from weighted join centres using (entity, horizon, fold) group by all)"""
-    return f"""{FLAG_ROLES}, {model},
+    return f"""{source}, {model},
 predictions as (select entity, strategy, 'ols' as model, horizon, date, target as y,
   least(greatest(intercept + slope * lag_7, 0), 100) as yhat
   from test join models using (entity, horizon, fold) where strategy = '{strategy}')"""
@@ -373,6 +375,9 @@ from tagged join b using (entity, strategy, horizon, fold) where role = 'test'""
     "sequences_walkforward": _sequences("walkfwd_expanding"),
     "metrics_baseline": f"with {ols('baseline')}, {METRICS} select {METRIC_COLUMNS} from errors",
     "metrics_walkforward": f"with {ols('walkfwd_expanding')}, {METRICS} select {METRIC_COLUMNS} from errors",
+    "metrics_nation_baseline": f"with {ols('baseline', NATION_ROLES)}, {METRICS} select {METRIC_COLUMNS} from errors",
+    "metrics_nation_walkforward":
+        f"with {ols('walkfwd_expanding', NATION_ROLES)}, {METRICS} select {METRIC_COLUMNS} from errors",
     "summary_pivot": _summary(),
     "missing_horizons": f"""with {SUPPLIER}, {frame('supplier_panel')}{roles('lag_7, rain_30d, temp_7d, demand')},
 expected as (select distinct entity, horizon from supplier_panel, (values (7), (14), (30)) t(horizon))
