@@ -1,29 +1,89 @@
-"""Small dense solves inside tasks: one k x k system per fitted model.
+"""Small dense algebra inside tasks: product sums of a batch of rows, and one k x k solve per fitted model.
 
-The functions travel to the workers by value, so executors need numpy but not this package.
+The functions travel to the workers by value, so executors need numpy and pandas but not this package.
 """
 
 import sys
 
 import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def pairs(k):
-    return [(i, j) for i in range(k) for j in range(i, k)]
+def product_sums(keys, columns, halflife):
+    """Map over batches: one row of product sums over (1, columns) for each cell a batch touches.
 
+    Weights count back from the newest day of the row set they are summed over, so they neither overflow nor
+    vanish together. `halflife` is a key column, a number, or None for equal weights.
+    """
+    cell = [*keys, "train_after", "part"]
 
-def _moments(sums, k):
-    """Count, means and centred product matrix from packed sums, for a stack of models."""
-    n = sums[:, 0]
-    safe = np.where(n > 0, n, 1.0)
-    mean = sums[:, 1:k + 1] / safe[:, None]
-    prod = np.zeros((len(sums), k, k))
-    for at, (i, j) in enumerate(pairs(k)):
-        prod[:, i, j] = prod[:, j, i] = sums[:, k + 1 + at]
-    return n, mean, prod / safe[:, None, None] - mean[:, :, None] * mean[:, None, :]
+    def sums(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            z = np.column_stack([np.ones(len(pdf)), pdf[list(columns)].to_numpy(float)])
+            day = pdf["day"].to_numpy()
+            sample = pdf["sample_no"].to_numpy()
+            out = []
+            for key, at in pdf.groupby(cell, dropna=False, sort=False).indices.items():
+                key = key if isinstance(key, tuple) else (key,)
+                block, newest = z[at], day[at].max()
+                use = at[sample[at] >= 1]
+                zs = z[use]
+                row = dict(zip(cell, key))
+                h = row[halflife] if isinstance(halflife, str) else halflife
+                if h is None or pd.isna(h):
+                    weighted = plain = zs.T @ zs
+                else:
+                    w = np.exp2((day[use] - newest) / float(h))
+                    weighted, plain = (zs * w[:, None]).T @ zs, zs.T @ zs
+                out.append({
+                    **row, "last_day": newest, "last_sample": sample[at].max(), "lo": block.min(0),
+                    "hi": block.max(0), "weighted": weighted.ravel(), "plain": plain.ravel()})
+            yield pd.DataFrame(out)
+
+    return sums
+
+
+def fold_sums(keys, halflife):
+    """Per key: add up the cells of every fold, before the validation cut weighted, after it plain."""
+
+    def combine(pdf):
+        first = pdf.iloc[0]
+        h = first[halflife] if isinstance(halflife, str) else halflife
+        weighted, plain = np.stack(pdf["weighted"]), np.stack(pdf["plain"])
+        lo, hi = np.stack(pdf["lo"]), np.stack(pdf["hi"])
+        after, last = pdf["train_after"].to_numpy(), pdf["last_sample"].to_numpy()
+        day = pdf["last_day"].to_numpy()
+        out = []
+        for fold, cut, latest, train_rows, test_rows in zip(
+                first["folds"], first["cuts"], first["latests"], first["trains"], first["tests"]):
+            own = after < fold
+            if not own.any():
+                continue
+            fit = own & (last <= cut)
+            val = own & (last > cut)
+            factor = 1.0 if h is None or pd.isna(h) else np.exp2((day[fit] - latest) / float(h))[:, None]
+            out.append({
+                **{k: first[k] for k in keys}, "fold": fold, "train_rows": train_rows, "test_rows": test_rows,
+                "lo": lo[own].min(0), "hi": hi[own].max(0),
+                "fit_sums": (weighted[fit] * factor).sum(0), "val_sums": plain[val].sum(0)})
+        return pd.DataFrame(out, columns=[
+            *keys, "fold", "train_rows", "test_rows", "lo", "hi", "fit_sums", "val_sums"])
+
+    return combine
+
+
+def _moments(flat, k):
+    """Count, means and centred products from stacked flat sums over (1, inputs, target)."""
+    sums = flat.reshape(-1, k + 1, k + 1)
+    n = sums[:, 0, 0]
+    mean_all = sums / np.where(n > 0, n, 1.0)[:, None, None]
+    mean = mean_all[:, 0, 1:]
+    return n, mean, mean_all[:, 1:, 1:] - mean[:, :, None] * mean[:, None, :]
 
 
 def ridge_solver(k_inputs, penalties):
@@ -34,7 +94,7 @@ def ridge_solver(k_inputs, penalties):
         for pdf in batches:
             if not len(pdf):
                 continue
-            lo, hi = np.stack(pdf["lo"]), np.stack(pdf["hi"])
+            lo, hi = np.stack(pdf["lo"])[:, 1:], np.stack(pdf["hi"])[:, 1:]
             span = np.where(hi > lo, hi - lo, 1.0)
             n, mean, cov = _moments(np.stack(pdf["fit_sums"]), k)
             m, vmean, vcov = _moments(np.stack(pdf["val_sums"]), k)

@@ -54,12 +54,15 @@ def missing_horizons(entities: DataFrame, produced: DataFrame, horizons=HORIZONS
 def summary(table: DataFrame, counts: DataFrame, horizons=HORIZONS) -> DataFrame:
     """One row per entity: three errors per horizon, training rows of the longest horizon, test rows.
 
-    Horizons without metrics leave NULLs.
+    With several folds the training rows are those of the last one and the test rows those of all. Horizons
+    without metrics leave NULLs.
     """
     keys = ["entity", "strategy", "model"]
     wide = table.groupBy(*keys).pivot("horizon", list(horizons)).agg(
         F.first("rmse").alias("rmse"), F.first("mae").alias("mae"), F.first("r2").alias("r2"))
-    sizes = counts.groupBy("entity", "strategy").agg(
+    sizes = counts.groupBy("entity", "strategy", "horizon").agg(
+        F.max("train_rows").alias("train_rows"), F.sum("test_rows").alias("test_rows"),
+    ).groupBy("entity", "strategy").agg(
         F.max(F.when(F.col("horizon") == max(horizons), F.col("train_rows"))).alias("train_rows"),
         F.max("test_rows").alias("test_rows"))
     return wide.join(sizes, ["entity", "strategy"], "left").select(

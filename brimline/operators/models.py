@@ -11,7 +11,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from brimline.functions.numeric import decay
-from brimline.functions.solve import pairs, ridge_solver
+from brimline.functions.solve import fold_sums, product_sums, ridge_solver
 from brimline.operators.features import by_date
 from brimline.operators.scaling import with_packed
 from brimline.operators.splits import (
@@ -128,22 +128,6 @@ def pick_means(rows: DataFrame, columns, seq_lens) -> DataFrame:
     return rows.withColumns(picked).drop(*[f"{c}_mean_{n}" for c in columns for n in lengths])
 
 
-def _products(inputs, w) -> list[tuple[str, Column]]:
-    cols = [F.col(c) for c in inputs] + [F.col("target")]
-    k = len(cols)
-    out = [("n", F.sum(w))]
-    out += [(f"s{i}", F.sum(w * cols[i])) for i in range(k)]
-    out += [(f"p{i}_{j}", F.sum(w * cols[i] * cols[j])) for i, j in pairs(k)]
-    return out
-
-
-def _cuts(rows: DataFrame, keys) -> DataFrame:
-    """Validation cut of every usable fold, one packed row per entity."""
-    folds = fold_table(rows, keys).filter((F.col("test_rows") > 0) & enough_train())
-    return folds.groupBy("entity").agg(F.collect_list(F.struct(
-        *keys[1:], "fold", "latest", "train_rows", "test_rows", validation_cut().alias("cut"))).alias("_folds"))
-
-
 def _own(f, keys):
     hit = f["fold"] > F.col("train_after")
     for k in keys[1:]:
@@ -152,53 +136,42 @@ def _own(f, keys):
 
 
 def ridge_sums(rows: DataFrame, inputs, halflife=None, keys=KEYS) -> DataFrame:
-    """Sums of products of all inputs and the target per fold: `fit_*` before the validation cut, `val_*` after.
+    """Sums of products of (1, inputs, target) per fold: `fit_sums` before the validation cut, `val_sums` after.
 
-    Rows are first labelled with the number of cuts below them, so each cell lies on one side of every cut and
-    one aggregate over the rows serves all folds.
+    Rows are first labelled with the number of cuts below them, so each cell lies on one side of every cut and one
+    pass over the rows serves all folds. Tasks reduce each batch of rows to one matrix per cell; only matrices are
+    shuffled, and a key holds a few of them. Matrices come back flat, with the training bounds of every element in
+    `lo` and `hi`.
     """
-    sample_no = F.col("row_no") - F.col("seq_len") + 1
-    train = (
-        rows.filter("train_after is not null").join(_cuts(rows, keys), "entity")
-        .withColumn("sample_no", sample_no)
-        .withColumn("_own", F.filter("_folds", lambda f: _own(f, keys)))
-        .withColumn("part", F.size(F.filter("_own", lambda f: f["cut"] < F.col("sample_no"))))
-    )
-    if halflife is None:
-        train = train.withColumn("_w", F.lit(1.0))
-    else:
-        train = _cell_weight(train, _halflife(halflife), keys)
-    sample = F.col("sample_no") >= 1
-    weighted = _products(inputs, F.when(sample, F.col("_w")))
-    plain = _products(inputs, F.when(sample, F.lit(1.0))) if halflife is not None else []
+    folds = fold_table(rows, keys).filter((F.col("test_rows") > 0) & enough_train())
+    cuts = folds.withColumn("cut", validation_cut())
+    packed = cuts.groupBy("entity").agg(F.collect_list(F.struct(*keys[1:], "fold", "cut")).alias("_folds"))
     every = [*inputs, "target"]
-    cell = train.groupBy(*keys, "train_after", "part").agg(
-        F.max("date").alias("last_day"), F.max("sample_no").alias("last_sample"),
-        F.first("_own").alias("_own"),
-        *[F.min(c).alias(f"lo{i}") for i, c in enumerate(every)],
-        *[F.max(c).alias(f"hi{i}") for i, c in enumerate(every)],
-        *[c.alias(f"w_{n}") for n, c in weighted],
-        *[c.alias(f"u_{n}") for n, c in plain],
-    )
-    newest = F.max("last_day").over(Window.partitionBy(*keys, "train_after"))
-    spread = cell.withColumn("_newest", newest).withColumn("_f", F.explode("_own"))
-    in_fit = F.col("last_sample") <= F.col("_f.cut")
-    factor = F.lit(1.0) if halflife is None else F.coalesce(
-        decay(F.datediff("_f.latest", "_newest"), _halflife(halflife)), F.lit(1.0))
-    names = [n for n, _ in weighted]
-    prefix = "u_" if plain else "w_"
-    k = len(every)
-    return spread.groupBy(*keys, F.col("_f.fold").alias("fold")).agg(
-        F.first("_f.train_rows").alias("train_rows"), F.first("_f.test_rows").alias("test_rows"),
-        F.sum(F.col("w_n") * factor).alias("w_all"),
-        F.sum(F.col(f"{prefix}n")).cast("bigint").alias("n_all"),
-        F.array(*[F.min(f"lo{i}") for i in range(k)]).alias("lo"),
-        F.array(*[F.max(f"hi{i}") for i in range(k)]).alias("hi"),
-        F.array(*[F.coalesce(F.sum(F.when(in_fit, F.col(f"w_{n}") * factor)), F.lit(0.0)) for n in names]
-                ).alias("fit_sums"),
-        F.array(*[F.coalesce(F.sum(F.when(~in_fit, F.col(f"{prefix}{n}"))), F.lit(0.0)) for n in names]
-                ).alias("val_sums"),
+    below = F.filter("_folds", lambda f: _own(f, keys) & (f["cut"] < F.col("sample_no")))
+    train = (
+        rows.filter("train_after is not null").join(packed, "entity")
+        .withColumn("sample_no", F.col("row_no") - F.col("seq_len") + 1)
+        .withColumn("part", F.size(below))
+        .select(*keys, "train_after", "part", F.unix_date("date").alias("day"), "sample_no", *every)
     )
+    numbers = T.ArrayType(T.DoubleType())
+    cell_schema = T.StructType([
+        *train.select(*keys, "train_after", "part").schema, T.StructField("last_day", T.IntegerType()),
+        T.StructField("last_sample", T.IntegerType()),
+        *[T.StructField(n, numbers) for n in ("lo", "hi", "weighted", "plain")],
+    ])
+    cell = train.mapInPandas(product_sums(keys, every, halflife), cell_schema)
+    by_key = [k for k in keys if k in ("entity", "strategy", "horizon")]
+    listed = cuts.groupBy(*by_key).agg(F.collect_list(F.struct(
+        "fold", "cut", F.unix_date("latest").alias("latest"), "train_rows", "test_rows")).alias("_f"))
+    named = {"folds": "fold", "cuts": "cut", "latests": "latest", "trains": "train_rows", "tests": "test_rows"}
+    listed = listed.select(*by_key, *[F.col(f"_f.{c}").alias(n) for n, c in named.items()])
+    sums_schema = T.StructType([
+        *train.select(*keys).schema, T.StructField("fold", T.IntegerType()),
+        T.StructField("train_rows", T.LongType()), T.StructField("test_rows", T.LongType()),
+        *[T.StructField(n, numbers) for n in ("lo", "hi", "fit_sums", "val_sums")],
+    ])
+    return cell.join(listed, by_key).groupBy(*keys).applyInPandas(fold_sums(keys, halflife), sums_schema)
 
 
 def fit_ridge(rows: DataFrame, inputs, halflife=None, penalties=PENALTIES, keys=KEYS) -> DataFrame:
@@ -247,8 +220,7 @@ def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, s
         raw = F.coalesce(decay(F.datediff("latest", "date"), _halflife(halflife)), F.lit(1.0))
         train = train.withColumn("_w", raw).withColumn("weight", F.col("_w") / F.avg("_w").over(g))
     test = rows.filter(F.col("test_fold").isNotNull() & has_sequence())
-    usable = folds.select(*keys, F.col("fold").alias("test_fold"))
-    test = test.join(usable, [*keys, "test_fold"], "left_semi")
+    test = with_packed(test, folds, ["train_rows"], keys)
     trees = GBTRegressor(
         featuresCol="features", labelCol="target", predictionCol="yhat", seed=seed,
         validationIndicatorCol="is_val", **{"maxIter": 20, "maxDepth": 4, **params})

@@ -49,6 +49,8 @@ def by_horizon(frame: DataFrame, horizons=HORIZONS, seq_lens=DEFAULT_SEQ_LENS) -
 
 def with_strategies(frame: DataFrame, strategies=STRATEGIES) -> DataFrame:
     """Run every row under each of the named strategies."""
+    if len(strategies) == 1:
+        return frame.withColumn("strategy", F.lit(strategies[0]))
     return frame.withColumn("strategy", F.explode(F.array(*[F.lit(s) for s in strategies])))
 
 

@@ -1,6 +1,6 @@
 """Station weather: features once per station, then joined to the entities that use the station."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from brimline.operators.cleaning import flag_and_fill
 from brimline.operators.features import by_date, forward_fill, rain_sums, temp_mean, unique_dates
@@ -10,7 +10,7 @@ DERIVED = (*[f"rain_{k}d" for k in RAIN_DAYS], f"temp_{TEMP_DAYS}d")
 
 
 def station_frame(weather: DataFrame) -> DataFrame:
-    """Rain sums and mean temperature per station, whatever the number of entities that share it."""
+    """Rain sums and mean temperature per station, computed once however many entities share it."""
     df = unique_dates(weather, "prcp", ("station",))
     df = flag_and_fill(df, [m for m in FLAGGED_MEASURES if m in weather.columns])
     df = rain_sums(df, "prcp", keys=("station",))
@@ -41,20 +41,32 @@ def station_features(levels: DataFrame, stations: DataFrame, config: DataFrame,
     return filled.select("entity", "position", "station", "date", *DERIVED, "rain_x_level")
 
 
-def by_position(joined: DataFrame, columns, positions: int) -> DataFrame:
-    """Station columns side by side, `{column}_s{position}`; a place without a station holds 0.
+def empty_as_zero(stations: DataFrame, columns) -> DataFrame:
+    """A measure a station never reports becomes a constant, as if its column were not there."""
+    whole = by_date("station").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return stations.withColumns({
+        c: F.when(F.count(c).over(whole) == 0, F.lit(0.0)).otherwise(F.col(c)) for c in columns})
 
-    An entity with more stations than places fails the job; nothing is cut off.
+
+def _place(limit: int, what: str):
+    return F.when(F.col("position") < limit, F.col("position")).otherwise(
+        F.raise_error(F.lit(f"an entity has more than {limit} {what}")).cast("int"))
+
+
+def side_by_side(long: DataFrame, columns, places: int, suffix: str, what: str) -> DataFrame:
+    """Columns of numbered rows next to each other, `{column}_{suffix}{position}`, one row per (entity, date).
+
+    More rows than places fail the job; nothing is cut off.
     """
-    number = F.when(F.col("position") < positions, F.col("position")).otherwise(
-        F.raise_error(F.lit(f"an entity has more than {positions} stations")).cast("int"))
-    wide = (
-        joined.withColumn("position", number).groupBy("entity", "date")
-        .pivot("position", list(range(positions)))
-        .agg(*[F.first(c).alias(c) for c in columns], F.count(F.lit(1)).alias("_n"))
+    return (
+        long.withColumn("position", _place(places, what)).groupBy("entity", "date").agg(*[
+            F.max(F.when(F.col("position") == i, F.col(c))).alias(f"{c}_{suffix}{i}")
+            for i in range(places) for c in columns])
     )
-    out = ["entity", "date"]
-    for i in range(positions):
-        used = F.col(f"{i}__n").isNotNull()
-        out += [F.when(used, F.col(f"{i}_{c}")).otherwise(0.0).alias(f"{c}_s{i}") for c in columns]
-    return wide.select(*out)
+
+
+def entity_production(production: DataFrame, config: DataFrame, places: int) -> DataFrame:
+    """Configured production series of each entity, `prod_p{position}`; absent series stay out."""
+    wanted = config.select("entity", F.posexplode("prod_cols").alias("position", "series"))
+    long = wanted.join(production, "series").withColumnRenamed("value", "prod")
+    return side_by_side(long, ["prod"], places, "p", "production series")

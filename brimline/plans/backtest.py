@@ -1,11 +1,16 @@
-"""From a panel to predictions and reports, for all entities in one plan."""
+"""From daily tables to predictions and reports, for all entities in one plan."""
 
-from pyspark.sql import DataFrame, functions as F
+from typing import NamedTuple
 
-from brimline.operators import features as X, metrics as M, models, splits
+from pyspark.sql import DataFrame, Window, functions as F
+
+from brimline.operators import (
+    cleaning, features as X, metrics as M, models, selection, splits, stations as S,
+)
 from brimline.settings import (
-    DEFAULT_HALFLIVES, DEFAULT_LAGS, DEFAULT_SEQ_LENS, FOLD_MONTHS, HORIZONS, SPLIT_DATE, STRATEGIES,
+    DEFAULT_LAGS, DEFAULT_SEQ_LENS, FOLD_MONTHS, HORIZONS, SPLIT_DATE, STRATEGIES, WEATHER_MEASURES,
 )
+from brimline.sources.writers import materialize
 
 RIDGE_LAST = (
     "lag_7", "delta_1", "rolling_mean_30", "rolling_std_30", "trend_direction", "rain_30d", "temp_7d",
@@ -13,13 +18,108 @@ RIDGE_LAST = (
 )
 RIDGE_MEANS = ("rain", "temp", "demand")
 RIDGE_INPUTS = (*RIDGE_LAST, *[f"{c}_mean" for c in RIDGE_MEANS])
+SETTINGS = ("model", "strategy", "seq_lens", "halflife")
+
+
+class Report(NamedTuple):
+    predictions: DataFrame
+    metrics: DataFrame
+    summary: DataFrame
+    residuals: DataFrame
+    missing: DataFrame
 
 
 def roles(frame: DataFrame, strategies=STRATEGIES, split=SPLIT_DATE, months=FOLD_MONTHS,
           horizons=HORIZONS, seq_lens=DEFAULT_SEQ_LENS, embargo=False) -> DataFrame:
     """Complete feature rows, once per strategy and horizon, with their train and test roles."""
-    numbered = splits.number_rows(frame, split)
+    numbered = frame if "row_no" in frame.columns else splits.number_rows(frame, split)
     rows = splits.by_horizon(numbered, horizons, seq_lens)
     if strategies is not None:
         rows = splits.with_strategies(rows, strategies)
     return splits.with_roles(rows, split, months, embargo)
+
+
+def entity_frame(levels, weather, production, config, places=5, production_places=1,
+                 lag_rows=DEFAULT_LAGS, horizons=HORIZONS) -> DataFrame:
+    """Complete feature rows of every entity, with the stations and production series its settings name.
+
+    Columns carry the position of the station or series in the settings, so entities with different stations
+    share one table; places an entity does not use hold 0.
+    """
+    station_columns = (*WEATHER_MEASURES, *S.DERIVED)
+    around = S.empty_as_zero(S.station_frame(weather), station_columns)
+    own = config.select("entity", "lag_days", F.size("weather_stations").alias("_stations"))
+    base = cleaning.cap_level(X.unique_dates(levels)).join(own, "entity")
+    nearby = S.side_by_side(
+        S.join_stations(base.select("entity", "date"), around, config), station_columns, places, "s", "stations")
+    made = S.entity_production(production, config, production_places)
+    df = base.join(nearby, ["entity", "date"], "left").join(made, ["entity", "date"], "left")
+
+    prod = [f"prod_p{i}" for i in range(production_places)]
+    df = X.shift_one(df, prod)
+    df = X.settings_lags(df, lag_rows)
+    df = X.rolling_std(X.rolling_means(df))
+    used = {f"{c}_s{i}": F.when(F.col("_stations") > i, F.col(f"{c}_s{i}")).otherwise(0.0)
+            for i in range(places) for c in station_columns}
+    used |= {f"rain_x_level_s{i}": F.when(F.col("_stations") > i, F.col(f"prcp_s{i}") * F.col("base_level")).otherwise(0.0)
+             for i in range(places)}
+    df = df.withColumns(used).drop("_stations", "lag_days", "base_level")
+    df = X.forward_fill(df, [c for c in df.columns if c not in ("entity", "date")])
+    whole = X.by_date().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    df = df.withColumns({c: F.when(F.count(c).over(whole) == 0, 0.0).otherwise(F.col(c)) for c in prod})
+    return X.complete_rows(X.add_seasonal(X.targets(df, horizons)), horizons)
+
+
+def sequence_lengths(config: DataFrame) -> list[int]:
+    """Distinct sequence lengths in the settings: a handful of small integers."""
+    found = selection.with_defaults(config).select(F.explode("seq_lens").alias("n")).distinct().collect()
+    return sorted(r["n"] for r in found if r["n"] is not None)
+
+
+def lag_rows(config: DataFrame) -> list[int]:
+    found = selection.with_defaults(config).select(F.explode("lag_days").alias("n")).distinct().collect()
+    return sorted(r["n"] for r in found if r["n"] is not None)
+
+
+def default_means(frame: DataFrame) -> list[str]:
+    """Columns whose mean over the sequence joins the inputs: base lag, rain, temperature, production."""
+    lags = sorted((c for c in frame.columns if c.startswith("lag_")), key=lambda c: int(c[4:]))
+    return lags[:1] + [c for c in frame.columns if c.startswith(("rain_7d_s", "temp_7d_s", "prod_p"))]
+
+
+def run(levels, weather, production, config, *, places=5, production_places=1, horizons=HORIZONS,
+        split=SPLIT_DATE, months=FOLD_MONTHS, start_year=None, ends=None, default_end=None, embargo=False,
+        tree_params=None) -> Report:
+    """The whole job. Settings decide per entity on stations, lags, model, sequence lengths and strategy.
+
+    `config` takes the raw settings rows; pass an override by changing its rows. The feature table is written once
+    to the shared folder and read by every fit and score.
+    """
+    config = selection.with_defaults(config)
+    lengths = sequence_lengths(config)
+    frame = entity_frame(levels, weather, production, config, places, production_places, lag_rows(config), horizons)
+    bounds_args = {} if default_end is None else {"default_end": default_end}
+    frame = selection.limit_dates(frame, selection.date_bounds(cleaning.cap_level(levels), start_year, ends, **bounds_args))
+    last = X.feature_columns(frame, horizons)
+    means = default_means(frame)
+    frame = models.add_means(splits.number_rows(frame, split), means, lengths)
+    settings = config.select(
+        "entity", models.model_column().alias("model"), "strategy", "seq_lens",
+        F.when(F.col("strategy") == splits.WALK_FORWARD, F.get("halflives", F.lit(0))).alias("halflife"))
+    frame = materialize(frame.join(settings, "entity"))
+
+    rows = models.pick_means(roles(frame, None, split, months, horizons, "seq_lens", embargo), means, lengths)
+    inputs = [*last, *[f"{c}_mean" for c in means]]
+    keys = (*splits.KEYS, "halflife")
+    of = {m: rows.filter(F.col("model") == m) for m in ("ols", "ridge", "gbt")}
+    base = next(c for c in last if c.startswith("lag_"))
+    predictions = (
+        models.predict_ols(of["ols"], models.fit_ols(of["ols"], base, "halflife", keys), base, keys)
+        .unionByName(models.predict_ridge(of["ridge"], models.fit_ridge(of["ridge"], inputs, "halflife", keys=keys), inputs, keys))
+        .unionByName(models.fit_predict_gbt(of["gbt"], inputs, "halflife", keys=keys, **(tree_params or {})))
+    )
+    predictions = materialize(M.bounded(predictions))
+    errors = M.metrics(predictions)
+    return Report(
+        predictions, errors, M.summary(errors, splits.fold_table(rows, keys), horizons), M.residuals(predictions),
+        M.missing_horizons(config.select("entity"), errors.select("entity", "horizon"), horizons))

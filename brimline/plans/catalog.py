@@ -7,7 +7,7 @@ from brimline.operators import (
     cleaning, features as X, metrics as M, models, scaling, selection, sequences, splits, stations, weights,
 )
 from brimline.plans import backtest
-from brimline.settings import DEFAULT_SEQ_LENS, HORIZONS, LEVEL_SUFFIX
+from brimline.settings import DEFAULT_SEQ_LENS, HORIZONS, LEVEL_SUFFIX, WEATHER_MEASURES
 from brimline.sources import panels as P, readers, reshape, writers
 
 SPLIT = "2000-01-01"
@@ -178,6 +178,11 @@ def _frame(spark, sf, panel=P.flag_panel):
     return X.feature_frame(panel(spark, sf))
 
 
+def _stored(spark, sf, panel):
+    """Numbered feature table, written once: fits and scores read it several times, a few columns each."""
+    return writers.materialize(splits.number_rows(_frame(spark, sf, panel), SPLIT))
+
+
 def feature_frame(spark, sf):
     return _round(_frame(spark, sf))
 
@@ -363,7 +368,7 @@ def slice_ols_report(spark, sf):
 
 
 def _ols(spark, sf, strategy, halflife=None, panel=P.flag_panel):
-    rows = _roles(spark, sf, [strategy], panel)
+    rows = _roles(spark, sf, [strategy], frame=_stored(spark, sf, panel))
     fitted = models.fit_ols(rows, "lag_7", halflife)
     return rows, fitted, models.predict_ols(rows, fitted, "lag_7")
 
@@ -414,17 +419,19 @@ def weighted_ols(spark, sf):
 def ridge_statistics(spark, sf):
     """Mean products of the weighted fit part and the plain validation part of every walk-forward fold."""
     sums = models.ridge_sums(_roles(spark, sf, [WALK_FORWARD]), GRAM_COLUMNS, 365)
-    names = ["n", *[f"s_{c}" for c in (*GRAM_COLUMNS, "target")]]
     every = (*GRAM_COLUMNS, "target")
-    names += [f"p_{every[i]}_{every[j]}" for i in range(len(every)) for j in range(i, len(every))]
-    terms = [F.struct(F.lit(n).alias("term"), (F.col("fit_sums")[i] / F.col("fit_sums")[0]).alias("fit_mean"),
-                      (F.col("val_sums")[i] / F.col("val_sums")[0]).alias("val_mean"))
-             for i, n in enumerate(names) if i]
+    width = len(every) + 1
+    places = [(f"s_{c}", j + 1) for j, c in enumerate(every)]
+    places += [(f"p_{every[i]}_{every[j]}", (i + 1) * width + j + 1)
+               for i in range(len(every)) for j in range(i, len(every))]
+    terms = [F.struct(F.lit(n).alias("term"), (F.col("fit_sums")[at] / F.col("fit_sums")[0]).alias("fit_mean"),
+                      (F.col("val_sums")[at] / F.col("val_sums")[0]).alias("val_mean")) for n, at in places]
     return _round(sums.select("entity", "horizon", "fold", F.inline(F.array(*terms))), 3)
 
 
 def _ridge(spark, sf, panel):
-    frame = models.add_means(_frame(spark, sf, panel), backtest.RIDGE_MEANS, DEFAULT_SEQ_LENS)
+    frame = models.add_means(splits.number_rows(_frame(spark, sf, panel), SPLIT), backtest.RIDGE_MEANS, DEFAULT_SEQ_LENS)
+    frame = writers.materialize(frame)
     rows = models.pick_means(_roles(spark, sf, splits.STRATEGIES, frame=frame), backtest.RIDGE_MEANS, DEFAULT_SEQ_LENS)
     rows = rows.withColumn("halflife", F.when(F.col("strategy") == WALK_FORWARD, F.lit(365)))
     keys = (*splits.KEYS, "halflife")
@@ -446,6 +453,19 @@ def gbt_report(spark, sf):
     return _metrics(models.fit_predict_gbt(rows, inputs, maxIter=10, maxDepth=3))
 
 
+def config_report(spark, sf):
+    """The whole job on the region panel, each region with its own stations, lags, model and strategy."""
+    panel = P.region_panel(spark, sf)
+    weather = P.station_panel(spark, sf).select(
+        "station", "date", *[(F.col(m) if m in ("prcp", "tavg", "tmax", "tmin") else F.lit(None).cast("double")).alias(m)
+                             for m in WEATHER_MEASURES])
+    demand = panel.groupBy("date").agg(F.sum("demand").alias("value")).withColumn("series", F.lit("demand"))
+    report = backtest.run(
+        panel.select("entity", "date", "level"), weather, demand, P.region_config(spark, sf), places=8,
+        production_places=2, split=SPLIT, default_end="2001-12-31", tree_params={"maxIter": 5, "maxDepth": 3})
+    return M.report_names(report.summary)
+
+
 def time_interpolate(spark, sf):
     return _round(splits.time_interpolate(_clean_dirty(spark, sf).select("entity", "date", "level")))
 
@@ -466,6 +486,6 @@ QUERIES = {f.__name__: f for f in (
     baseline_split, folds, fold_rows, strategy_union, sample_weights, validation_tail,
     scale_bounds, scaled_features, sequences_baseline, sequences_walkforward,
     metrics_baseline, metrics_walkforward, metrics_nation_baseline, metrics_nation_walkforward, summary_pivot, missing_horizons, residual_report,
-    weighted_ols, ridge_statistics, ridge_report, ridge_nation_report, gbt_report,
+    weighted_ols, ridge_statistics, ridge_report, ridge_nation_report, gbt_report, config_report,
     time_interpolate, test_fill,
 )}
