@@ -41,18 +41,29 @@ def _sample() -> Column:
     return F.col("row_no") >= F.col("seq_len")
 
 
-def _cell_weight(rows: DataFrame, halflife, keys) -> DataFrame:
-    """Weight of each row against the newest row of its cell, so no weight can overflow or all vanish.
+def _block_days(halflife) -> Column:
+    return F.ceil(halflife * 4)
 
-    A NULL half-life means equal weights.
+
+def _block_weight(rows: DataFrame, halflife) -> DataFrame:
+    """Weight of each row against the end of a calendar block of four half-lives, and the number of the block.
+
+    Within a block weights stay above 1/16, so no sum can overflow or vanish, and no pass is needed to find the
+    newest row first. A NULL half-life means equal weights.
     """
-    newest = F.max("date").over(Window.partitionBy(*keys, "train_after"))
-    return rows.withColumn("_w", F.coalesce(decay(F.datediff(newest, F.col("date")), halflife), F.lit(1.0)))
+    day = F.unix_date("date")
+    block = F.floor(day / _block_days(halflife))
+    end = (block + 1) * _block_days(halflife)
+    return rows.withColumns({
+        "_block": F.coalesce(block, F.lit(0)).cast("long"),
+        "_w": F.coalesce(decay(end - day, halflife), F.lit(1.0)),
+    })
 
 
 def _rescale(halflife) -> Column:
-    """Turn weights against the newest row of a cell into weights against the newest row of the fold."""
-    return F.coalesce(decay(F.datediff("latest", "last_day"), halflife), F.lit(1.0))
+    """Turn weights against the end of a block into weights against the newest row of the fold."""
+    end = (F.col("_block") + 1) * _block_days(halflife)
+    return F.coalesce(decay(F.unix_date("latest") - end, halflife), F.lit(1.0))
 
 
 def _halflife(halflife) -> Column:
@@ -66,16 +77,16 @@ def fit_ols(rows: DataFrame, x: str, halflife=None, keys=KEYS) -> DataFrame:
     """Slope and intercept of target on x for every fold, weighted when a half-life is given."""
     train = rows.withColumn("_x", F.col(x))
     if halflife is None:
-        train = train.withColumn("_w", F.lit(1.0))
+        train = train.withColumns({"_w": F.lit(1.0), "_block": F.lit(0)})
     else:
         halflife = _halflife(halflife)
-        train = _cell_weight(train, halflife, keys)
+        train = _block_weight(train, halflife)
     w = F.when(_sample() & F.col("train_after").isNotNull(), F.col("_w"))
     sums = {
         "s_w": F.sum(w), "s_x": F.sum(w * F.col("_x")), "s_y": F.sum(w * F.col("target")),
         "s_xx": F.sum(w * F.col("_x") * F.col("_x")), "s_xy": F.sum(w * F.col("_x") * F.col("target")),
     }
-    spread = spread_folds(cells(train, sums, keys), keys)
+    spread = spread_folds(cells(train, sums, keys, ("_block",)), keys)
     factor = F.lit(1.0) if halflife is None else _rescale(halflife)
     folds = spread.groupBy(*keys, "fold").agg(
         *fold_counts(),

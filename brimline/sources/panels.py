@@ -12,10 +12,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _panel(rows: DataFrame, entity) -> DataFrame:
+def _panel(rows: DataFrame, *keys) -> DataFrame:
     filled = F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).otherwise(0.0)
     return (
-        rows.groupBy(entity.alias("entity"), F.col("l_shipdate").cast("date").alias("date"))
+        rows.groupBy(*keys, F.col("l_shipdate").cast("date").alias("date"))
         .agg(
             (F.lit(100.0) * F.sum(filled) / F.sum("l_quantity")).alias("level"),
             F.sum("l_quantity").alias("rain"),
@@ -25,39 +25,45 @@ def _panel(rows: DataFrame, entity) -> DataFrame:
     )
 
 
+def _named(panel: DataFrame, entity) -> DataFrame:
+    return panel.select(entity.alias("entity"), "date", "level", "rain", "temp", "demand")
+
+
 def flag_panel(spark, sf_dir):
     """Few entities with a dense history."""
-    return _panel(table(spark, sf_dir, "lineitem"), F.col("l_returnflag"))
+    return _named(_panel(table(spark, sf_dir, "lineitem"), "l_returnflag"), F.col("l_returnflag"))
 
 
 def supplier_panel(spark, sf_dir):
     """Many entities with calendar gaps."""
-    return _panel(table(spark, sf_dir, "lineitem"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
+    panel = _panel(table(spark, sf_dir, "lineitem"), "l_suppkey")
+    return _named(panel, F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
 
 
-def _with_nation(spark, sf_dir):
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
-    )
+def _with_supplier(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
 
 
 def region_panel(spark, sf_dir):
-    rows = _with_nation(spark, sf_dir).join(
-        table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
-    return _panel(rows, F.col("r_name"))
+    """Rows are grouped by the region number; the name joins the few groups, not the rows."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    rows = _with_supplier(spark, sf_dir).join(nation, F.col("n_nationkey") == F.col("s_nationkey"))
+    panel = _panel(rows, "n_regionkey").join(region, F.col("r_regionkey") == F.col("n_regionkey"))
+    return _named(panel, F.col("r_name"))
 
 
 def nation_flag_panel(spark, sf_dir):
     """Many entities with a long history."""
-    return _panel(_with_nation(spark, sf_dir), F.concat("n_name", F.lit("-"), "l_returnflag"))
+    panel = _panel(_with_supplier(spark, sf_dir), "s_nationkey", "l_returnflag")
+    panel = panel.join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
+    return _named(panel, F.concat("n_name", F.lit("-"), "l_returnflag"))
 
 
 def station_panel(spark, sf_dir):
-    return (
-        _with_nation(spark, sf_dir)
-        .groupBy(F.col("n_name").alias("station"), F.col("l_shipdate").cast("date").alias("date"))
+    panel = (
+        _with_supplier(spark, sf_dir)
+        .groupBy("s_nationkey", F.col("l_shipdate").cast("date").alias("date"))
         .agg(
             F.sum("l_quantity").alias("prcp"),
             (F.avg("l_discount") * 100).alias("tavg"),
@@ -65,6 +71,8 @@ def station_panel(spark, sf_dir):
             F.min("l_tax").alias("tmin"),
         )
     )
+    return panel.join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).select(
+        F.col("n_name").alias("station"), "date", "prcp", "tavg", "tmax", "tmin")
 
 
 def dirty_panel(spark, sf_dir):
