@@ -8,11 +8,11 @@ from brimline.settings import FLAGGED_MEASURES, LEVEL_SUFFIX, MAX_LEVEL
 
 def missing_flags(df: DataFrame, columns) -> DataFrame:
     """Add `{column}_missing` (0/1) for each column."""
-    return df.withColumns({f"{c}_missing": F.isnull(c).cast("int") for c in columns})
+    return df.withColumns({f"{c}_missing": F.isnull(F.col(f"`{c}`")).cast("int") for c in columns})
 
 
 def fill_zero(df: DataFrame, columns) -> DataFrame:
-    return df.na.fill(0.0, subset=list(columns))
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(0.0)) for c in columns})
 
 
 def flag_and_fill(df: DataFrame, columns) -> DataFrame:

@@ -146,25 +146,45 @@ def walk_forward_folds(frame: DataFrame, split=SPLIT_DATE, months=FOLD_MONTHS) -
     )
 
 
-def training_rows(rows: DataFrame, folds: DataFrame, keys=KEYS) -> DataFrame:
-    """Every (row, fold) the row trains. The result repeats rows by design; fits work on cells instead."""
-    packed = folds.groupBy("entity").agg(F.collect_list(F.struct(*[
-        F.col(k) for k in (*keys[1:], "fold", "train_samples", "latest")])).alias("_folds"))
+def _with_folds(rows: DataFrame, folds: DataFrame, keys, wanted, carry) -> DataFrame:
+    """Pair each row with the folds of its entity that `wanted` accepts."""
+    packed = folds.groupBy("entity").agg(F.collect_list(F.struct(
+        *keys[1:], "fold", *carry)).alias("_folds"))
 
-    def trains(f):
-        hit = f["fold"] > F.col("train_after")
+    def own(f):
+        hit = wanted(f)
         for k in keys[1:]:
             hit = hit & f[k].eqNullSafe(F.col(k))
         return hit
 
     return (
-        rows.filter("train_after is not null").join(packed, "entity")
-        .withColumn("_f", F.explode(F.filter("_folds", trains)))
-        .withColumns({c: F.col(f"_f.{c}") for c in ("fold", "train_samples", "latest")})
+        rows.join(packed, "entity")
+        .withColumn("_f", F.explode(F.filter("_folds", own)))
+        .withColumns({c: F.col(f"_f.{c}") for c in ("fold", *carry)})
         .drop("_f", "_folds")
     )
 
 
+def training_rows(rows: DataFrame, folds: DataFrame, keys=KEYS) -> DataFrame:
+    """Every (row, fold) the row trains. The result repeats rows by design; fits work on cells instead."""
+    return _with_folds(
+        rows.filter("train_after is not null"), folds, keys, lambda f: F.col("train_after") < f["fold"],
+        ("train_samples", "latest"))
+
+
+def context_rows(rows: DataFrame, folds: DataFrame, keys=KEYS) -> DataFrame:
+    """Test rows of each fold, preceded by the last L-1 training rows, so that every test row gets a sequence."""
+    tail = _with_folds(
+        rows.filter("train_after is not null"), folds, keys,
+        lambda f: (F.col("train_after") < f["fold"])
+        & (F.col("row_no") <= f["train_rows"]) & (F.col("row_no") > f["train_rows"] - (F.col("seq_len") - 1)),
+        ("train_rows",)).withColumn("is_context", F.lit(True))
+    test = _with_folds(
+        rows.filter("test_fold is not null"), folds, keys, lambda f: F.col("test_fold") == f["fold"],
+        ("train_rows",)).withColumn("is_context", F.lit(False))
+    return tail.unionByName(test)
+
+
 def validation_cut(samples="train_samples") -> Column:
     """Number of training samples before the validation tail."""
     return F.floor(F.col(samples) * F.lit(1 - VALIDATION_SHARE))

@@ -59,9 +59,10 @@ def side_by_side(long: DataFrame, columns, places: int, suffix: str, what: str)
     More rows than places fail the job; nothing is cut off.
     """
     return (
-        long.withColumn("position", _place(places, what)).groupBy("entity", "date").agg(*[
-            F.max(F.when(F.col("position") == i, F.col(c))).alias(f"{c}_{suffix}{i}")
-            for i in range(places) for c in columns])
+        long.withColumn("position", _place(places, what)).groupBy("entity", "date").agg(
+            F.max("position").alias("_last"),
+            *[F.max(F.when(F.col("position") == i, F.col(c))).alias(f"{c}_{suffix}{i}")
+              for i in range(places) for c in columns]).drop("_last")
     )
 
 

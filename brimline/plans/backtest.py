@@ -70,15 +70,14 @@ def entity_frame(levels, weather, production, config, places=5, production_place
     return X.complete_rows(X.add_seasonal(X.targets(df, horizons)), horizons)
 
 
-def sequence_lengths(config: DataFrame) -> list[int]:
-    """Distinct sequence lengths in the settings: a handful of small integers."""
-    found = selection.with_defaults(config).select(F.explode("seq_lens").alias("n")).distinct().collect()
-    return sorted(r["n"] for r in found if r["n"] is not None)
+def _distinct_ints(config: DataFrame, column: str) -> list[int]:
+    """Distinct numbers in a settings list: a handful of small integers."""
+    found = config.select(F.explode(column).alias("n")).filter("n is not null").distinct().collect()
+    return sorted(r["n"] for r in found)
 
 
-def lag_rows(config: DataFrame) -> list[int]:
-    found = selection.with_defaults(config).select(F.explode("lag_days").alias("n")).distinct().collect()
-    return sorted(r["n"] for r in found if r["n"] is not None)
+def _longest(config: DataFrame, column: str) -> int:
+    return config.agg(F.max(F.size(column)).alias("n")).first()["n"] or 0
 
 
 def default_means(frame: DataFrame) -> list[str]:
@@ -87,17 +86,20 @@ def default_means(frame: DataFrame) -> list[str]:
     return lags[:1] + [c for c in frame.columns if c.startswith(("rain_7d_s", "temp_7d_s", "prod_p"))]
 
 
-def run(levels, weather, production, config, *, places=5, production_places=1, horizons=HORIZONS,
+def run(levels, weather, production, config, *, places=None, production_places=None, horizons=HORIZONS,
         split=SPLIT_DATE, months=FOLD_MONTHS, start_year=None, ends=None, default_end=None, embargo=False,
         tree_params=None) -> Report:
     """The whole job. Settings decide per entity on stations, lags, model, sequence lengths and strategy.
 
-    `config` takes the raw settings rows; pass an override by changing its rows. The feature table is written once
-    to the shared folder and read by every fit and score.
+    `config` takes the raw settings rows; pass an override by changing its rows. `places` and `production_places` are
+    the most stations and series of any entity, read from the settings unless given. The feature table is
+    written once to the shared folder and read by every fit and score.
     """
     config = selection.with_defaults(config)
-    lengths = sequence_lengths(config)
-    frame = entity_frame(levels, weather, production, config, places, production_places, lag_rows(config), horizons)
+    lengths, lag_rows = _distinct_ints(config, "seq_lens"), _distinct_ints(config, "lag_days")
+    places = _longest(config, "weather_stations") if places is None else places
+    production_places = _longest(config, "prod_cols") if production_places is None else production_places
+    frame = entity_frame(levels, weather, production, config, places, production_places, lag_rows, horizons)
     bounds_args = {} if default_end is None else {"default_end": default_end}
     frame = selection.limit_dates(frame, selection.date_bounds(cleaning.cap_level(levels), start_year, ends, **bounds_args))
     last = X.feature_columns(frame, horizons)

@@ -351,6 +351,12 @@ def sequences_walkforward(spark, sf):
     return _sequences(spark, sf, WALK_FORWARD)
 
 
+def context_rows(spark, sf):
+    rows = _roles(spark, sf, [WALK_FORWARD])
+    usable = splits.fold_table(rows).filter((F.col("test_rows") > 0) & splits.enough_train())
+    return splits.context_rows(rows, usable).select("entity", "horizon", "fold", "date", "is_context")
+
+
 # --- models and reports -------------------------------------------------------------------------
 
 
@@ -429,6 +435,15 @@ def ridge_statistics(spark, sf):
     return _round(sums.select("entity", "horizon", "fold", F.inline(F.array(*terms))), 3)
 
 
+def ridge_pair_report(spark, sf):
+    """Ridge on two inputs, small enough to write its solution in SQL."""
+    rows = _roles(spark, sf, splits.STRATEGIES, frame=_stored(spark, sf, P.flag_panel))
+    rows = rows.withColumn("halflife", F.when(F.col("strategy") == WALK_FORWARD, F.lit(365)))
+    keys, inputs = (*splits.KEYS, "halflife"), ("lag_7", "rain_30d")
+    fitted = models.fit_ridge(rows, inputs, "halflife", keys=keys)
+    return _metrics(models.predict_ridge(rows, fitted, inputs, keys))
+
+
 def _ridge(spark, sf, panel):
     frame = models.add_means(splits.number_rows(_frame(spark, sf, panel), SPLIT), backtest.RIDGE_MEANS, DEFAULT_SEQ_LENS)
     frame = writers.materialize(frame)
@@ -461,8 +476,8 @@ def config_report(spark, sf):
                              for m in WEATHER_MEASURES])
     demand = panel.groupBy("date").agg(F.sum("demand").alias("value")).withColumn("series", F.lit("demand"))
     report = backtest.run(
-        panel.select("entity", "date", "level"), weather, demand, P.region_config(spark, sf), places=8,
-        production_places=2, split=SPLIT, default_end="2001-12-31", tree_params={"maxIter": 5, "maxDepth": 3})
+        panel.select("entity", "date", "level"), weather, demand, P.region_config(spark, sf), split=SPLIT,
+        default_end="2001-12-31", tree_params={"maxIter": 5, "maxDepth": 3})
     return M.report_names(report.summary)
 
 
@@ -484,8 +499,8 @@ QUERIES = {f.__name__: f for f in (
     config_projection, missing_config_columns, station_features,
     entity_subset, config_defaults, horizon_config, lag_columns, natural_start, date_bounds,
     baseline_split, folds, fold_rows, strategy_union, sample_weights, validation_tail,
-    scale_bounds, scaled_features, sequences_baseline, sequences_walkforward,
+    scale_bounds, scaled_features, sequences_baseline, sequences_walkforward, context_rows,
     metrics_baseline, metrics_walkforward, metrics_nation_baseline, metrics_nation_walkforward, summary_pivot, missing_horizons, residual_report,
-    weighted_ols, ridge_statistics, ridge_report, ridge_nation_report, gbt_report, config_report,
+    weighted_ols, ridge_statistics, ridge_pair_report, ridge_report, ridge_nation_report, gbt_report, config_report,
     time_interpolate, test_fill,
 )}

@@ -166,11 +166,37 @@ predictions as (select entity, strategy, 'ols' as model, horizon, date, target a
   from test join models using (entity, horizon, fold) where strategy = '{strategy}')"""
 
 
-METRICS = """means as (select entity, horizon, avg(y) as ybar from predictions group by all),
+METRICS = """means as (select entity, strategy, horizon, avg(y) as ybar from predictions group by all),
 errors as (select entity, strategy, model, horizon, count(*) as n, sqrt(avg((y - yhat) * (y - yhat))) as rmse,
   avg(abs(y - yhat)) as mae,
   1 - sum((y - yhat) * (y - yhat)) / nullif(sum((y - ybar) * (y - ybar)), 0) as r2
-  from predictions join means using (entity, horizon) group by all)"""
+  from predictions join means using (entity, strategy, horizon) group by all)"""
+KEY = "entity, strategy, horizon, fold"
+RIDGE_PAIR = f"""{FLAG_ROLES},
+bounds as (select {KEY}, min(lag_7) as l1, max(lag_7) as h1, min(rain_30d) as l2, max(rain_30d) as h2,
+  min(target) as ly, max(target) as hy from train group by all),
+samples as (select {KEY}, target as y, (lag_7 - l1) / (h1 - l1) as s1, (rain_30d - l2) / (h2 - l2) as s2,
+  (target - ly) / (hy - ly) as sy, ly, hy, case when strategy = 'baseline' then 1.0 else {WEIGHT} end as w,
+  row_no - seq_len + 1 > floor(train_samples * 0.8) as is_val
+  from train join bounds using ({KEY}) where row_no >= seq_len),
+centres as (select {KEY}, sum(w * s1) / sum(w) as m1, sum(w * s2) / sum(w) as m2, sum(w * sy) / sum(w) as my
+  from samples where not is_val group by all),
+spreads as (select {KEY}, any_value(m1) as m1, any_value(m2) as m2, any_value(my) as my,
+  sum(w * (s1 - m1) * (s1 - m1)) / sum(w) as c11, sum(w * (s1 - m1) * (s2 - m2)) / sum(w) as c12,
+  sum(w * (s2 - m2) * (s2 - m2)) / sum(w) as c22, sum(w * (s1 - m1) * (sy - my)) / sum(w) as c1y,
+  sum(w * (s2 - m2) * (sy - my)) / sum(w) as c2y
+  from samples join centres using ({KEY}) where not is_val group by all),
+solved as (select {KEY}, p, m1, m2, my,
+  ((c22 + p) * c1y - c12 * c2y) / ((c11 + p) * (c22 + p) - c12 * c12) as b1,
+  ((c11 + p) * c2y - c12 * c1y) / ((c11 + p) * (c22 + p) - c12 * c12) as b2
+  from spreads, (values (1e-6), (1e-4), (1e-2), (1.0)) t(p)),
+judged as (select {KEY}, p, any_value(m1) as m1, any_value(m2) as m2, any_value(my) as my, any_value(b1) as b1,
+  any_value(b2) as b2, avg(power((my + b1 * (s1 - m1) + b2 * (s2 - m2)) * (hy - ly) + ly - y, 2)) as mse
+  from solved join samples using ({KEY}) where is_val group by {KEY}, p),
+chosen as (select * from judged qualify row_number() over (partition by {KEY} order by mse, p) = 1),
+predictions as (select entity, strategy, 'ridge' as model, horizon, date, target as y, least(greatest(
+    (my + b1 * ((lag_7 - l1) / (h1 - l1) - m1) + b2 * ((rain_30d - l2) / (h2 - l2) - m2)) * (hy - ly) + ly, 0), 100) as yhat
+  from test join chosen using ({KEY}) join bounds using ({KEY}))"""
 METRIC_COLUMNS = f"entity, strategy, model, horizon, n, {r('rmse', 4)}, {r('mae', 4)}, {r('r2', 4)}"
 
 SERIES_COLUMNS = {f"{f}{SUFFIX}": ("level", f) for f in "ANR"} | {
@@ -395,6 +421,11 @@ from models m join (select * from fold_sizes where strategy = 'walkfwd_expanding
     row_no - seq_len + 1 > floor(train_samples * 0.8) as is_val
   from train where strategy = 'walkfwd_expanding' and row_no >= seq_len)
 {_gram_terms()}""",
+    "ridge_pair_report": f"with {RIDGE_PAIR}, {METRICS} select {METRIC_COLUMNS} from errors",
+    "context_rows": f"""with {FLAG_ROLES}, u as (select * from fold_sizes where strategy = 'walkfwd_expanding' and usable)
+select entity, horizon, cast(fold as integer) as fold, date, role = 'train' as is_context
+from tagged t join u using (entity, strategy, horizon, fold)
+where role = 'test' or row_no > u.train_rows - (t.seq_len - 1)""",
     "time_interpolate": f"""with {CLEAN}, n as (select entity, date, level,
   last_value(level ignore nulls) over {FILL} as v0,
   last_value(case when level is not null then date end ignore nulls) over {FILL} as d0,

@@ -185,6 +185,27 @@ def test_short_series_give_no_model(spark):
     assert M.metrics(models.predict_ols(rows, fitted, "lag_7")).count() == 0
 
 
+def test_entity_without_test_rows_is_skipped(spark):
+    pdf = random_panel(entities=1, days=800, gaps=0.0, nulls=0.0, start="2020-01-01")
+    rows = backtest.roles(X.feature_frame(to_spark(spark, pdf)), splits.STRATEGIES)
+    assert rows.count() > 0 and splits.fold_table(rows).count() == 0
+
+
+def test_context_gives_every_test_row_a_sequence(frame):
+    """Sequences over context plus test rows are the sequences of the whole series at the test dates."""
+    rows = backtest.roles(frame, ["walkfwd_expanding"], horizons=[7], seq_lens=[10])
+    folds = splits.fold_table(rows).filter(splits.enough_train())
+    joined = splits.context_rows(rows, folds).withColumn(
+        "entity", F.concat_ws("/", "entity", F.col("fold").cast("string")))
+    cut = sequences.add_sequences(joined, ("lag_7",), 10)
+    assert cut.filter("is_context").count() == 0
+    assert cut.count() == rows.join(folds.withColumnRenamed("fold", "test_fold").select("entity", "test_fold"),
+                                    ["entity", "test_fold"], "left_semi").count()
+    whole = sequences.add_sequences(frame, ("lag_7",), 10, "whole").select("entity", "date", "whole")
+    both = cut.withColumn("entity", F.split("entity", "/")[0]).join(whole, ["entity", "date"])
+    assert both.count() == cut.count() and both.filter("sequence <> whole").count() == 0
+
+
 def test_gbt_on_flattened_sequences(spark, frame):
     """Trees on the whole sequence, stopped on the validation tail, weighted by age."""
     one = sequences.add_sequences(splits.number_rows(frame), ("lag_7", "rain_7d"), 10, "sequence")

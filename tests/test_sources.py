@@ -115,7 +115,7 @@ def test_whole_job(spark, tables, tmp_path):
         spark, ["Balcova"], prod_cols=["made_0"], weather_stations=["S1", "S2"], model="ols").unionByName(
         selection.settings_for(spark, ["Urkmez"], weather_stations=["S2"], lag_days=[7, 14], seq_lens=[10, 20, 30],
                                halflives=[90], strategy="walkfwd_expanding", model="Dense"))
-    report = backtest.run(*tables, config, places=2)
+    report = backtest.run(*tables, config)
     summary = {r["entity"]: r for r in report.summary.collect()}
     assert summary["Balcova"]["model"] == "ols" and summary["Balcova"]["strategy"] == "baseline"
     assert summary["Urkmez"]["model"] == "ridge" and summary["Urkmez"]["strategy"] == "walkfwd_expanding"
