@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from brimline.functions.numeric import decay
 from brimline.functions.solve import fold_sums, product_sums, ridge_solver
-from brimline.operators.features import by_date
 from brimline.operators.scaling import with_packed
 from brimline.operators.splits import (
     KEYS, cells, enough_train, fold_counts, fold_table, has_sequence, in_train, spread_folds,
@@ -117,11 +116,10 @@ def predict_ols(rows: DataFrame, models: DataFrame, x: str, keys=KEYS) -> DataFr
 
 def add_means(frame: DataFrame, columns, seq_lens) -> DataFrame:
     """Mean of each column over the last L rows, for each distinct L, from running totals."""
-    w = by_date()
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    out = frame.withColumns({f"_t_{c}": F.sum(c).over(so_far) for c in columns})
+    order = "over (partition by entity order by date"
+    out = frame.withColumns({f"_t_{c}": F.expr(f"sum(`{c}`) {order} rows unbounded preceding)") for c in columns})
     return out.withColumns({
-        f"{c}_mean_{n}": (F.col(f"_t_{c}") - F.coalesce(F.lag(f"_t_{c}", n).over(w), F.lit(0.0))) / n
+        f"{c}_mean_{n}": F.expr(f"(`_t_{c}` - lag(`_t_{c}`, {n}, 0d) {order})) / {n}d")
         for c in columns for n in sorted(set(seq_lens))
     }).drop(*[f"_t_{c}" for c in columns])
 
@@ -129,13 +127,11 @@ def add_means(frame: DataFrame, columns, seq_lens) -> DataFrame:
 def pick_means(rows: DataFrame, columns, seq_lens) -> DataFrame:
     """`{column}_mean` for the sequence length of the row."""
     lengths = sorted(set(seq_lens))
-    unknown = F.raise_error(F.concat(F.lit("no means for sequence length "), F.col("seq_len").cast("string")))
-    picked = {}
-    for c in columns:
-        value = unknown.cast("double")
-        for n in lengths:
-            value = F.when(F.col("seq_len") == n, F.col(f"{c}_mean_{n}")).otherwise(value)
-        picked[f"{c}_mean"] = value
+    unknown = "else cast(raise_error(concat('no means for sequence length ', seq_len)) as double) end"
+    picked = {
+        f"{c}_mean": F.expr("case " + " ".join(f"when seq_len = {n} then `{c}_mean_{n}`" for n in lengths) + f" {unknown}")
+        for c in columns
+    }
     return rows.withColumns(picked).drop(*[f"{c}_mean_{n}" for c in columns for n in lengths])
 
 

@@ -61,7 +61,7 @@ def side_by_side(long: DataFrame, columns, places: int, suffix: str, what: str)
     return (
         long.withColumn("position", _place(places, what)).groupBy("entity", "date").agg(
             F.max("position").alias("_last"),
-            *[F.max(F.when(F.col("position") == i, F.col(c))).alias(f"{c}_{suffix}{i}")
+            *[F.expr(f"max(case when position = {i} then `{c}` end) as `{c}_{suffix}{i}`")
               for i in range(places) for c in columns]).drop("_last")
     )
 

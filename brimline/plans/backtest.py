@@ -56,17 +56,18 @@ def entity_frame(levels, weather, production, config, places=5, production_place
     df = base.join(nearby, ["entity", "date"], "left").join(made, ["entity", "date"], "left")
 
     prod = [f"prod_p{i}" for i in range(production_places)]
-    df = X.shift_one(df, prod)
+    df = X.shift_one(df, prod) if prod else df
     df = X.settings_lags(df, lag_rows)
     df = X.rolling_std(X.rolling_means(df))
-    used = {f"{c}_s{i}": F.when(F.col("_stations") > i, F.col(f"{c}_s{i}")).otherwise(0.0)
+    used = {f"{c}_s{i}": F.expr(f"case when _stations > {i} then {c}_s{i} else 0d end")
             for i in range(places) for c in station_columns}
-    used |= {f"rain_x_level_s{i}": F.when(F.col("_stations") > i, F.col(f"prcp_s{i}") * F.col("base_level")).otherwise(0.0)
+    used |= {f"rain_x_level_s{i}": F.expr(f"case when _stations > {i} then prcp_s{i} * base_level else 0d end")
              for i in range(places)}
     df = df.withColumns(used).drop("_stations", "lag_days", "base_level")
     df = X.forward_fill(df, [c for c in df.columns if c not in ("entity", "date")])
     whole = X.by_date().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    df = df.withColumns({c: F.when(F.count(c).over(whole) == 0, 0.0).otherwise(F.col(c)) for c in prod})
+    if prod:
+        df = df.withColumns({c: F.when(F.count(c).over(whole) == 0, 0.0).otherwise(F.col(c)) for c in prod})
     return X.complete_rows(X.add_seasonal(X.targets(df, horizons)), horizons)
 
 
