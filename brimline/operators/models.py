@@ -152,7 +152,9 @@ def ridge_sums(rows: DataFrame, inputs, halflife=None, keys=KEYS) -> DataFrame:
     """
     folds = fold_table(rows, keys).filter((F.col("test_rows") > 0) & enough_train())
     cuts = folds.withColumn("cut", validation_cut())
-    packed = cuts.groupBy("entity").agg(F.collect_list(F.struct(*keys[1:], "fold", "cut")).alias("_folds"))
+    # Both tables made from the cuts use the same columns, so their common part runs once.
+    packed = cuts.groupBy("entity").agg(F.collect_list(F.struct(
+        *keys[1:], "fold", "cut", "latest", "train_rows", "test_rows")).alias("_folds"))
     every = [*inputs, "target"]
     below = F.filter("_folds", lambda f: _own(f, keys) & (f["cut"] < F.col("sample_no")))
     train = (

@@ -293,7 +293,7 @@ def strategy_union(spark, sf):
 
 
 def _training(spark, sf, strategies):
-    rows = _roles(spark, sf, strategies)
+    rows = _roles(spark, sf, strategies, frame=_stored(spark, sf, P.flag_panel))
     usable = splits.fold_table(rows).filter((F.col("test_rows") > 0) & splits.enough_train())
     return splits.training_rows(rows, usable)
 
@@ -318,7 +318,7 @@ def scale_bounds(spark, sf):
 
 
 def scaled_features(spark, sf):
-    rows = _roles(spark, sf, splits.STRATEGIES)
+    rows = _roles(spark, sf, splits.STRATEGIES, frame=_stored(spark, sf, P.flag_panel))
     columns = ("lag_7", "rain_30d", "target")
     scaled = scaling.scale_rows(rows, scaling.fold_bounds(rows, columns), columns)
     out = scaling.unscale_rows(scaled, ["target"])
@@ -327,7 +327,7 @@ def scaled_features(spark, sf):
 
 
 def _sequences(spark, sf, strategy):
-    frame = splits.number_rows(_frame(spark, sf), SPLIT)
+    frame = _stored(spark, sf, P.flag_panel)
     out = None
     for h, n in zip(HORIZONS, DEFAULT_SEQ_LENS):
         one = sequences.add_sequences(frame, SEQUENCE_COLUMNS, n).withColumns({
@@ -352,7 +352,7 @@ def sequences_walkforward(spark, sf):
 
 
 def context_rows(spark, sf):
-    rows = _roles(spark, sf, [WALK_FORWARD])
+    rows = _roles(spark, sf, [WALK_FORWARD], frame=_stored(spark, sf, P.flag_panel))
     usable = splits.fold_table(rows).filter((F.col("test_rows") > 0) & splits.enough_train())
     return splits.context_rows(rows, usable).select("entity", "horizon", "fold", "date", "is_context")
 
@@ -424,7 +424,8 @@ def weighted_ols(spark, sf):
 
 def ridge_statistics(spark, sf):
     """Mean products of the weighted fit part and the plain validation part of every walk-forward fold."""
-    sums = models.ridge_sums(_roles(spark, sf, [WALK_FORWARD]), GRAM_COLUMNS, 365)
+    rows = _roles(spark, sf, [WALK_FORWARD], frame=_stored(spark, sf, P.flag_panel))
+    sums = models.ridge_sums(rows, GRAM_COLUMNS, 365)
     every = (*GRAM_COLUMNS, "target")
     width = len(every) + 1
     places = [(f"s_{c}", j + 1) for j, c in enumerate(every)]
