@@ -17,6 +17,7 @@ from brimline.operators.splits import (
     KEYS, cells, enough_train, fold_counts, fold_table, has_sequence, in_train, spread_folds,
     training_rows, validation_cut, validation_tail,
 )
+
 PENALTIES = (1e-6, 1e-4, 1e-2, 1.0)
 # Settings keys of the replaced networks, and the regressor that does their job here.
 REGISTRY = {"ols": "ols", "ridge": "ridge", "gbt": "gbt", "Dense": "ridge", "GRU": "ridge", "LSTM": "gbt"}
