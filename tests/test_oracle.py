@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from brimline.plans import catalog, oracle
 from compare import differences, duck
 
 WITHOUT_SQL = {"ridge_report", "ridge_nation_report", "gbt_report", "config_report"}
@@ -14,13 +15,13 @@ def con(sf_dir):
 
 
 def test_only_model_fits_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(catalog.QUERIES) - set(oracle.SQL) == WITHOUT_SQL
+    assert set(oracle.SQL) <= set(catalog.QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_query_matches_sql(spark, con, sf_dir, name):
-    found, rows = differences(spark, con, entry.queries()[name], entry.oracle_sql()[name], sf_dir)
+    found, rows = differences(spark, con, catalog.QUERIES[name], oracle.SQL[name], sf_dir)
     assert not found, found
     assert rows > 0 or name.startswith("metrics_nation")
 
