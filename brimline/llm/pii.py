@@ -232,8 +232,8 @@ def digest(found: DataFrame) -> DataFrame:
     """Counts and digests of the result of find_spans: one row for each of its rows."""
     text = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
-    count = {f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long") for k in BASE}
+    of_kind = lambda k: F.filter("spans", lambda s: s["kind"] == k)
     return found.select(
-        "doc_id", *[c.alias(n) for n, c in count.items()],
+        "doc_id", *[F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(F.array_join(F.transform(base, text), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", text), ",").alias("spans"))
