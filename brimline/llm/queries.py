@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brimline.llm import pii, quality, toxicity, training
+from brimline.llm import jaccard, phrases, pii, quality, toxicity, training
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -31,10 +31,21 @@ def op3_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.digest(pii.find_spans(table(spark, sf, "documents").select("doc_id", "text")))
 
 
+def op7_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op10_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.without_repeats(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
+    "op7_jaccard": op7_jaccard,
+    "op10_phrases": op10_phrases,
 }
 
 SQL: dict[str, str] = {}
