@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brimline.llm import jaccard, phrases, pii, quality, toxicity, training
+from brimline.llm import jaccard, phrases, pii, quality, token_files, toxicity, training
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -35,6 +36,11 @@ def op7_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.read_tokens(*token_files.write_tokens(table(spark, sf, "documents"), path))
+
+
 def op10_phrases(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.without_repeats(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -45,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
     "op7_jaccard": op7_jaccard,
+    "op9_token_files": op9_token_files,
     "op10_phrases": op10_phrases,
 }
 
