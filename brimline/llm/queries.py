@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brimline.llm import jaccard, phrases, pii, quality, token_files, toxicity, training
+from brimline.llm import jaccard, phrases, pii, quality, token_files, topk, toxicity, training
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op3_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.digest(pii.find_spans(table(spark, sf, "documents").select("doc_id", "text")))
 
 
+def op5_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf, "embeddings"), 256)
+    return topk.top_k(vectors.where("id % 50 = 0"), vectors, 5).withColumnRenamed("id", "vec_id")
+
+
 def op7_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -50,9 +55,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
+    "op5_topk": op5_topk,
     "op7_jaccard": op7_jaccard,
     "op9_token_files": op9_token_files,
     "op10_phrases": op10_phrases,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_topk": """
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
+           where vec_id is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (select q.vec_id as query_id, c.vec_id as vec_id,
+                  cast(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) as bigint) as score
+           from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5""",
+}
