@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brimline.llm import jaccard, phrases, pii, quality, token_files, topk, toxicity, training
+from brimline.llm import decontamination, jaccard, phrases, pii, quality, token_files, topk, toxicity, training
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op3_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.digest(pii.find_spans(table(spark, sf, "documents").select("doc_id", "text")))
 
 
+def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.digest(decontamination.find(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+
+
 def op5_topk(spark: SparkSession, sf: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf, "embeddings"), 256)
     return topk.top_k(vectors.where("id % 50 = 0"), vectors, 5).withColumnRenamed("id", "vec_id")
@@ -55,13 +59,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
+    "op4_decontamination": op4_decontamination,
     "op5_topk": op5_topk,
     "op7_jaccard": op7_jaccard,
     "op9_token_files": op9_token_files,
     "op10_phrases": op10_phrases,
 }
 
+WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 SQL: dict[str, str] = {
+    "op4_decontamination": f"""
+with d as (select doc_id, row_number() over () as r, {WORDS} as w from documents),
+i as (select item_id, {WORDS} as w from benchmark),
+n as (select *, least(len(w), 13) as size from i where len(w) > 0),
+win as (select distinct item_id, size, array_to_string(w[s:s + size - 1], ' ') as win
+        from n, unnest(range(1, len(w) - size + 2)) as t(s)),
+sizes as (select distinct size from win),
+dw as (select r, s, size, array_to_string(w[s:s + size - 1], ' ') as win
+       from d, sizes, unnest(range(1, len(w) - size + 2)) as t(s)),
+hit as (select r, s, dw.size, item_id from dw join win on dw.size = win.size and dw.win = win.win),
+covered as (select r, count(distinct p) as n_hit from hit, unnest(range(s, s + size)) as t(p) group by r),
+items as (select r, count(distinct item_id) as n_items,
+                 string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as ids from hit group by r)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * n_hit >= len(w) as contaminated
+from d left join covered using (r) left join items using (r)""",
     "op5_topk": """
 with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
            where vec_id is not null and embedding is not null
