@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brimline.llm import decontamination, jaccard, phrases, pii, quality, token_files, topk, toxicity, training
+from brimline.llm import decontamination, jaccard, phrases, pieces, pii, quality, token_files, topk, toxicity, training
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op5_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(vectors.where("id % 50 = 0"), vectors, 5).withColumnRenamed("id", "vec_id")
 
 
+def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
     "op5_topk": op5_topk,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_jaccard": op7_jaccard,
     "op9_token_files": op9_token_files,
     "op10_phrases": op10_phrases,
