@@ -26,8 +26,8 @@ POSTING = "bucket int, block int, keys binary, extra binary"
 ANSWER = "block int, bucket int, answers binary"
 
 
-def with_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """(doc_id, text, block) and the number of blocks, which grows with the text.
+def with_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, list[float]]:
+    """(doc_id, text, block), the number of blocks, which grows with the text, and their borders.
 
     The driver gets one sum and the borders of the blocks, eight bytes each.
     """
@@ -35,11 +35,16 @@ def with_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFr
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(LEAST_BLOCKS, math.ceil(size / block_bytes))
     borders = docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (8 * n)) if size else []
-    splits = [-math.inf, *sorted(set(borders)), math.inf]
-    dealt = Bucketizer(splits=splits, inputCol="at", outputCol="dealt", handleInvalid="keep").transform(
-        docs.withColumn("at", F.col("doc_id").cast("double")))
-    last = len(splits) - 1
-    return dealt.select("doc_id", "text", F.coalesce(F.col("dealt"), F.lit(float(last))).cast("int").alias("block")), last + 1
+    return place(docs, borders := sorted(set(borders))), len(borders) + 2, borders
+
+
+def place(rows: DataFrame, borders: list[float]) -> DataFrame:
+    """Adds the block of each row's doc_id."""
+    splits = [-math.inf, *borders, math.inf]
+    dealt = Bucketizer(splits=splits, inputCol="_at", outputCol="_dealt", handleInvalid="keep").transform(
+        rows.withColumn("_at", F.col("doc_id").cast("double")))
+    last = F.lit(float(len(splits) - 1))
+    return dealt.select(*rows.columns, F.coalesce("_dealt", last).cast("int").alias("block"))
 
 
 def ordered(block: pa.Table) -> pa.Table:
@@ -75,15 +80,19 @@ def cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def ask(blocks: DataFrame, buckets: int, keys: Callable, answer: Callable) -> DataFrame:
+def ask(blocks: DataFrame, buckets: int, keys: Callable, answer: Callable, side: DataFrame | None = None) -> DataFrame:
     """ANSWER rows, in which a block finds the answers to its keys in the order in which it sent them.
 
-    keys(ordered table) gives ascending distinct keys and an array with one value for each, or None.
-    answer(keys, blocks, values) gets all postings of a range of keys by key, then block, and gives one number for each.
+    keys(ordered table) gives ascending distinct keys and an array with one row of int32 values for each, or None.
+    answer(keys, blocks, values) gets all postings of a range of keys by key, then block, and gives one row for each.
+    With side, a table with blocks too, keys gets the rows of side for the block as well.
     """
-    def send(table: pa.Table) -> pa.Table:
+    def send(table: pa.Table, beside: pa.Table | None = None) -> pa.Table:
+        if not table.num_rows:
+            return pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int32()),
+                             "keys": pa.array([], pa.binary()), "extra": pa.array([], pa.binary())})
         block = table["block"][0].as_py()
-        held, extra = keys(ordered(table))
+        held, extra = keys(ordered(table)) if beside is None else keys(ordered(table), beside)
         at = cuts(held, buckets)
         full = np.flatnonzero(np.diff(at))
         return pa.table({
@@ -96,17 +105,22 @@ def ask(blocks: DataFrame, buckets: int, keys: Callable, answer: Callable) -> Da
         parts = [unpack(x) for x in table["keys"].to_pylist()]
         all_keys, sizes = np.concatenate(parts), [len(x) for x in parts]
         order = np.argsort(all_keys, kind="stable")
-        extra = None if table["extra"].null_count else np.frombuffer(b"".join(table["extra"].to_pylist()), np.int32)[order]
+        extra = None if table["extra"].null_count else np.frombuffer(b"".join(table["extra"].to_pylist()), np.int32).reshape(
+            len(order), -1)[order]
         from_block = np.repeat(table["block"].to_numpy(), sizes)[order]
         got = answer(all_keys[order], from_block, extra)
-        out = np.empty(len(got), got.dtype)
+        out = np.empty_like(got)
         out[order] = got
         ends = np.cumsum(sizes)
         return pa.table({
             "block": table["block"].combine_chunks(), "bucket": table["bucket"].combine_chunks(),
             "answers": pa.array([out[e - n : e].tobytes() for e, n in zip(ends, sizes)], pa.binary())})
 
-    posted = blocks.groupBy("block").applyInArrow(send, POSTING)
+    if side is None:
+        posted = blocks.groupBy("block").applyInArrow(lambda table: send(table), POSTING)
+    else:
+        posted = blocks.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(
+            lambda table, beside: send(table, beside), POSTING)
     return posted.groupBy("bucket").applyInArrow(reply, ANSWER)
 
 

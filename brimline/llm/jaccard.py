@@ -69,7 +69,7 @@ def _sets(block: pa.Table, size: int):
 def shingle_table(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """ROW for each document: its set's size and id; for one row of each set and block, if shingles of its prefix recur, also those
     and all shingles, and how long the lists are that it scans. `at` orders rows by doc_id."""
-    blocks, n = B.with_blocks(docs)
+    blocks, n, _ = B.with_blocks(docs)
 
     def keys(block: pa.Table):
         key, *_ = _sets(block, size)
@@ -78,7 +78,7 @@ def shingle_table(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
     def answer(key, _, count):
         new, of = B.groups(key)
-        return np.add.reduceat(count.astype(np.int64), new)[of].clip(max=2**31 - 1).astype("<i4")
+        return np.add.reduceat(count[:, 0].astype(np.int64), new)[of].clip(max=2**31 - 1).astype("<i4")
 
     def describe(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:

@@ -70,7 +70,7 @@ def _runs(flag: np.ndarray, kind: np.ndarray, row: np.ndarray, at: np.ndarray):
 
 def repeated_spans(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """The documents in blocks, and for each block the spans of words to remove as packed (row, start, end)."""
-    blocks, n = B.with_blocks(docs)
+    blocks, n, _ = B.with_blocks(docs)
 
     def keys(table: pa.Table):
         key, *_ = _windows(table, size)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brimline.llm import decontamination, jaccard, phrases, pieces, pii, quality, token_files, topk, toxicity, training
+from brimline.llm import decontamination, jaccard, lm, phrases, pieces, pii, quality, token_files, topk, toxicity, training
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -49,6 +49,11 @@ def op7_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_lm(spark: SparkSession, sf: str) -> DataFrame:
+    target = table(spark, sf, "labels").where("quality = 1").select("doc_id")
+    return lm.score(table(spark, sf, "documents"), target)
+
+
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_files.read_tokens(*token_files.write_tokens(table(spark, sf, "documents"), path))
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_topk": op5_topk,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_jaccard": op7_jaccard,
+    "op8_lm": op8_lm,
     "op9_token_files": op9_token_files,
     "op10_phrases": op10_phrases,
 }

@@ -230,7 +230,7 @@ def _doc_ids(table: pa.Table) -> np.ndarray:
 def write_tokens(docs: DataFrame, path: str, folder: str | None = None, end_id: int = END_ID) -> tuple[DataFrame, DataFrame, str]:
     """Write all documents; returns the keys (doc_id, block), the manifest (block, base, n_ids) and the folder."""
     folder = folder or shared_folder(docs.sparkSession)
-    blocks, _ = B.with_blocks(docs)
+    blocks, _, _ = B.with_blocks(docs)
 
     def write(table: pa.Table) -> pa.Table:
         shard, table = table["block"][0].as_py(), B.ordered(table)
