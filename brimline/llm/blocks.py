@@ -26,16 +26,17 @@ POSTING = "bucket int, block int, keys binary, extra binary"
 ANSWER = "block int, bucket int, answers binary"
 
 
-def with_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, list[float]]:
-    """(doc_id, text, block), the number of blocks, which grows with the text, and their borders.
-
-    The driver gets one sum and the borders of the blocks, eight bytes each.
-    """
-    docs = docs.select("doc_id", "text")
+def split(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[float]:
+    """Borders of blocks, whose number grows with the text. The driver gets one sum and the borders, eight bytes each."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(LEAST_BLOCKS, math.ceil(size / block_bytes))
-    borders = docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (8 * n)) if size else []
-    return place(docs, borders := sorted(set(borders))), len(borders) + 2, borders
+    return sorted(set(docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (8 * n)) if size else []))
+
+
+def with_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, list[float]]:
+    """(doc_id, text, block), the number of blocks and their borders."""
+    borders = split(docs, block_bytes)
+    return place(docs.select("doc_id", "text"), borders), len(borders) + 2, borders
 
 
 def place(rows: DataFrame, borders: list[float]) -> DataFrame:

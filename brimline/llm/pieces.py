@@ -349,9 +349,10 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, same): ids as joined text in the digest; same, if decoding gives the text back."""
-    back = decode(encode(docs.select("doc_id", "text"), path), path, text="decoded")
-    return back.select(
-        "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.coalesce("ids", F.array().cast("array<int>")), ","), 256).alias("ids_sha256"),
-        F.col("text").eqNullSafe(F.col("decoded")).alias("same"))
+    """Adds to a table with a text column its ids, n_tokens, ids_sha256 (of the ids as joined text) and same: decoding gives
+    the text back."""
+    back = decode(encode(docs, path), path, text="decoded")
+    ids = F.coalesce("ids", F.array().cast("array<int>"))
+    return back.withColumns({
+        "n_tokens": F.size(ids).cast("long"), "ids_sha256": F.sha2(F.array_join(ids, ","), 256),
+        "same": F.col("text").eqNullSafe(F.col("decoded"))}).drop("decoded")

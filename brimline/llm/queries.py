@@ -42,7 +42,8 @@ def op5_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
-    return pieces.round_trip(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text", "ids")
 
 
 def op7_jaccard(spark: SparkSession, sf: str) -> DataFrame:
