@@ -9,8 +9,9 @@
    extended word by word, so that only words that really are equal count.
 4. The confirmed spans go back to the documents, and their words are removed.
 
-A document without a window of another one is streamed through no automaton. Automata, passages and runs are those of one block
-of first occurrences and SENDERS sending blocks, so their size does not grow with the input.
+A document without a window of another one is streamed through no automaton. A shard holds the passages of one block of first
+occurrences. A passage that more than SENDERS blocks hold goes to several tasks, each with the runs of SENDERS blocks, so no task
+grows with the number of copies, and a passage is copied no more often than its copies need.
 
 Defined results: a null or empty text has no words; a text shorter than a window keeps all; rows without doc_id are judged
 as if their doc_id were larger than every other, and rows with one doc_id do not shorten each other; extra columns are not read.
@@ -26,8 +27,8 @@ from pyspark.sql import DataFrame
 from brimline.llm import blocks as B, text as X
 
 WINDOW = 13
-#: Sending blocks whose runs meet in one task; beyond that, a shard has several tasks with the same passages.
-SENDERS = 256
+#: Blocks whose runs of one passage meet in one task.
+SENDERS = 64
 
 PIECE = "shard int, part int, block int, row int, at long, words string, copies binary"
 SPANS = "block int, spans binary"
@@ -77,10 +78,13 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, Data
         return np.unique(key), None
 
     def answer(key, block, _):
-        """Twice the first block with the key; one more if another block has it too."""
+        """The first block with the key, the part of its shard that a posting belongs to, and the number of parts, 0 if no other
+        block has the key."""
         new, of = B.groups(key)
-        many = np.diff(np.append(new, len(key))) > 1
-        return (2 * block[new].astype(np.int64) + many)[of].astype("<i4")
+        held = np.diff(np.append(new, len(key)))
+        parts = np.where(held > 1, -(-held // SENDERS), 0)
+        part = (np.arange(len(key)) - new[of]) // SENDERS
+        return np.stack([block[new][of], part, parts[of]], axis=1).astype("<i4")
 
     def pieces(table: pa.Table, answers: pa.Table) -> pa.Table:
         """Rows for shards: recurring passages of this block (copies is null) and runs to be confirmed."""
@@ -94,12 +98,11 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, Data
         ids = _ids(table)
         key, row, at, _ = _windows(table, size)
         held, first, of = _first(key, row, at)
-        got = B.answers_of(answers, "<i4")
-        home, many = got >> 1, (got & 1).astype(bool)
+        home, part_of, parts = B.answers_of(answers, "<i4").reshape(-1, 3).T
         own = ids[row] == ids[row[first]][of]
         claimed = (home[of] < block) | ~own
         # A passage has the first windows of this block that occur again, in another block or in a later document of it.
-        again = (home == block) & (many | (np.bincount(of, ~own, len(held)) > 0))
+        again = (home == block) & ((parts > 0) | (np.bincount(of, ~own, len(held)) > 0))
         source = np.zeros(len(key), bool)
         source[first[again]] = True
         needed = np.unique(row[source | claimed])
@@ -111,14 +114,15 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, Data
 
         for a, b in zip(*_runs(source, np.zeros(len(key), np.int8), row, at)):
             text = b" ".join(words[int(row[a])][at[a] : at[b] + size]).decode()
-            for part in range((n - 1) // SENDERS + 1) if many[of[a : b + 1]].any() else [block // SENDERS]:
+            for part in range(max(1, int(parts[of[a : b + 1]].max()))):
                 add(block, part, int(row[a]), int(at[a]), text, None)
-        runs: dict[tuple[int, str], list] = {}
-        for a, b in zip(*_runs(claimed, home[of], row, at)):
+        runs: dict[tuple[int, int, str], list] = {}
+        place = (home.astype(np.int64) << 32 | part_of)[of]
+        for a, b in zip(*_runs(claimed, place, row, at)):
             text = b" ".join(words[int(row[a])][at[a] : at[b] + size]).decode()
-            runs.setdefault((int(home[of[a]]), text), []).append((int(row[a]), int(at[a])))
-        for (shard, text), copies in runs.items():
-            add(shard, block // SENDERS, *copies[0], text, np.array(copies, "<i8").tobytes())
+            runs.setdefault((int(home[of[a]]), int(part_of[of[a]]), text), []).append((int(row[a]), int(at[a])))
+        for (shard, part, text), copies in runs.items():
+            add(shard, part, *copies[0], text, np.array(copies, "<i8").tobytes())
         kinds = {"shard": pa.int32(), "part": pa.int32(), "row": pa.int32(), "at": pa.int64(), "words": pa.string(),
                  "copies": pa.binary()}
         made = {k: pa.array(v, kinds[k]) for k, v in out.items()}
