@@ -30,7 +30,8 @@ def split(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[float]:
     """Borders of blocks, whose number grows with the text. The driver gets one sum and the borders, eight bytes each."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(LEAST_BLOCKS, math.ceil(size / block_bytes))
-    return sorted(set(docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (8 * n)) if size else []))
+    borders = docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (8 * n)) if size else []
+    return sorted(set(borders)) or [0.0]
 
 
 def with_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, list[float]]:

@@ -9,7 +9,7 @@ of each query; the k best of all blocks follow from those. Work is queries times
 a task holds one block and one group only. Queries are copied to every block; vectors are copied once for every group of queries.
 
 Scores are exact integers: components are floor(scale * x). Products are summed in doubles where that is exact (sums below 2**53),
-and else as Python integers.
+and else as Python integers; a score beyond 64 bits is an error.
 
 Defined results: vectors that are null, or hold null or non-finite components, take no part, and neither do rows without an id;
 vectors of another length than the query have no score with it; equal scores go by the smaller id; fewer than k candidates give
