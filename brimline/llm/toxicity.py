@@ -99,7 +99,10 @@ def features(data: np.ndarray, offsets: np.ndarray, odds: np.ndarray, insults: n
     b = np.minimum(np.arange(len(text)) + NEAR + 1, firsts[text + 1])
     close = rude & (between(near, a, b) > 0)
 
-    read = _READ[data]
+    # A sign at the end of a word is punctuation.
+    inside = np.zeros(len(data), bool)
+    inside[:-1] = ~X.NOT_ALNUM[data[1:]]
+    read = np.where(inside | ~X.NOT_ALNUM[data], _READ[data], data)
     rs, re_, rf = X.words(read, offsets, _NOT_LETTER)
     hidden = np.bincount(np.repeat(np.arange(n), np.diff(rf)), member(X.span_hashes(read, rs, re_), insults), n)
     rude_count = np.bincount(text, rude, n)
