@@ -5,7 +5,8 @@ documents (brimline.llm.blocks), and at least c(s, t) = ceil(3 (s + t) / 7) shin
 
 * Light sets, up to a boundary size, enumerate all subsets of the fixed size c(s, t) for every size t they may link with; two
   light sets that link have such a subset in common, and few that do not.
-* Heavy sets scan the inverted lists of their prefix. Shingles of one set only have no list. Light sets close to the
+* Heavy sets scan the inverted lists of their prefix, as far as the places of a shingle in both sets still allow a link.
+  Shingles of one set only have no list. Light sets close to the
   boundary stand in the lists too, for links with heavy ones.
 * The boundary comes from costs: the largest size up to which all subsets are fewer than the entries of the lists that the
   same sets would scan.
@@ -29,15 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from brimline.llm import blocks as B, text as X
-from brimline.llm.shared import free_shuffles
-from brimline.sources.writers import materialize
+from brimline.llm.shared import Scratch, free_shuffles
 
 SIZE = 5
 #: Sizes that can be light at most; turns in which the largest part of a list gives the hubs, after the first turn.
 MOST_LIGHT = 16
 LARGE_TURNS = 2
 
-ROW = ("doc_id {kind}, at long, n_shingles long, set_id binary, scan long, prefix array<long>, shingles array<long>")
+ROW = ("doc_id {kind}, at long, n_shingles long, set_id binary, scan long, prefix array<long>, places array<int>, "
+       "shingles array<long>")
 
 
 def _sets(block: pa.Table, size: int):
@@ -94,22 +95,25 @@ def shingle_table(docs: DataFrame, size: int, borders: list[float]) -> DataFrame
         held = np.bincount(row, minlength=table.num_rows)
         starts = np.cumsum(held) - held
         key, count = key[order].astype(np.int64), count[order]
-        prefix, scan, shingles = [None] * table.num_rows, np.zeros(table.num_rows, np.int64), [None] * table.num_rows
+        prefix, places, shingles = ([None] * table.num_rows for _ in range(3))
+        scan = np.zeros(table.num_rows, np.int64)
         for i in np.flatnonzero(held):
             a, s = starts[i], held[i]
             rare = slice(a, a + s - (3 * s + 3) // 4 + 1)
             recurs = count[rare] > 1
             if recurs.any():
                 prefix[i], scan[i] = key[rare][recurs], count[rare][recurs].sum()
+                places[i] = np.flatnonzero(recurs)
                 shingles[i] = key[a : a + s]
         ids = [d.tobytes() if m else None for d, m in zip(digest, n_shingles)]
         return pa.table({
             "doc_id": table["doc_id"], "at": (np.int64(block) << 32) + np.arange(table.num_rows),
             "n_shingles": n_shingles.astype(np.int64), "set_id": pa.array(ids, pa.binary()), "scan": scan,
-            "prefix": pa.array(prefix, pa.list_(pa.int64())), "shingles": pa.array(shingles, pa.list_(pa.int64()))})
+            "prefix": pa.array(prefix, pa.list_(pa.int64())), "places": pa.array(places, pa.list_(pa.int32())), "shingles": pa.array(shingles, pa.list_(pa.int64()))})
 
     arrow = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()),
-                       ("scan", pa.int64()), ("prefix", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))])
+                       ("scan", pa.int64()), ("prefix", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())),
+                       ("shingles", pa.list_(pa.int64()))])
     answers = B.ask(blocks, n, keys, answer)
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(describe, ROW.format(kind="bigint"))
 
@@ -145,7 +149,8 @@ def boundary(sizes: dict[int, tuple[int, int]]) -> int:
 
 
 def _lists(nodes: DataFrame, most: int) -> DataFrame:
-    """(key, node, size): entries of inverted lists of heavy sets, and of lists of subsets of light ones, with two nodes or more."""
+    """(key, node, size, place): entries of inverted lists of heavy sets, and of lists of subsets of light ones, with two nodes
+    or more. place is the number of rarer shingles of the set."""
     def enumerate_subsets(batches):
         for batch in batches:
             keys, owner, sizes = [], [], []
@@ -161,53 +166,54 @@ def _lists(nodes: DataFrame, most: int) -> DataFrame:
                     sizes += [s] * len(h)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([np.zeros(0, np.int64), *keys])), pa.array(owner, pa.int64()),
-                 pa.array(sizes, pa.int64())], ["key", "node", "size"])
+                 pa.array(sizes, pa.int64()), pa.array(np.zeros(len(owner), np.int32))], ["key", "node", "size", "place"])
 
-    heavy = nodes.where(F.col("size") >= (3 * (most + 1) + 3) // 4).select(F.explode("prefix").alias("key"), "node", "size")
+    heavy = nodes.where(F.col("size") >= (3 * (most + 1) + 3) // 4).select(
+        "node", "size", F.inline(F.arrays_zip(F.col("prefix").alias("key"), F.col("places").alias("place")))).select(
+        "key", "node", "size", "place")
     light = nodes.where(F.col("size") <= most).select("node", "size", "shingles").mapInArrow(
-        enumerate_subsets, "key long, node long, size long")
+        enumerate_subsets, "key long, node long, size long, place int")
     entries = heavy.union(light)
     shared = entries.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("key")
     return entries.join(shared, "key")
 
 
-def _merge(links: DataFrame, parts: DataFrame) -> DataFrame:
+def _merge(links: DataFrame, parts: DataFrame, scratch: Scratch) -> DataFrame:
     """parts (node, part) after joining the parts of linked nodes; the smallest node names a part."""
     a, b = parts.toDF("a", "pa"), parts.toDF("b", "pb")
     edges = links.join(a, "a").join(b, "b").where("pa <> pb").select("pa", "pb")
-    edges = materialize(edges.union(edges.select("pb", "pa")).distinct())
-    labels = materialize(edges.select(F.col("pa").alias("part")).distinct().withColumn("least", F.col("part")))
+    edges = scratch.store(edges.union(edges.select("pb", "pa")).distinct())
+    labels = edges.select(F.col("pa").alias("part")).distinct().withColumn("least", F.col("part"))
     while True:
-        near = edges.join(labels.toDF("pb", "other"), "pb").groupBy(F.col("pa").alias("part")).agg(
-            F.min("other").alias("other"))
-        step = labels.join(near, "part").select("part", "least", F.least("least", "other").alias("new"))
-        jump = labels.toDF("new", "beyond")
-        done = materialize(step.join(jump, "new").select("part", "least", F.least("new", "beyond").alias("new")))
-        changed = not done.where("new <> least").isEmpty()
-        labels = done.select("part", F.col("new").alias("least"))
-        if not changed:
-            break
-    return parts.join(labels, "part", "left").select("node", F.coalesce("least", "part").alias("part"))
-
-
-def _hubs(lists: DataFrame, parts: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Entries (with `part`) of lists that still have several parts, and the hubs that their other parts are compared with.
-
-    First the smallest node of a list, then a few of its largest part, which most others join if they join any; then
-    more and more of the other parts, until no list has several.
-    """
+        for _ in range(2):  # the least label of the neighbours, then the label of that label
+            near = edges.join(labels.toDF("pb", "other"), "pb").groupBy(F.col("pa").alias("part")).agg(
+                F.min("other").alias("other"))
+            step = labels.join(near, "part").select("part", F.least("least", "other").alias("new"))
+            labels = step.join(labels.toDF("new", "beyond"), "new").select("part", F.least("new", "beyond").alias("least"))
+        labels = scratch.store(labels)
+        ends = edges.join(labels.toDF("pa", "la"), "pa").join(labels.toDF("pb", "lb"), "pb")
+        if ends.where("la <> lb").isEmpty():
+            return parts.join(labels, "part", "left").select("node", F.coalesce("least", "part").alias("part"))
+
+
+def _hubs(lists: DataFrame, parts: DataFrame) -> DataFrame:
+    """Entries of lists that still have several parts, with `part` and the largest part of the list."""
     now = lists.join(parts, "node")
     sizes = now.groupBy("key", "part").agg(F.count(F.lit(1)).alias("members"))
     top = sizes.groupBy("key").agg(F.max(F.struct("members", "part")).alias("top"), F.count(F.lit(1)).alias("parts"))
-    now = now.join(top.where("parts > 1").select("key", F.col("top.part").alias("large")), "key")
-    hub = F.min(F.struct("node", "size", "part")).alias("hub")
+    return now.join(top.where("parts > 1").select("key", F.col("top.part").alias("large")), "key")
+
+
+def _choose(now: DataFrame, turn: int) -> DataFrame:
+    """The hubs of a turn: the first node of a list, then a few of its largest part, which most others join if they join any; then
+    more and more of the other parts, until no list has several."""
+    hub = F.min(F.struct("node", "size", "place", "part")).alias("hub")
     if turn == 0:
         found = now.groupBy("key").agg(hub)
     else:
         side = F.col("part") == F.col("large") if turn <= LARGE_TURNS else F.col("part") != F.col("large")
-        found = now.where(side).groupBy("key", F.pmod(F.xxhash64("node"), F.lit(4 * 2**turn)).alias("deal")).agg(hub)
-    return now.select("key", "node", "size", "part"), found.select(
-        "key", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.part").alias("hub_part"))
+        found = now.where(side).groupBy("key", F.pmod(F.xxhash64("node"), F.lit(4**turn)).alias("deal")).agg(hub)
+    return found.select("key", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("node", "size", "place", "part")])
 
 
 def compare(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -217,39 +223,48 @@ def compare(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.where(7 * F.size(F.array_intersect("sa", "sb")) >= 3 * (F.size("sa") + F.size("sb"))).select("a", "b")
 
 
-def node_parts(nodes: DataFrame, most: int) -> DataFrame:
-    """(node, part): the component of every node that shares a list with another one, named by its smallest node."""
-    lists = materialize(_lists(nodes, most))
+def node_parts(nodes: DataFrame, most: int, scratch: Scratch) -> DataFrame:
+    """(node, part): the component of every node that shares a list with another one, named by its smallest node.
+
+    A hub meets a member at a shingle only if they could share enough from there on: as many as need() says, of those
+    that are not rarer in either set. A pair that links always passes at the rarest shingle that it shares.
+    """
+    lists = scratch.store(_lists(nodes, most))
     parts = lists.select("node").distinct().withColumn("part", F.col("node"))
-    tested, turn = None, 0
+    nodes = scratch.store(nodes.select("node", "shingles").join(parts.select("node"), "node", "left_semi"))
+    tested, turn, old = None, 0, None
     while True:
-        now, hubs = _hubs(lists, parts, turn)
-        now = materialize(now)
+        now = scratch.store(_hubs(lists, parts))
         if now.isEmpty():
             return parts
-        hubs = materialize(hubs)
+        hubs = _choose(now, turn)
         pairs = now.join(hubs, "key").where(
-            "part <> hub_part and 4 * least(size, hub_size) >= 3 * greatest(size, hub_size)").select(
-            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        linked = materialize(compare(pairs, nodes))
+            "part <> hub_part and 4 * least(size, hub_size) >= 3 * greatest(size, hub_size) and "
+            "7 * least(size - place, hub_size - hub_place) >= 3 * (size + hub_size)").select(
+            F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b")).distinct()
+        pairs = scratch.store(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        linked = scratch.store(compare(pairs, nodes))
         if not linked.isEmpty():
-            parts = materialize(_merge(linked, parts))
+            parts = scratch.store(_merge(linked, parts, scratch))
         tested = pairs if tested is None else tested.union(pairs)
-        lists = now.drop("part").join(hubs.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti")
-        turn += 1
+        lists = now.drop("part", "large").join(
+            hubs.select("key", F.col("hub_node").alias("node")), ["key", "node"], "left_anti")
+        scratch.drop(old)
+        old, turn = now, turn + 1
+        free_shuffles(nodes.sparkSession)
 
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, borders: list[float] | None = None) -> DataFrame:
     """(doc_id, at, n_shingles, part, component_id): part names the component, by the `at` of its first row."""
-    rows = materialize(shingle_table(docs, size, B.split(docs) if borders is None else borders))
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.store(shingle_table(docs, size, B.split(docs) if borders is None else borders))
     free_shuffles(docs.sparkSession)
     sets = rows.where("n_shingles > 0").groupBy("set_id").agg(F.min("at").alias("node"))
-    nodes = materialize(rows.where("prefix is not null").join(sets.select("node"), F.col("at") == F.col("node")).select(
-        "node", F.col("n_shingles").alias("size"), "scan", "prefix", "shingles"))
+    nodes = rows.where("prefix is not null").join(sets.select("node"), F.col("at") == F.col("node"), "left_semi").select(
+        F.col("at").alias("node"), F.col("n_shingles").alias("size"), "scan", "prefix", "places", "shingles")
     small = nodes.where(F.col("size") <= MOST_LIGHT).groupBy("size").agg(
         F.count(F.lit(1)).alias("n"), F.sum("scan").alias("scan")).collect()
-    parts = node_parts(nodes, boundary({r["size"]: (r["n"], r["scan"]) for r in small}))
+    parts = node_parts(nodes, boundary({r["size"]: (r["n"], r["scan"]) for r in small}), scratch)
     named = sets.join(parts, "node", "left").select("set_id", F.coalesce("part", "node").alias("part"))
     placed = rows.select("doc_id", "at", "n_shingles", "set_id").join(named, "set_id", "left").withColumn(
         "part", F.coalesce("part", "at"))

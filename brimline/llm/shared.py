@@ -1,13 +1,39 @@
-"""Small things about the session that several operators need."""
+"""Tables and shuffle files that work in several turns leaves behind."""
 
 from __future__ import annotations
 
 import gc
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from brimline.sources.writers import shared_folder
 
 
 def free_shuffles(spark: SparkSession) -> None:
     """Let go of shuffle files of finished work: Spark deletes them once the driver has collected what refers to them."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+class Scratch:
+    """Tables in the shared folder that a lost executor cannot take along, deleted when their turn is over."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.base, self.n = spark, shared_folder(spark), 0
+        self.paths: dict[int, str] = {}
+
+    def store(self, df: DataFrame) -> DataFrame:
+        """Write a table and read it back."""
+        path, self.n = f"{self.base}/{self.n}", self.n + 1
+        df.write.parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(stored)] = path
+        return stored
+
+    def drop(self, *stored: DataFrame | None) -> None:
+        """Delete stored tables that nothing reads any more."""
+        jvm = self.spark.sparkContext._jvm
+        for df in stored:
+            if df is not None and (path := self.paths.pop(id(df), None)):
+                at = jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
