@@ -41,8 +41,8 @@ def product_sums(keys, columns, halflife):
                     w = np.exp2((day[use] - newest) / float(h))
                     weighted, plain = (zs * w[:, None]).T @ zs, zs.T @ zs
                 out.append({
-                    **row, "last_day": newest, "last_sample": sample[at].max(), "lo": block.min(0),
-                    "hi": block.max(0), "weighted": weighted.ravel(), "plain": plain.ravel()})
+                    **row, "last_day": newest, "last_sample": sample[at].max(), "first": pdf["first"].iloc[at[0]],
+                    "lo": np.fmin.reduce(block, 0), "hi": np.fmax.reduce(block, 0), "weighted": weighted.ravel(), "plain": plain.ravel()})
             yield pd.DataFrame(out)
 
     return sums
@@ -69,10 +69,10 @@ def fold_sums(keys, halflife):
             factor = 1.0 if h is None or pd.isna(h) else np.exp2((day[fit] - latest) / float(h))[:, None]
             out.append({
                 **{k: first[k] for k in keys}, "fold": fold, "train_rows": train_rows, "test_rows": test_rows,
-                "lo": lo[own].min(0), "hi": hi[own].max(0),
+                "first": first["first"], "lo": np.fmin.reduce(lo[own], 0), "hi": np.fmax.reduce(hi[own], 0),
                 "fit_sums": (weighted[fit] * factor).sum(0), "val_sums": plain[val].sum(0)})
         return pd.DataFrame(out, columns=[
-            *keys, "fold", "train_rows", "test_rows", "lo", "hi", "fit_sums", "val_sums"])
+            *keys, "fold", "train_rows", "test_rows", "first", "lo", "hi", "fit_sums", "val_sums"])
 
     return combine
 
@@ -115,9 +115,10 @@ def ridge_solver(k_inputs, penalties):
                 better = mse < best
                 best, chosen = np.where(better, mse, best), np.where(better, p, chosen)
                 coef = np.where(better[:, None], raw, coef)
-            out = pdf[[c for c in pdf.columns if c not in ("lo", "hi", "fit_sums", "val_sums")]].copy()
+            out = pdf[[c for c in pdf.columns if c not in ("first", "lo", "hi", "fit_sums", "val_sums")]].copy()
             out["coef"] = list(coef)
-            out["intercept"] = mean[:, -1] - (coef * mean[:, :-1]).sum(1)
+            first = np.stack(pdf["first"])
+            out["intercept"] = first[:, -1] + mean[:, -1] - (coef * (first[:, :-1] + mean[:, :-1])).sum(1)
             out["penalty"] = chosen
             out["val_rmse"] = np.sqrt(np.maximum(best, 0.0))
             yield out

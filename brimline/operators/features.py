@@ -18,13 +18,16 @@ def by_date(*keys):
 
 
 def unique_dates(df: DataFrame, column="level", keys=("entity",)) -> DataFrame:
-    """Fail when a key repeats a date. Rides on the window shuffle the features need anyway."""
-    again = F.lag("date").over(by_date(*keys)) == F.col("date")
-    return df.withColumn("_again", again).withColumn(column, _checked(column, keys)).drop("_again")
+    """Fail when a key repeats a date or has a row without one. Rides on the window shuffle the features need anyway."""
+    return df.withColumn("_again", _repeats(by_date(*keys))).withColumn(column, _checked(column, keys)).drop("_again")
+
+
+def _repeats(w) -> Column:
+    return F.col("date").isNull() | F.coalesce(F.lag("date").over(w) == F.col("date"), F.lit(False))
 
 
 def _checked(column, keys=("entity",)) -> Column:
-    message = F.concat(F.lit("duplicate date "), F.col("date").cast("string"), F.lit(" for "),
+    message = F.concat(F.lit("duplicate date "), F.coalesce(F.col("date").cast("string"), F.lit("(none)")), F.lit(" for "),
                        F.concat_ws("/", *keys))
     return F.when(F.col("_again"), F.raise_error(message).cast("double")).otherwise(F.col(column))
 
@@ -211,7 +214,7 @@ def feature_frame(panel: DataFrame, lag_rows=DEFAULT_LAGS, horizons=HORIZONS,
     w = by_date()
     back = [k for k in _delta_lags(lag_rows)]
     df = panel.withColumns({
-        "_again": F.lag("date").over(w) == F.col("date"),
+        "_again": _repeats(w),
         **_shifts(production), **_rain_sums(rain, RAIN_DAYS),
         f"temp_{TEMP_DAYS}d": _trailing_days("avg", temp, TEMP_DAYS),
         **_lags(lag_rows, "level"), **_lags(back, "level", "_back_"),

@@ -39,11 +39,6 @@ def metrics(predictions: DataFrame, group=GROUP) -> DataFrame:
     )
 
 
-def rounded(table: DataFrame) -> DataFrame:
-    return table.withColumns({
-        "rmse": F.round("rmse", 2), "mae": F.round("mae", 2), "r2": F.round("r2", 4)})
-
-
 def missing_horizons(entities: DataFrame, produced: DataFrame, horizons=HORIZONS) -> DataFrame:
     """Expected (entity, horizon) pairs without metrics."""
     expected = entities.select(

@@ -5,6 +5,9 @@ and only the combined sums are solved. No training set is ever brought together.
 Spark ML model per (horizon, fold) over all entities.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
@@ -15,7 +18,7 @@ from brimline.functions.solve import fold_sums, product_sums, ridge_solver
 from brimline.operators.scaling import with_packed
 from brimline.operators.splits import (
     KEYS, cells, enough_train, fold_counts, fold_table, has_sequence, in_train, spread_folds,
-    training_rows, validation_cut, validation_tail,
+    validation_cut, validation_tail,
 )
 
 PENALTIES = (1e-6, 1e-4, 1e-2, 1.0)
@@ -23,12 +26,6 @@ PENALTIES = (1e-6, 1e-4, 1e-2, 1.0)
 REGISTRY = {"ols": "ols", "ridge": "ridge", "gbt": "gbt", "Dense": "ridge", "GRU": "ridge", "LSTM": "gbt"}
 
 
-def resolve_model(name: str) -> str:
-    if name not in REGISTRY:
-        raise ValueError(f"unknown model {name!r}; choose one of {', '.join(sorted(REGISTRY))}")
-    return REGISTRY[name]
-
-
 def model_column(name="model") -> Column:
     """Regressor for a settings column; an unknown key fails the job."""
     out = F.raise_error(F.concat(F.lit("unknown model "), F.col(name))).cast("string")
@@ -66,6 +63,16 @@ def _rescale(halflife) -> Column:
     return F.coalesce(decay(F.unix_date("latest") - end, halflife), F.lit(1.0))
 
 
+def _around_first(rows: DataFrame, columns) -> tuple[DataFrame, list[Column]]:
+    """The columns less their first value in the entity's series, and those values. One more pass of the entity's window."""
+    first = Window.partitionBy("entity").orderBy("date").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    names = [f"_first_{c}" for c in columns]
+    out = rows.withColumns({n: F.first(c, ignorenulls=True).over(first) for n, c in zip(names, columns)})
+    return out.withColumns({c: F.col(c) - F.coalesce(F.col(n), F.lit(0.0)) for n, c in zip(names, columns)}), [
+        F.coalesce(F.col(n), F.lit(0.0)) for n in names]
+
+
 def _halflife(halflife) -> Column:
     return F.col(halflife) if isinstance(halflife, str) else F.lit(float(halflife))
 
@@ -74,23 +81,27 @@ def _halflife(halflife) -> Column:
 
 
 def fit_ols(rows: DataFrame, x: str, halflife=None, keys=KEYS) -> DataFrame:
-    """Slope and intercept of target on x for every fold, weighted when a half-life is given."""
-    train = rows.withColumn("_x", F.col(x))
+    """Slope and intercept of target on x for every fold, weighted when a half-life is given.
+
+    Sums are taken around the first values of the entity, so they keep their digits when values are far from 0.
+    """
+    train, (x0, y0) = _around_first(rows.withColumn("_x", F.col(x)), ("_x", "target"))
     if halflife is None:
         train = train.withColumns({"_w": F.lit(1.0), "_block": F.lit(0)})
     else:
         halflife = _halflife(halflife)
         train = _block_weight(train, halflife)
     w = F.when(_sample() & F.col("train_after").isNotNull(), F.col("_w"))
+    first = {"s_x0": F.min(x0), "s_y0": F.min(y0)}
     sums = {
         "s_w": F.sum(w), "s_x": F.sum(w * F.col("_x")), "s_y": F.sum(w * F.col("target")),
         "s_xx": F.sum(w * F.col("_x") * F.col("_x")), "s_xy": F.sum(w * F.col("_x") * F.col("target")),
     }
-    spread = spread_folds(cells(train, sums, keys, ("_block",)), keys)
+    spread = spread_folds(cells(train, sums | first, keys, ("_block",)), keys)
     factor = F.lit(1.0) if halflife is None else _rescale(halflife)
     folds = spread.groupBy(*keys, "fold").agg(
         *fold_counts(),
-        *[F.sum(F.when(in_train(), F.col(s) * factor)).alias(s) for s in sums],
+        *[F.sum(F.when(in_train(), F.col(s) * factor)).alias(s) for s in sums], *[F.min(s).alias(s) for s in first],
     )
     spread_x = F.col("s_xx") - F.col("s_x") * F.col("s_x") / F.col("s_w")
     spread_xy = F.col("s_xy") - F.col("s_x") * F.col("s_y") / F.col("s_w")
@@ -99,8 +110,9 @@ def fit_ols(rows: DataFrame, x: str, halflife=None, keys=KEYS) -> DataFrame:
     return (
         folds.filter((F.col("test_rows") > 0) & enough_train())
         .withColumn("slope", slope)
-        .withColumn("intercept", (F.col("s_y") - F.col("slope") * F.col("s_x")) / F.col("s_w"))
-        .drop(*sums)
+        .withColumn("intercept", F.col("s_y0") - F.col("slope") * F.col("s_x0")
+                    + (F.col("s_y") - F.col("slope") * F.col("s_x")) / F.col("s_w"))
+        .drop(*sums, *first)
     )
 
 
@@ -116,11 +128,12 @@ def predict_ols(rows: DataFrame, models: DataFrame, x: str, keys=KEYS) -> DataFr
 
 
 def add_means(frame: DataFrame, columns, seq_lens) -> DataFrame:
-    """Mean of each column over the last L rows, for each distinct L, from running totals."""
+    """Mean of each column over the last L rows, for each distinct L, from running totals; NULL before row L."""
     order = "over (partition by entity order by date"
     out = frame.withColumns({f"_t_{c}": F.expr(f"sum(`{c}`) {order} rows unbounded preceding)") for c in columns})
     return out.withColumns({
-        f"{c}_mean_{n}": F.expr(f"(`_t_{c}` - lag(`_t_{c}`, {n}, 0d) {order})) / {n}d")
+        f"{c}_mean_{n}": F.expr(
+            f"case when row_number() {order}) >= {n} then (`_t_{c}` - lag(`_t_{c}`, {n}, 0d) {order})) / {n}d end")
         for c in columns for n in sorted(set(seq_lens))
     }).drop(*[f"_t_{c}" for c in columns])
 
@@ -143,13 +156,14 @@ def _own(f, keys):
     return hit
 
 
-def ridge_sums(rows: DataFrame, inputs, halflife=None, keys=KEYS) -> DataFrame:
+def ridge_sums(rows: DataFrame, inputs, halflife=None, keys=KEYS, around_first=False) -> DataFrame:
     """Sums of products of (1, inputs, target) per fold: `fit_sums` before the validation cut, `val_sums` after.
 
     Rows are first labelled with the number of cuts below them, so each cell lies on one side of every cut and one
     pass over the rows serves all folds. Tasks reduce each batch of rows to one matrix per cell; only matrices are
     shuffled, and a key holds a few of them. Matrices come back flat, with the training bounds of every element in
-    `lo` and `hi`.
+    `lo` and `hi`: of rows with a value, so a mean over a sequence counts from the first full one. With around_first,
+    sums are of values less the entity's first ones, which come back as `first`.
     """
     folds = fold_table(rows, keys).filter((F.col("test_rows") > 0) & enough_train())
     cuts = folds.withColumn("cut", validation_cut())
@@ -158,17 +172,21 @@ def ridge_sums(rows: DataFrame, inputs, halflife=None, keys=KEYS) -> DataFrame:
         *keys[1:], "fold", "cut", "latest", "train_rows", "test_rows")).alias("_folds"))
     every = [*inputs, "target"]
     below = F.filter("_folds", lambda f: _own(f, keys) & (f["cut"] < F.col("sample_no")))
+    held = [F.lit(0.0)] * len(every)
+    if around_first:
+        rows, held = _around_first(rows, every)
     train = (
         rows.filter("train_after is not null").join(packed, "entity")
         .withColumn("sample_no", F.col("row_no") - F.col("seq_len") + 1)
         .withColumn("part", F.size(below))
-        .select(*keys, "train_after", "part", F.unix_date("date").alias("day"), "sample_no", *every)
+        .select(*keys, "train_after", "part", F.unix_date("date").alias("day"), "sample_no", *every,
+                F.array(*held).alias("first"))
     )
     numbers = T.ArrayType(T.DoubleType())
     cell_schema = T.StructType([
         *train.select(*keys, "train_after", "part").schema, T.StructField("last_day", T.IntegerType()),
         T.StructField("last_sample", T.IntegerType()),
-        *[T.StructField(n, numbers) for n in ("lo", "hi", "weighted", "plain")],
+        *[T.StructField(n, numbers) for n in ("first", "lo", "hi", "weighted", "plain")],
     ])
     cell = train.mapInPandas(product_sums(keys, every, halflife), cell_schema)
     by_key = [k for k in keys if k in ("entity", "strategy", "horizon")]
@@ -179,15 +197,15 @@ def ridge_sums(rows: DataFrame, inputs, halflife=None, keys=KEYS) -> DataFrame:
     sums_schema = T.StructType([
         *train.select(*keys).schema, T.StructField("fold", T.IntegerType()),
         T.StructField("train_rows", T.LongType()), T.StructField("test_rows", T.LongType()),
-        *[T.StructField(n, numbers) for n in ("lo", "hi", "fit_sums", "val_sums")],
+        *[T.StructField(n, numbers) for n in ("first", "lo", "hi", "fit_sums", "val_sums")],
     ])
     return cell.join(listed, by_key).groupBy(*keys).applyInPandas(fold_sums(keys, halflife), sums_schema)
 
 
 def fit_ridge(rows: DataFrame, inputs, halflife=None, penalties=PENALTIES, keys=KEYS) -> DataFrame:
     """Ridge on inputs scaled by the training bounds, penalty chosen on the validation tail."""
-    sums = ridge_sums(rows, inputs, halflife, keys)
-    kept = sums.drop("lo", "hi", "fit_sums", "val_sums").schema
+    sums = ridge_sums(rows, inputs, halflife, keys, around_first=True)
+    kept = sums.drop("first", "lo", "hi", "fit_sums", "val_sums").schema
     schema = T.StructType([
         *kept,
         T.StructField("coef", T.ArrayType(T.DoubleType())),
@@ -210,11 +228,12 @@ def predict_ridge(rows: DataFrame, models: DataFrame, inputs, keys=KEYS) -> Data
 # --- pooled boosted trees -----------------------------------------------------------------------
 
 
-def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, sequence=None, **params) -> DataFrame:
+def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, sequence=None, parallelism=4, **params) -> DataFrame:
     """One pooled boosted model per (strategy, horizon, fold), stopped on the validation tail.
 
-    `sequence` names a column with the flattened sequence, used in place of `inputs`. The loop is over
-    horizons and folds only; the number of entities does not change the number of fits.
+    `sequence` names a column with the flattened sequence, used in place of `inputs`. There is a fit for each strategy,
+    horizon and fold, whatever the number of entities, half-lives and sequence lengths, and `parallelism` of them
+    run at a time. A fit reads the rows that train it, and a test row is scored once.
     """
     if sequence:
         rows = rows.withColumn("features", array_to_vector(sequence))
@@ -222,13 +241,7 @@ def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, s
         rows = VectorAssembler(inputCols=list(inputs), outputCol="features").transform(rows)
     rows = rows.select(*keys, "date", "row_no", "test_row_no", "train_after", "test_fold", "target", "features")
     folds = fold_table(rows, keys).filter((F.col("test_rows") > 0) & enough_train())
-    fits = [r for r in folds.select(*[k for k in keys[1:] if k != "seq_len"], "fold").distinct()
-            .orderBy("strategy", "horizon", "fold").collect()]
-    train = validation_tail(training_rows(rows, folds, keys))
-    if halflife is not None:
-        g = Window.partitionBy(*keys, "fold")
-        raw = F.coalesce(decay(F.datediff("latest", "date"), _halflife(halflife)), F.lit(1.0))
-        train = train.withColumn("_w", raw).withColumn("weight", F.col("_w") / F.avg("_w").over(g))
+    fits = folds.select("strategy", "horizon", "fold").distinct().orderBy("strategy", "horizon", "fold").collect()
     test = rows.filter(F.col("test_fold").isNotNull() & has_sequence())
     test = with_packed(test, folds, ["train_rows"], keys)
     trees = GBTRegressor(
@@ -236,14 +249,22 @@ def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, s
         validationIndicatorCol="is_val", **{"maxIter": 20, "maxDepth": 4, **params})
     if halflife is not None:
         trees = trees.setWeightCol("weight")
-    out = None
-    for f in fits:
+
+    def fit_one(f):
+        """The model of one fold, from the rows that train it; the half-life of an entity is a weight of its rows only."""
         same = (F.col("strategy") == f["strategy"]) & (F.col("horizon") == f["horizon"])
-        model = trees.fit(train.filter(same & (F.col("fold") == f["fold"])))
-        scored = model.transform(test.filter(same & (F.col("test_fold") == f["fold"])))
-        out = scored if out is None else out.unionByName(scored)
-    if out is None:
-        out = test.withColumn("yhat", F.lit(None).cast("double"))
+        own = folds.filter(same & (F.col("fold") == f["fold"])).select(*keys, "fold", "train_samples", "latest")
+        train = rows.filter(same & (F.col("train_after") < f["fold"]))
+        hit = [train[k].eqNullSafe(own[k]) for k in keys]
+        train = validation_tail(train.join(own, hit).select(train["*"], "fold", "train_samples", "latest"))
+        if halflife is not None:
+            raw = F.coalesce(decay(F.datediff("latest", "date"), _halflife(halflife)), F.lit(1.0))
+            train = train.withColumn("_w", raw).withColumn("weight", F.col("_w") / F.avg("_w").over(Window.partitionBy(*keys)))
+        return trees.fit(train).transform(test.filter(same & (F.col("test_fold") == f["fold"])))
+
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        scored = list(pool.map(fit_one, fits))
+    out = reduce(DataFrame.unionByName, scored) if scored else test.withColumn("yhat", F.lit(None).cast("double"))
     return out.select(
         *keys, F.col("test_fold").alias("fold"), "date", F.lit("gbt").alias("model"),
         F.col("target").alias("y"), "yhat")

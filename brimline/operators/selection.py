@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brimline.functions.lists import lag_names, split_names
 from brimline.settings import (
-    DEFAULT_END_DATE, DEFAULT_HALFLIVES, DEFAULT_LAGS, DEFAULT_MODEL, DEFAULT_SEQ_LENS, DEFAULT_STRATEGY,
-    END_DATES, HORIZONS, LEVEL_SUFFIX, SETTINGS_SCHEMA, STRATEGIES, WEATHER_MEASURES,
+    DEFAULT_HALFLIVES, DEFAULT_LAGS, DEFAULT_MODEL, DEFAULT_SEQ_LENS, DEFAULT_STRATEGY, HORIZONS, LEVEL_SUFFIX, SETTINGS_SCHEMA, STRATEGIES, WEATHER_MEASURES,
 )
 
 
@@ -32,6 +31,24 @@ def with_defaults(config: DataFrame) -> DataFrame:
     )
 
 
+def one_per_entity(config: DataFrame) -> DataFrame:
+    """Fail when an entity has several settings rows."""
+    rows = F.count(F.lit(1))
+    named = {f.name: F.first(f.name).alias(f.name) for f in SETTINGS_SCHEMA}
+    message = F.concat(F.lit("several settings rows for "), F.col("entity"))
+    checked = config.groupBy("entity").agg(rows.alias("_rows"), *named.values())
+    return checked.withColumn("model", F.when(F.col("_rows") > 1, F.raise_error(message).cast("string")).otherwise(
+        F.col("model"))).drop("_rows")
+
+
+def settings_of(entities: DataFrame, config: DataFrame) -> DataFrame:
+    """Complete settings of every entity; one without a row takes the defaults, and `has_settings` says so."""
+    own = one_per_entity(config).withColumn("has_settings", F.lit(True))
+    every = entities.select("entity").join(own, "entity", "left")
+    known = every.select("entity", F.coalesce("has_settings", F.lit(False)).alias("has_settings"))
+    return with_defaults(every).join(known, "entity")
+
+
 def settings_for(spark, entities, **settings) -> DataFrame:
     """Settings rows for named entities, e.g. an override passed in place of the stored config."""
     row = tuple(settings.get(f.name) for f in SETTINGS_SCHEMA)
@@ -75,6 +92,13 @@ def missing_production(config: DataFrame, known: DataFrame) -> DataFrame:
     return wanted.join(known, "series", "left_anti")
 
 
+def rows_cut(panel: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Rows of each entity before its start and after its end."""
+    date = F.col("date")
+    return panel.join(bounds.select("entity", "start_date", "end_date"), "entity").groupBy("entity").agg(
+        F.count_if(date < F.col("start_date")).alias("before_start"), F.count_if(date > F.col("end_date")).alias("after_end"))
+
+
 def _requested(spark, names: str) -> DataFrame:
     listed = spark.range(1).select(F.posexplode(split_names(F.lit(names))).alias("position", "entity"))
     return listed.groupBy("entity").agg(F.min("position").alias("position"))
@@ -103,15 +127,16 @@ def natural_start(panel: DataFrame) -> DataFrame:
     )
 
 
-def end_date(ends=None, default=DEFAULT_END_DATE) -> Column:
-    out = F.lit(dt.date.fromisoformat(default))
-    for entity, end in (END_DATES if ends is None else ends).items():
+def end_date(ends=None, default=None) -> Column:
+    """Last usable date: the entity's own one in `ends`, else the default, else NULL for no end."""
+    out = F.lit(None if default is None else dt.date.fromisoformat(default)).cast("date")
+    for entity, end in (ends or {}).items():
         out = F.when(F.col("entity") == entity, F.lit(dt.date.fromisoformat(end))).otherwise(out)
     return out
 
 
-def date_bounds(panel: DataFrame, start_year: int | None = None, ends=None, default_end=DEFAULT_END_DATE) -> DataFrame:
-    """First and last usable date per entity."""
+def date_bounds(panel: DataFrame, start_year: int | None = None, ends=None, default_end=None) -> DataFrame:
+    """First and last usable date per entity; a NULL end cuts nothing."""
     start = F.col("natural_start")
     if start_year is not None:
         start = F.greatest(start, F.lit(dt.date(start_year, 1, 1)))
@@ -123,6 +148,6 @@ def limit_dates(frame: DataFrame, bounds: DataFrame) -> DataFrame:
     """Keep dates inside the bounds; run it after the features, so windows still see earlier history."""
     return (
         frame.join(bounds.select("entity", "start_date", "end_date"), "entity")
-        .filter(F.col("date").between(F.col("start_date"), F.col("end_date")))
+        .filter((F.col("date") >= F.col("start_date")) & (F.col("end_date").isNull() | (F.col("date") <= F.col("end_date"))))
         .drop("start_date", "end_date")
     )

@@ -36,6 +36,8 @@ def by_horizon(frame: DataFrame, horizons=HORIZONS, seq_lens=DEFAULT_SEQ_LENS) -
 
     `seq_lens` is a list for all entities, or the name of an array column with one list per entity.
     """
+    if not isinstance(seq_lens, str) and len(seq_lens) != len(horizons):
+        raise ValueError(f"{len(horizons)} horizons but {len(seq_lens)} sequence lengths")
     lens = [F.get(F.col(seq_lens), i) for i in range(len(horizons))] if isinstance(seq_lens, str) else [
         F.lit(n) for n in seq_lens]
     pairs = [

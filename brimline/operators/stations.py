@@ -66,8 +66,13 @@ def side_by_side(long: DataFrame, columns, places: int, suffix: str, what: str)
     )
 
 
-def entity_production(production: DataFrame, config: DataFrame, places: int) -> DataFrame:
-    """Configured production series of each entity, `prod_p{position}`; absent series stay out."""
+def entity_production(days: DataFrame, production: DataFrame, config: DataFrame, places: int) -> DataFrame:
+    """Configured production series on the days of each entity, `prod_p{position}`; absent series stay out.
+
+    The join is on (series, date), so a series that many entities name spreads over its dates. A repeated
+    (series, date) fails.
+    """
     wanted = config.select("entity", F.posexplode("prod_cols").alias("position", "series"))
-    long = wanted.join(production, "series").withColumnRenamed("value", "prod")
+    values = unique_dates(production, "value", ("series",)).select("series", "date", F.col("value").alias("prod"))
+    long = days.select("entity", "date").join(wanted, "entity").join(values, ["series", "date"])
     return side_by_side(long, ["prod"], places, "p", "production series")

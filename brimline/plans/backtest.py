@@ -1,5 +1,6 @@
 """From daily tables to predictions and reports, for all entities in one plan."""
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -27,6 +28,7 @@ class Report(NamedTuple):
     summary: DataFrame
     residuals: DataFrame
     missing: DataFrame
+    warnings: DataFrame
 
 
 def roles(frame: DataFrame, strategies=STRATEGIES, split=SPLIT_DATE, months=FOLD_MONTHS,
@@ -50,9 +52,10 @@ def entity_frame(levels, weather, production, config, places=5, production_place
     around = S.empty_as_zero(S.station_frame(weather), station_columns)
     own = config.select("entity", "lag_days", F.size("weather_stations").alias("_stations"))
     base = cleaning.cap_level(X.unique_dates(levels)).join(own, "entity")
+    days = base.select("entity", "date")
     nearby = S.side_by_side(
-        S.join_stations(base.select("entity", "date"), around, config), station_columns, places, "s", "stations")
-    made = S.entity_production(production, config, production_places)
+        S.join_stations(days, around, config), station_columns, places, "s", "stations")
+    made = S.entity_production(days, production, config, production_places)
     df = base.join(nearby, ["entity", "date"], "left").join(made, ["entity", "date"], "left")
 
     prod = [f"prod_p{i}" for i in range(production_places)]
@@ -87,22 +90,56 @@ def default_means(frame: DataFrame) -> list[str]:
     return lags[:1] + [c for c in frame.columns if c.startswith(("rain_7d_s", "temp_7d_s", "prod_p"))]
 
 
-def run(levels, weather, production, config, *, places=None, production_places=None, horizons=HORIZONS,
+def warnings_of(levels, production, config, wanted, bounds, missing) -> DataFrame:
+    """(kind, entity, detail) of all that a run passes over: one row for each case."""
+    def row(df, kind, detail):
+        return df.select(F.lit(kind).alias("kind"), "entity", detail.cast("string").alias("detail"))
+
+    cut = selection.rows_cut(levels, bounds)
+    asked = F.col("requested_strategy")
+    out = [
+        row(cleaning.bad_levels(levels), "levels above the limit", F.col("bad_rows")),
+        row(config.where("not has_settings"), "no settings, defaults used", F.lit("")),
+        row(config.where(asked != F.col("strategy")), "unknown strategy, baseline used", asked),
+        row(selection.missing_production(config, production.select("series").distinct()), "production series absent",
+            F.col("series")),
+        row(cut.where("before_start > 0"), "rows before the start", F.col("before_start")),
+        row(cut.where("after_end > 0"), "rows after the end", F.col("after_end")),
+        row(missing, "no model for a horizon", F.col("horizon")),
+    ]
+    if wanted is not None:
+        out.append(row(wanted, "entity without levels", F.lit("")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def run(levels, weather, production, config, *, entities=None, places=None, production_places=None, horizons=HORIZONS,
         split=SPLIT_DATE, months=FOLD_MONTHS, start_year=None, ends=None, default_end=None, embargo=False,
         tree_params=None) -> Report:
     """The whole job. Settings decide per entity on stations, lags, model, sequence lengths and strategy.
 
-    `config` takes the raw settings rows; pass an override by changing its rows. `places` and `production_places` are
+    `entities` is a comma list of those to run; without one all that have levels run, and with none of them known the
+    job fails. Entities without settings take the defaults. Nothing is cut off the end unless `ends` or `default_end`
+    say so. `warnings` lists all that the run passes over.
+
+    `config` takes the raw settings rows; pass an override by changing its rows. An entity may have one row only. `places` and `production_places` are
     the most stations and series of any entity, read from the settings unless given. The feature table is
     written once to the shared folder and read by every fit and score.
     """
-    config = selection.with_defaults(config)
+    found = levels.select("entity").distinct()
+    unknown = None
+    if entities:
+        unknown = selection.unknown_entities(found, entities)
+        found = selection.choose_entities(found, entities)
+        levels = levels.join(found.select("entity"), "entity", "left_semi")
+    else:
+        unknown = config.select("entity").join(found, "entity", "left_anti")
+    config = materialize(selection.settings_of(found, config))
     lengths, lag_rows = _distinct_ints(config, "seq_lens"), _distinct_ints(config, "lag_days")
     places = _longest(config, "weather_stations") if places is None else places
     production_places = _longest(config, "prod_cols") if production_places is None else production_places
     frame = entity_frame(levels, weather, production, config, places, production_places, lag_rows, horizons)
-    bounds_args = {} if default_end is None else {"default_end": default_end}
-    frame = selection.limit_dates(frame, selection.date_bounds(cleaning.cap_level(levels), start_year, ends, **bounds_args))
+    bounds = selection.date_bounds(cleaning.cap_level(levels), start_year, ends, default_end)
+    frame = selection.limit_dates(frame, bounds)
     last = X.feature_columns(frame, horizons)
     means = default_means(frame)
     frame = models.add_means(splits.number_rows(frame, split), means, lengths)
@@ -123,6 +160,7 @@ def run(levels, weather, production, config, *, places=None, production_places=N
     )
     predictions = materialize(M.bounded(predictions))
     errors = M.metrics(predictions)
+    missing = M.missing_horizons(config.select("entity"), errors.select("entity", "horizon"), horizons)
     return Report(
         predictions, errors, M.summary(errors, splits.fold_table(rows, keys), horizons), M.residuals(predictions),
-        M.missing_horizons(config.select("entity"), errors.select("entity", "horizon"), horizons))
+        missing, warnings_of(levels, production, config, unknown, bounds, missing))

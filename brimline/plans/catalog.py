@@ -11,8 +11,6 @@ from brimline.settings import DEFAULT_SEQ_LENS, HORIZONS, LEVEL_SUFFIX, WEATHER_
 from brimline.sources import panels as P, readers, reshape, writers
 
 SPLIT = "2000-01-01"
-FLAGS = ("A", "N", "R")
-NATIONS = tuple(f"NATION_{i}" for i in range(25))
 BASELINE, WALK_FORWARD = splits.BASELINE, splits.WALK_FORWARD
 BOUND_COLUMNS = ("lag_7", "rain_30d", "temp_7d", "demand", "target")
 SEQUENCE_COLUMNS = ("lag_7", "delta_1", "rain_7d", "temp_7d", "month_sin")
@@ -32,11 +30,17 @@ def _text(c):
 # --- scans, layouts, cleaning -------------------------------------------------------------------
 
 
+def _names(df, column):
+    """Distinct values that become columns, so they are few."""
+    return [r[0] for r in df.select(column).where(f"{column} is not null").distinct().orderBy(column).collect()]
+
+
 def _wide_flags(spark, sf):
     """Flag panel in the wide daily layout of the input file."""
-    wide = P.flag_panel(spark, sf).groupBy("date").pivot("entity", list(FLAGS)).agg(
+    flags = _names(P.table(spark, sf, "lineitem"), "l_returnflag")
+    wide = P.flag_panel(spark, sf).groupBy("date").pivot("entity", flags).agg(
         F.first("level").alias("level"), F.first("rain").alias("rain"), F.first("temp").alias("temp"))
-    return wide.select("date", *[c for f in FLAGS for c in (
+    return wide.select("date", *[c for f in flags for c in (
         F.col(f"{f}_level").alias(f"{f}{LEVEL_SUFFIX}"),
         F.col(f"{f}_rain").alias(f"prcp_{f}"), F.col(f"{f}_temp").alias(f"tavg_{f}"))])
 
@@ -65,7 +69,7 @@ def _config_text(config):
 def config_scan(spark, sf):
     path = writers.shared_folder(spark)
     writers.write_config(P.region_config(spark, sf), path)
-    return _config_text(readers.read_config(spark, path))
+    return _config_text(readers.read_config(spark, path, whole_file=False))
 
 
 def unpivot_long(spark, sf):
@@ -80,7 +84,7 @@ def _station_series(spark, sf, measures=("prcp", "tavg", "tmax", "tmin")):
 
 def pivot_wide(spark, sf):
     series = _station_series(spark, sf, ("prcp",))
-    return reshape.pivot_series(series, [f"prcp_{n}" for n in NATIONS])
+    return reshape.pivot_series(series, [f"prcp_{n}" for n in _names(P.table(spark, sf, "nation"), "n_name")])
 
 
 def series_by_name(spark, sf):
@@ -469,19 +473,77 @@ def gbt_report(spark, sf):
     return _metrics(models.fit_predict_gbt(rows, inputs, maxIter=10, maxDepth=3))
 
 
-def config_report(spark, sf):
-    """The whole job on the region panel, each region with its own stations, lags, model and strategy."""
-    panel = P.region_panel(spark, sf)
+def _job_tables(spark, sf):
+    """The daily region panel, stored once for all that reads it, with its weather and production."""
+    panel = writers.materialize(P.region_panel(spark, sf))
     weather = P.station_panel(spark, sf).select(
         "station", "date", *[(F.col(m) if m in ("prcp", "tavg", "tmax", "tmin") else F.lit(None).cast("double")).alias(m)
                              for m in WEATHER_MEASURES])
     demand = panel.groupBy("date").agg(F.sum("demand").alias("value")).withColumn("series", F.lit("demand"))
-    report = backtest.run(
-        panel.select("entity", "date", "level"), weather, demand, P.region_config(spark, sf), split=SPLIT,
-        default_end="2001-12-31", tree_params={"maxIter": 5, "maxDepth": 3})
+    return panel.select("entity", "date", "level"), writers.materialize(weather), writers.materialize(demand)
+
+
+def config_report(spark, sf):
+    """The whole job on the region panel, each region with its own stations, lags, model and strategy."""
+    report = backtest.run(*_job_tables(spark, sf), P.region_config(spark, sf), split=SPLIT,
+                          tree_params={"maxIter": 5, "maxDepth": 3})
     return M.report_names(report.summary)
 
 
+def _ols_job(spark, sf):
+    """The whole job with one regressor: regions without stations, of mixed strategies, lengths and half-lives, one not
+    asked for, one asked for without levels, levels above the limit, and dates cut at both ends."""
+    levels, weather, demand = _job_tables(spark, sf)
+    spike = (F.col("entity") == "ASIA") & F.col("date").between("1998-03-01", "1998-03-03")
+    levels = levels.withColumn("level", F.when(spike, F.lit(130.0)).otherwise(F.col("level")))
+    config = P.region_config(spark, sf).where("entity <> 'EUROPE'").withColumns({
+        "model": F.lit("ols"), "weather_stations": F.array().cast("array<string>"),
+        "prod_cols": F.when(F.col("entity") == "ASIA", F.array(F.lit("absent_series"))),
+        "lag_days": F.array(F.lit(7), F.lit(14))})
+    named = selection.settings_for(spark, ["EUROPE"], model="ols", weather_stations=[], lag_days=[7, 14])
+    config = config.unionByName(named).where("entity <> 'AFRICA'")
+    africa = selection.settings_for(spark, ["AFRICA", "NOWHERE"], model="ols", strategy="walkfwd_expanding", lag_days=[7, 14],
+                                    halflives=[180], seq_lens=[20, 25, 40])
+    return backtest.run(
+        levels, weather, demand, config.unionByName(africa), entities="AFRICA, ASIA,EUROPE,MIDDLE EAST,NOWHERE",
+        split=SPLIT, start_year=1996, ends={"ASIA": "2001-06-30"}, default_end="2001-09-30")
+
+
+def config_ols_report(spark, sf):
+    return _round(_ols_job(spark, sf).metrics, 4)
+
+
+def prediction_sink(spark, sf):
+    """Predictions written as files and read back."""
+    path = writers.shared_folder(spark)
+    writers.write_predictions(_ols(spark, sf, BASELINE)[2], path)
+    back = spark.read.parquet(path)
+    return _round(back.select("entity", "strategy", "horizon", "date", "y", "yhat"), 4)
+
+
+def summary_sink(spark, sf):
+    """The summary written as CSV and read back."""
+    path = writers.shared_folder(spark)
+    table = summary_pivot(spark, sf)
+    writers.write_summary(table, path)
+    return spark.read.schema(table.schema).option("header", True).csv(path)
+
+
+def run_warnings(spark, sf):
+    """What the whole job passes over."""
+    return _ols_job(spark, sf).warnings
+
+
+def gbt_prediction_keys(spark, sf):
+    """Predictions of trees by key where entities differ in half-life: each test row is scored once."""
+    rows = writers.materialize(_roles(spark, sf, splits.STRATEGIES).filter("horizon = 7").withColumn(
+        "halflife", F.when(F.col("entity") == "A", F.lit(90)).when(F.col("entity") == "N", F.lit(365))))
+    keys = (*splits.KEYS, "halflife")
+    scored = models.fit_predict_gbt(rows, ("lag_7", "rain_30d"), "halflife", keys=keys, maxIter=2, maxDepth=2)
+    return scored.groupBy("entity", "strategy", "horizon", F.col("fold").cast("int").alias("fold")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("date").alias("n_dates"))
+
+
 def time_interpolate(spark, sf):
     return _round(splits.time_interpolate(_clean_dirty(spark, sf).select("entity", "date", "level")))
 
@@ -502,6 +564,8 @@ QUERIES = {f.__name__: f for f in (
     baseline_split, folds, fold_rows, strategy_union, sample_weights, validation_tail,
     scale_bounds, scaled_features, sequences_baseline, sequences_walkforward, context_rows,
     metrics_baseline, metrics_walkforward, metrics_nation_baseline, metrics_nation_walkforward, summary_pivot, missing_horizons, residual_report,
-    weighted_ols, ridge_statistics, ridge_pair_report, ridge_report, ridge_nation_report, gbt_report, config_report,
+    weighted_ols, ridge_statistics, ridge_pair_report, ridge_report, ridge_nation_report, gbt_report, config_report, config_ols_report,
+    run_warnings,
+    gbt_prediction_keys, prediction_sink, summary_sink,
     time_interpolate, test_fill,
 )}

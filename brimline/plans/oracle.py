@@ -251,8 +251,70 @@ select entity, strategy, model, {cells}, any_value(train_rows) as train_rows, an
 from errors left join counts using (entity) group by all"""
 
 
+_OLS_FEATURES = {
+    "level": "level", "lag_7": lag(7), "lag_14": lag(14), "delta_1": f"{lag(7)} - {lag(8)}", "delta_7": f"{lag(7)} - {lag(14)}",
+    "rolling_mean_30": mean_before(30), "rolling_mean_180": mean_before(180), "rolling_mean_365": mean_before(365),
+    "rolling_std_30": STD}
+OLS_JOB = f"""{REGION}, read_levels as (select entity, date,
+  case when entity = 'ASIA' and date between date '1998-03-01' and date '1998-03-03' then 130.0 else level end as level
+  from region_panel where entity in ('AFRICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')),
+levels as (select entity, date, case when level > 100 then null else level end as level from read_levels),
+raw_f as (select entity, date, {', '.join(f'{e} as {n}' for n, e in _OLS_FEATURES.items())} from levels),
+filled as (select entity, date, {', '.join(f'last_value({n} ignore nulls) over {FILL} as {n}' for n in _OLS_FEATURES)} from raw_f),
+ahead as (select *, {', '.join(f'lead(level, {h}) over {W} as target_{h}' for h, _ in HORIZONS)} from filled),
+bounds as (select entity, greatest(min(date) filter (where level is not null), date '1996-01-01') as first_day,
+  case when entity = 'ASIA' then date '2001-06-30' else date '2001-09-30' end as last_day from levels group by entity),
+frame as (select ahead.* from ahead join bounds using (entity) where date between first_day and last_day and
+  {' and '.join(f'{n} is not null' for n in [*_OLS_FEATURES, 'target_7', 'target_14', 'target_30'])}),
+numbered as (select *, row_number() over {W} as row_no, max(date) over (partition by entity) as last_date,
+  row_number() over (partition by entity, date >= {SPLIT} order by date) as part_no from frame),
+wanted as (select * from (values ('ASIA', 7, 10), ('ASIA', 14, 20), ('ASIA', 30, 30), ('EUROPE', 7, 30), ('EUROPE', 14, 60),
+  ('EUROPE', 30, 90), ('MIDDLE EAST', 7, 15), ('MIDDLE EAST', 14, 45), ('AFRICA', 7, 20), ('AFRICA', 14, 25),
+  ('AFRICA', 30, 40)) t(entity, horizon, seq_len)),
+h as (select numbered.*, horizon, seq_len, case horizon when 7 then target_7 when 14 then target_14 else target_30 end as target
+  from numbered join wanted using (entity)),
+starts as (select range as fold, cast({SPLIT} + to_months(cast(6 * range as integer)) as date) as test_start,
+  cast({SPLIT} + to_months(cast(6 * range + 6 as integer)) as date) as test_end from range(0, 40)),
+pairs as (select h.*, 'baseline' as strategy, 0 as fold,
+    case when date + horizon < {SPLIT} then 'train' when date >= {SPLIT} then 'test' end as role from h where entity <> 'AFRICA'
+  union all select h.*, 'walkfwd_expanding', fold, case when date < test_start then 'train' when date < test_end then 'test' end
+  from h join starts on test_start < last_date where entity = 'AFRICA'),
+sizes as (select entity, horizon, fold, count(*) filter (where role = 'train') as train_rows,
+  max(date) filter (where role = 'train') as latest from pairs group by all having count(*) filter (where role = 'test') > 0),
+used as (select pairs.*, latest from pairs join sizes using (entity, horizon, fold)
+  where role is not null and train_rows >= seq_len + 10 and (strategy = 'baseline' or train_rows > 60)),
+weighted as (select *, case when strategy = 'baseline' then 1.0 else exp(-date_diff('day', date, latest) * ln(2) / 180.0) end as w
+  from used where role = 'train' and row_no >= seq_len),
+centres as (select entity, horizon, fold, sum(w * lag_7) / sum(w) as mx, sum(w * target) / sum(w) as my from weighted group by all),
+models as (select entity, horizon, fold, any_value(mx) as mx, any_value(my) as my,
+  sum(w * (lag_7 - mx) * (target - my)) / nullif(sum(w * (lag_7 - mx) * (lag_7 - mx)), 0) as slope
+  from weighted join centres using (entity, horizon, fold) group by all),
+predictions as (select entity, strategy, 'ols' as model, horizon, date, target as y,
+  least(greatest(my + slope * (lag_7 - mx), 0), 100) as yhat from used join models using (entity, horizon, fold)
+  where role = 'test' and case when strategy = 'baseline' then part_no else row_no end >= seq_len)"""
+
+
 _kept = "entity, date"
 SQL = {
+    "config_ols_report": f"with {OLS_JOB}, {METRICS} select {METRIC_COLUMNS} from errors",
+    "run_warnings": f"""with {OLS_JOB}, {METRICS},
+cut as (select entity, count(*) filter (where date < first_day) as early, count(*) filter (where date > last_day) as late
+  from levels join bounds using (entity) group by entity),
+gone as (select entity, horizon from (select distinct entity from levels), (values (7), (14), (30)) t(horizon)
+  except select entity, horizon from errors)
+select 'levels above the limit' as kind, entity, cast(count(*) as varchar) as detail from read_levels where level > 100
+  group by entity
+union all select 'unknown strategy, baseline used', 'ASIA', 'rolling'
+union all select 'production series absent', 'ASIA', 'absent_series'
+union all select 'entity without levels', 'NOWHERE', ''
+union all select 'rows before the start', entity, cast(early as varchar) from cut where early > 0
+union all select 'rows after the end', entity, cast(late as varchar) from cut where late > 0
+union all select 'no model for a horizon', entity, cast(horizon as varchar) from gone""",
+    "gbt_prediction_keys": f"""with {FLAG_ROLES} select entity, strategy, horizon, cast(fold as integer) as fold,
+  count(*) as n_rows, count(distinct date) as n_dates from test where horizon = 7 group by all""",
+    "prediction_sink": f"""with {ols('baseline')} select entity, strategy, horizon, date, round(y, 4) as y, round(yhat, 4) as yhat
+from predictions""",
+    "summary_sink": _summary(),
     "slice_ols_report": f"""with {FLAG}, f as (select entity, date, {lag(7)} as lag_7, {lag(7)} - {lag(8)} as delta_1,
   {days('sum', 'rain', 7)} as rain_7d, {mean_before(30)} as rolling_mean_30, lead(level, 7) over {W} as target
   from flag_panel),

@@ -3,7 +3,6 @@
 from pyspark.sql import types as T
 
 # Names, dates and numbers that results depend on.
-ENTITIES = ("Guzelhisar", "Balcova", "Gordes", "Tahtali", "Urkmez", "AlacatiKutluAktas")
 LEVEL_SUFFIX = "DolulukOrani"
 WEATHER_MEASURES = ("tmax", "tmin", "tavg", "hum", "wind", "sun", "evap", "prcp")
 FLAGGED_MEASURES = ("prcp", "evap")

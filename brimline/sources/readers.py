@@ -11,21 +11,34 @@ def read_wide_csv(spark: SparkSession, path: str, date_column="Date") -> DataFra
     """Wide daily table: day-first text date plus numeric columns.
 
     Only the header line is read to learn the names; values are cast when a column is used, so no pass over the
-    data is spent on type inference and unused columns are never parsed.
+    data is spent on type inference and unused columns are never parsed. Text that is no date or no number fails the
+    job when its column is used: as NULL it would enter windows unseen.
     """
     raw = spark.read.option("header", True).csv(path)
     values = [c for c in raw.columns if c != date_column]
     return raw.select(
-        parse_day_first(F.col(f"`{date_column}`")).alias("date"),
-        *[finite(F.col(f"`{c}`").try_cast("double")).alias(c) for c in values])
+        _readable(F.col(f"`{date_column}`"), parse_day_first, "date").alias("date"),
+        *[finite(_readable(F.col(f"`{c}`"), lambda t: t.try_cast("double"), "double")).alias(c) for c in values])
 
 
-def read_config(spark: SparkSession, path: str, whole_file=False) -> DataFrame:
+def _readable(text, read, kind: str):
+    """The value of a text; empty text is NULL (never for a date), and other text without a value fails."""
+    message = F.concat(F.lit("unreadable "), F.lit(kind), F.lit(": "), F.coalesce(text, F.lit("(empty)")))
+    absent = F.trim(text).isin("", "NA", "null") | text.isNull()
+    value = read(text)
+    allowed = value.isNotNull() if kind == "date" else value.isNotNull() | absent
+    return F.when(allowed, value).otherwise(F.raise_error(message).cast(kind))
+
+
+def read_config(spark: SparkSession, path: str, whole_file=True) -> DataFrame:
     """Settings JSON, an object from entity to settings, as one row per entity.
 
-    A file may hold one object per line, which lets a large config split over tasks; `whole_file` reads a file
-    that spreads one object over many lines.
+    A file holds one object, spread over its lines as it likes. Without `whole_file` each line holds one, which lets a
+    large config split over tasks. Text that is no such object fails the job.
     """
-    text = spark.read.text(path, wholetext=whole_file)
-    settings = F.explode(F.from_json("value", CONFIG_SCHEMA)).alias("entity", "settings")
+    text = spark.read.text(path, wholetext=whole_file).where("trim(value) <> ''")
+    parsed = F.from_json("value", CONFIG_SCHEMA, {"mode": "FAILFAST"})
+    text = text.select(parsed.alias("value")).select(F.when(F.col("value").isNull(), F.raise_error(F.lit(
+        "settings are no JSON object")).cast(CONFIG_SCHEMA)).otherwise(F.col("value")).alias("value"))
+    settings = F.explode("value").alias("entity", "settings")
     return text.select(settings).select("entity", *[F.col(f"settings.{f.name}") for f in SETTINGS_SCHEMA])

@@ -23,15 +23,18 @@ def table(frame):
     return {e: g.sort_values("date", ignore_index=True) for e, g in frame.toPandas().groupby("entity")}
 
 
-def wf_folds(dates, start=pd.Timestamp("2023-01-01"), months=6):
-    dates = pd.to_datetime(dates)
-    out, fold, at = [], 0, start
-    while at < dates.max():
-        end = at + pd.DateOffset(months=months)
-        train, test = np.flatnonzero(dates < at), np.flatnonzero((dates >= at) & (dates < end))
-        if len(test) and len(train) > 60:
-            out.append((fold, train, test))
-        fold, at = fold + 1, end
+def wf_folds(dates, first="2023-01-01", months=6):
+    """(fold, train positions, test positions): month numbers decide the fold of each date."""
+    month = np.array([d.year * 12 + d.month for d in dates])
+    year, start, _ = map(int, first.split("-"))
+    fold = (month - year * 12 - start) // months
+    last = max(dates)
+    out = []
+    for k in sorted({int(f) for f in fold if f >= 0}):
+        train, test = np.nonzero(fold < k)[0], np.nonzero(fold == k)[0]
+        opens = dt.date(year + (start - 1 + months * k) // 12, (start - 1 + months * k) % 12 + 1, 1)
+        if len(train) > 60 and opens < last:
+            out.append((k, train, test))
     return out
 
 
@@ -228,7 +231,32 @@ def test_r2_edges(spark, y, yhat, want):
     assert got["r2"] == (pytest.approx(want) if want is not None else None)
 
 
-def test_unknown_model():
-    assert models.resolve_model("Dense") == "ridge"
-    with pytest.raises(ValueError):
-        models.resolve_model("Transformer")
+def test_unknown_model(spark):
+    named = spark.createDataFrame([("Dense",), ("LSTM",), ("ols",)], "model string")
+    assert [r[0] for r in named.select(models.model_column()).collect()] == ["ridge", "gbt", "ols"]
+    with pytest.raises(Exception, match="unknown model"):
+        spark.createDataFrame([("Transformer",)], "model string").select(models.model_column()).collect()
+
+
+def test_trees_score_each_row_once_under_mixed_half_lives(frame):
+    rows = backtest.roles(frame, ["baseline"], horizons=(7,), seq_lens=(30,)).withColumn(
+        "halflife", F.when(F.col("entity") == "E0", F.lit(90)).otherwise(F.lit(365)))
+    keys = (*splits.KEYS, "halflife")
+    got = models.fit_predict_gbt(rows, INPUTS, "halflife", keys=keys, maxIter=2, maxDepth=2)
+    assert got.count() == got.select("entity", "date").distinct().count() > 0
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e6, 1e9])
+def test_fits_keep_their_digits_far_from_zero(frame, offset):
+    rows = backtest.roles(frame, ["baseline"], horizons=(7,), seq_lens=(30,)).cache()
+    moved = rows.withColumn("lag_7", F.col("lag_7") + offset)
+    slopes = [[r["slope"] for r in models.fit_ols(d, "lag_7").orderBy("entity").collect()] for d in (rows, moved)]
+    assert np.allclose(*slopes, rtol=1e-5)
+    coefs = [[r["coef"] for r in models.fit_ridge(d, ("lag_7", "rain_30d")).orderBy("entity").collect()] for d in (rows, moved)]
+    assert np.allclose(*coefs, rtol=1e-5)
+
+
+def test_means_start_with_the_first_full_sequence(spark):
+    rows = [("a", DAY + dt.timedelta(days=i), float(i)) for i in range(10)]
+    got = models.add_means(spark.createDataFrame(rows, "entity string, date date, x double"), ["x"], [4]).orderBy("date")
+    assert [r["x_mean_4"] for r in got.collect()] == [None] * 3 + [i - 1.5 for i in range(3, 10)]

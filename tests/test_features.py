@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 
 from brimline.operators import cleaning, features as X, splits
-from helpers import DAY, pandas_features, panel, random_panel, to_spark
+from helpers import DAY, plain_features, panel, random_panel, to_spark
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +22,7 @@ def collected(df):
 def test_feature_frame_equals_pandas(spark, pdf):
     got = X.feature_frame(to_spark(spark, pdf))
     for entity, own in pdf.groupby("entity"):
-        want = pandas_features(own)
+        want = plain_features(own)
         have = collected(got.filter(got.entity == entity))
         assert list(have.index) == list(want.index) and len(want) > 100
         for c in want.columns:
@@ -33,7 +33,7 @@ def test_features_with_missing_levels_equal_pandas(spark):
     """Frames over raw levels need all values; lags and targets see gaps the fill closes later."""
     pdf = random_panel(entities=1, nulls=0.002, seed=11)
     got = collected(X.feature_frame(to_spark(spark, pdf)))
-    want = pandas_features(pdf)
+    want = plain_features(pdf)
     assert list(got.index) == list(want.index) and len(want) > 50
     for c in want.columns:
         np.testing.assert_allclose(got[c], want[c], rtol=1e-9, atol=1e-9, err_msg=c)

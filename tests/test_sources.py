@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from brimline.functions.calendar import parse_day_first
 from brimline.operators import cleaning, metrics as M, selection
 from brimline.plans import backtest
-from brimline.settings import END_DATES, ENTITIES, LEVEL_SUFFIX
+from brimline.settings import DEFAULT_END_DATE, END_DATES, LEVEL_SUFFIX
 from brimline.sources import readers, reshape, writers
 from helpers import random_panel
 
@@ -53,7 +53,7 @@ CONFIG = {
 
 def test_config_file_and_defaults(spark, tmp_path):
     path = write(tmp_path / "config.json", json.dumps(CONFIG, indent=2))
-    config = selection.with_defaults(readers.read_config(spark, path, whole_file=True))
+    config = selection.with_defaults(readers.read_config(spark, path))
     got = {r["entity"]: r for r in config.collect()}
     assert got["Balcova"]["strategy"] == "baseline" and got["Balcova"]["requested_strategy"] == "odd"
     assert got["Balcova"]["model"] == "GRU" and got["Balcova"]["seq_lens"] == [30, 60, 90]
@@ -70,15 +70,15 @@ def test_config_round_trip(spark, tmp_path):
     config = selection.settings_for(spark, ["a", "b"], prod_cols=["x"], seq_lens=[1, 2, 3])
     path = str(tmp_path / "config")
     writers.write_config(config, path)
-    assert sorted(map(str, readers.read_config(spark, path).collect())) == sorted(map(str, config.collect()))
+    assert sorted(map(str, readers.read_config(spark, path, whole_file=False).collect())) == sorted(map(str, config.collect()))
 
 
 def test_choose_entities(spark):
-    known = spark.createDataFrame([(e,) for e in ENTITIES], "entity string")
+    known = spark.createDataFrame([(e,) for e in ("Balcova", "Gordes", "Urkmez")], "entity string")
     got = selection.choose_entities(known, " Urkmez ,Nowhere,Balcova").orderBy("position").collect()
     assert [r["entity"] for r in got] == ["Urkmez", "Balcova"]
     assert [r["entity"] for r in selection.unknown_entities(known, "Urkmez,Nowhere").collect()] == ["Nowhere"]
-    assert selection.choose_entities(known).count() == len(ENTITIES)
+    assert selection.choose_entities(known).count() == 3
     with pytest.raises(ValueError):
         selection.choose_entities(known, "Nowhere")
 
@@ -87,7 +87,9 @@ def test_date_bounds(spark):
     rows = [("Guzelhisar", dt.date(2010, 5, 1), None), ("Guzelhisar", dt.date(2010, 5, 2), 1.0),
             ("Balcova", dt.date(2016, 1, 1), 1.0), ("Gordes", dt.date(2016, 1, 1), None)]
     panel = spark.createDataFrame(rows, "entity string, date date, level double")
-    got = {r["entity"]: (r["start_date"], r["end_date"]) for r in selection.date_bounds(panel, 2015).collect()}
+    got = {r["entity"]: (r["start_date"], r["end_date"]) for r in selection.date_bounds(
+        panel, 2015, END_DATES, DEFAULT_END_DATE).collect()}
+    assert all(r["end_date"] is None for r in selection.date_bounds(panel).collect())
     assert got == {
         "Guzelhisar": (dt.date(2015, 1, 1), dt.date.fromisoformat(END_DATES["Guzelhisar"])),
         "Balcova": (dt.date(2016, 1, 1), dt.date(2025, 11, 30))}
@@ -116,6 +118,7 @@ def test_whole_job(spark, tables, tmp_path):
         selection.settings_for(spark, ["Urkmez"], weather_stations=["S2"], lag_days=[7, 14], seq_lens=[10, 20, 30],
                                halflives=[90], strategy="walkfwd_expanding", model="Dense"))
     report = backtest.run(*tables, config)
+    assert report.warnings.count() == 0
     summary = {r["entity"]: r for r in report.summary.collect()}
     assert summary["Balcova"]["model"] == "ols" and summary["Balcova"]["strategy"] == "baseline"
     assert summary["Urkmez"]["model"] == "ridge" and summary["Urkmez"]["strategy"] == "walkfwd_expanding"
