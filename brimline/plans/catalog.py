@@ -12,8 +12,6 @@ from brimline.sources import panels as P, readers, reshape, writers
 
 SPLIT = "2000-01-01"
 BASELINE, WALK_FORWARD = splits.BASELINE, splits.WALK_FORWARD
-BOUND_COLUMNS = ("lag_7", "rain_30d", "temp_7d", "demand", "target")
-SEQUENCE_COLUMNS = ("lag_7", "delta_1", "rain_7d", "temp_7d", "month_sin")
 GRAM_COLUMNS = ("lag_7", "rain_30d", "temp_7d")
 DIGITS = {"demand": 2, "rain_x_level": 4}
 
@@ -316,14 +314,22 @@ def validation_tail(spark, sf):
 # --- scaling and sequences ----------------------------------------------------------------------
 
 
+def _features(numbered):
+    """Feature columns of a numbered frame."""
+    return [c for c in X.feature_columns(numbered) if c not in ("row_no", "test_row_no", "last_date")]
+
+
 def scale_bounds(spark, sf):
-    bounds = scaling.fold_bounds(_roles(spark, sf, splits.STRATEGIES), BOUND_COLUMNS)
-    return _round(scaling.long_bounds(bounds, BOUND_COLUMNS), 4).drop("seq_len")
+    frame = _frame(spark, sf)
+    columns = [*X.feature_columns(frame), "target"]
+    bounds = scaling.fold_bounds(_roles(spark, sf, splits.STRATEGIES, frame=frame), columns)
+    return _round(scaling.long_bounds(bounds, columns), 4).drop("seq_len")
 
 
 def scaled_features(spark, sf):
-    rows = _roles(spark, sf, splits.STRATEGIES, frame=_stored(spark, sf, P.flag_panel))
-    columns = ("lag_7", "rain_30d", "target")
+    frame = _stored(spark, sf, P.flag_panel)
+    rows = _roles(spark, sf, splits.STRATEGIES, frame=frame)
+    columns = [*_features(frame), "target"]
     scaled = scaling.scale_rows(rows, scaling.fold_bounds(rows, columns), columns)
     out = scaling.unscale_rows(scaled, ["target"])
     return _round(out.select("entity", "strategy", "horizon", "date", *[f"scaled_{c}" for c in columns],
@@ -332,9 +338,11 @@ def scaled_features(spark, sf):
 
 def _sequences(spark, sf, strategy):
     frame = _stored(spark, sf, P.flag_panel)
+    columns = sorted(_features(frame))
+    frame = frame.withColumns({c: F.round(F.col(c) * 100) for c in columns})  # whole numbers add up alike in any order
     out = None
     for h, n in zip(HORIZONS, DEFAULT_SEQ_LENS):
-        one = sequences.add_sequences(frame, SEQUENCE_COLUMNS, n).withColumns({
+        one = sequences.add_sequences(frame, columns, n).withColumns({
             "strategy": F.lit(strategy), "horizon": F.lit(h), "seq_len": F.lit(n)})
         out = one if out is None else out.unionByName(one)
     rows = splits.with_roles(out, SPLIT)

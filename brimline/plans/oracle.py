@@ -140,6 +140,7 @@ test as (select t.* from tagged t join fold_sizes f using (entity, strategy, hor
 
 
 FLAG_ROLES = FLAG_FRAME + roles("lag_7, rain_30d, temp_7d, demand")
+FULL_ROLES = FLAG_FRAME + roles(", ".join(c for c in RAW if c != "level"))
 NATION_ROLES = NATION_FLAG + ", " + frame("nation_flag_panel") + roles("lag_7, rain_30d, temp_7d, demand")
 WEIGHT = "exp(-date_diff('day', date, latest) * ln(2) / 365.0)"
 
@@ -211,7 +212,8 @@ KNOWN = f"""{STATION}, {REGION}, known as (select series, count(value) as n_valu
   union all select concat(entity, '{SUFFIX}'), level from region_panel
   union all select 'demand', demand from region_panel) group by series)"""
 
-_sequence_value = "lag_7 + 2 * delta_1 + 3 * rain_7d + 4 * temp_7d + 5 * month_sin"
+FEATURES = sorted(c for c in RAW if c != "level")
+_sequence_value = " + ".join(f"{i + 1} * round({c} * 100)" for i, c in enumerate(FEATURES))
 
 
 def _sequences(strategy):
@@ -224,7 +226,7 @@ def _sequences(strategy):
     return f"""with {FLAG_FRAME}{roles("lag_7, rain_30d, temp_7d, demand")},
 valued as (select entity, date, {_sequence_value} as v from frame),
 seqs as ({' union all '.join(parts)})
-select entity, date, horizon, role, cast(len(vs) as integer) as n_steps, cast(len(vs) * 5 as integer) as n_values,
+select entity, date, horizon, role, cast(len(vs) as integer) as n_steps, cast(len(vs) * {len(FEATURES)} as integer) as n_values,
   round(list_sum(list_transform(vs, lambda v, i : v * i)), 4) + 0.0 as checksum
 from tagged join seqs using (entity, date, horizon, seq_len)
 where strategy = '{strategy}' and ({own})"""
@@ -446,17 +448,17 @@ select entity, horizon, fold, date, round(w / avg(w) over (partition by entity,
   count(*) over (partition by entity, strategy, horizon, fold) as n from train where row_no >= seq_len)
 select entity, strategy, horizon, fold, date, cast(sample_no as integer) as sample_no,
   sample_no > floor(n * 0.8) as is_val from s""",
-    "scale_bounds": f"with {FLAG_ROLES} " + " union all ".join(
+    "scale_bounds": f"with {FULL_ROLES} " + " union all ".join(
         f"""select entity, strategy, horizon, cast(fold as integer) as fold, '{c}' as feature,
   round(min({c}), 4) + 0.0 as lo, round(max({c}), 4) + 0.0 as hi
   from tagged join fold_sizes using (entity, strategy, horizon, fold) where role = 'train' group by 1, 2, 3, 4"""
-        for c in ("lag_7", "rain_30d", "temp_7d", "demand", "target")),
-    "scaled_features": f"with {FLAG_ROLES}, b as (select entity, strategy, horizon, fold, " + ", ".join(
-        f"min({c}) as lo_{c}, max({c}) as hi_{c}" for c in ("lag_7", "rain_30d", "target")
+        for c in [*FEATURES, "target"]),
+    "scaled_features": f"with {FULL_ROLES}, b as (select entity, strategy, horizon, fold, " + ", ".join(
+        f"min({c}) as lo_{c}, max({c}) as hi_{c}" for c in [*FEATURES, "target"]
     ) + """ from tagged where role = 'train' group by 1, 2, 3, 4)
 select entity, strategy, horizon, date, """ + ", ".join(
         r(f"({c} - lo_{c}) / coalesce(nullif(hi_{c} - lo_{c}, 0), 1)", 6, f"scaled_{c}")
-        for c in ("lag_7", "rain_30d", "target")
+        for c in [*FEATURES, "target"]
     ) + """, round(target, 6) as restored_target
 from tagged join b using (entity, strategy, horizon, fold) where role = 'test'""",
     "sequences_baseline": _sequences("baseline"),
