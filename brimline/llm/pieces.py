@@ -22,15 +22,16 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from brimline.llm import text as X
 
 SPACE = "▁"
-BATCH_WORDS = 4096
-#: Words that a worker remembers between batches.
-REMEMBERED = 1 << 20
+#: Words that advance together, rows that are read together, and words that a worker remembers between batches, at most.
+BATCH_WORDS, BATCH_ROWS = 4096, 512
+REMEMBERED = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 20
@@ -307,20 +308,20 @@ def encoder(vocabulary: Vocabulary) -> Encoder:
     return _encoders[vocabulary.digest]
 
 
-def _map(docs: DataFrame, path: str, source: str, target: str, kind: T.DataType, work) -> DataFrame:
-    kept = [c for c in docs.columns if c != target]
+def _map(docs: DataFrame, path: str, source: str, added: dict[str, T.DataType], work) -> DataFrame:
+    """Adds columns that work(encoder, source column) gives for a run of rows."""
+    kept = [c for c in docs.columns if c not in added]
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))  # its size is the model's
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                made = work(known, part.column(part.schema.get_field_index(source)))
-                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in kept], made],
-                                                 [*kept, target])
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(at, BATCH_ROWS)
+                column = lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([*map(column, kept), *work(known, column(source))], [*kept, *added])
 
-    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(target, kind)])
+    schema = T.StructType([*[docs.schema[c] for c in kept], *[T.StructField(c, kind) for c, kind in added.items()]])
     return docs.select(*dict.fromkeys([*kept, source])).mapInArrow(make, schema)
 
 
@@ -330,29 +331,36 @@ def _lists(flat: np.ndarray, counts: np.ndarray, nulls: np.ndarray) -> pa.Array:
                                     pa.array(flat.astype(np.int32)))
 
 
+IDS = T.ArrayType(T.IntegerType())
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds the ids of a text column."""
-    def work(known: Encoder, texts: pa.Array) -> pa.Array:
-        return _lists(*known.encode(texts), texts.is_null().to_numpy(zero_copy_only=False))
+    def work(known: Encoder, texts: pa.Array) -> list[pa.Array]:
+        return [_lists(*known.encode(texts), texts.is_null().to_numpy(zero_copy_only=False))]
 
-    return _map(docs, path, text, ids, T.ArrayType(T.IntegerType()), work)
+    return _map(docs, path, text, {ids: IDS}, work)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """Adds the text of an id column; null ids give a null text, and null elements count as the unknown piece."""
-    def work(known: Encoder, lists: pa.Array) -> pa.Array:
+    def work(known: Encoder, lists: pa.Array) -> list[pa.Array]:
         counts = lists.value_lengths().fill_null(0).to_numpy()
         flat = lists.flatten().fill_null(known.v.unknown).to_numpy()
-        return pa.array(known.decode(flat, counts), pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
+        return [pa.array(known.decode(flat, counts), pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))]
 
-    return _map(docs, path, ids, text, T.StringType(), work)
+    return _map(docs, path, ids, {text: T.StringType()}, work)
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """Adds to a table with a text column its ids, n_tokens, ids_sha256 (of the ids as joined text) and same: decoding gives
-    the text back."""
-    back = decode(encode(docs, path), path, text="decoded")
+    the text back. One pass over the rows encodes and decodes."""
+    def work(known: Encoder, texts: pa.Array) -> list[pa.Array]:
+        ids, counts = known.encode(texts)
+        back = pa.array(known.decode(ids, counts), pa.string())
+        return [_lists(ids, counts, texts.is_null().to_numpy(zero_copy_only=False)),
+                pc.fill_null(pc.equal(back, texts.cast(pa.string())), True)]
+
+    made = _map(docs, path, "text", {"ids": IDS, "same": T.BooleanType()}, work)
     ids = F.coalesce("ids", F.array().cast("array<int>"))
-    return back.withColumns({
-        "n_tokens": F.size(ids).cast("long"), "ids_sha256": F.sha2(F.array_join(ids, ","), 256),
-        "same": F.col("text").eqNullSafe(F.col("decoded"))}).drop("decoded")
+    return made.withColumns({"n_tokens": F.size(ids).cast("long"), "ids_sha256": F.sha2(F.array_join(ids, ","), 256)})
