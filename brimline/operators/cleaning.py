@@ -1,6 +1,6 @@
 """Cleaning of raw measurements."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from brimline.functions.numeric import finite
 from brimline.settings import FLAGGED_MEASURES, LEVEL_SUFFIX, MAX_LEVEL
@@ -51,7 +51,9 @@ def non_empty_series(series: DataFrame, keys=("series",)) -> DataFrame:
 
 
 def drop_empty_series(series: DataFrame, keys=("series",)) -> DataFrame:
-    return series.join(non_empty_series(series, keys).select(*keys), list(keys), "left_semi")
+    """Rows of series with a value, by one count of the key's rows next to them; the series is read once."""
+    whole = Window.partitionBy(*keys)
+    return series.withColumn("_values", F.count("value").over(whole)).filter("_values > 0").drop("_values")
 
 
 def drop_empty_columns(wide: DataFrame) -> DataFrame:

@@ -200,9 +200,10 @@ def feature_frame_supplier(spark, sf):
 
 
 def _known_series(spark, sf):
-    levels = P.region_panel(spark, sf).select(F.concat("entity", F.lit(LEVEL_SUFFIX)).alias("series"), F.col("level").alias("value"))
-    demand = P.region_panel(spark, sf).select(F.lit("demand").alias("series"), F.col("demand").alias("value"))
-    long = _station_series(spark, sf).select("series", "value").unionByName(levels).unionByName(demand)
+    own = P.region_panel(spark, sf).select(F.inline(F.array(
+        F.struct(F.concat("entity", F.lit(LEVEL_SUFFIX)).alias("series"), F.col("level").alias("value")),
+        F.struct(F.lit("demand").alias("series"), F.col("demand").alias("value")))))
+    long = _station_series(spark, sf).select("series", "value").unionByName(own)
     return long.groupBy("series").agg(F.count("value").alias("n_values"))
 
 
@@ -229,10 +230,11 @@ def station_features(spark, sf):
 
 
 def entity_subset(spark, sf):
-    panel = P.region_panel(spark, sf)
-    known = panel.groupBy("entity").agg(F.count(F.lit(1)).alias("n_dates"))
-    chosen = selection.choose_entities(known.select("entity"), " EUROPE, ATLANTIS ,AFRICA,ASIA")
-    return known.join(chosen, "entity").select("entity", "position", "n_dates")
+    """The choice is made among the few names, before the records are grouped."""
+    known = P.table(spark, sf, "region").select(F.col("r_name").alias("entity"))
+    chosen = selection.choose_entities(known, " EUROPE, ATLANTIS ,AFRICA,ASIA")
+    sizes = P.region_panel(spark, sf, chosen).groupBy("entity").agg(F.count(F.lit(1)).alias("n_dates"))
+    return sizes.join(chosen, "entity").select("entity", "position", "n_dates")
 
 
 def config_defaults(spark, sf):
@@ -260,7 +262,7 @@ def natural_start(spark, sf):
 
 
 def date_bounds(spark, sf):
-    panel = _sparse_levels(spark, sf)
+    panel = writers.materialize(_sparse_levels(spark, sf))
     bounds = selection.date_bounds(panel, 1996, {"S1": "2000-06-30"}, "2001-06-30")
     sizes = selection.limit_dates(panel, bounds).groupBy("entity").agg(F.count(F.lit(1)).alias("n_rows"))
     return bounds.join(sizes, "entity", "left").select(
@@ -418,9 +420,10 @@ def summary_pivot(spark, sf):
 
 
 def missing_horizons(spark, sf):
-    rows = _roles(spark, sf, [BASELINE], P.supplier_panel)
+    panel = writers.materialize(P.supplier_panel(spark, sf))
+    rows = backtest.roles(X.feature_frame(panel), [BASELINE], SPLIT)
     made = splits.fold_table(rows).filter((F.col("test_rows") > 0) & splits.enough_train())
-    entities = P.supplier_panel(spark, sf).select("entity").distinct()
+    entities = panel.select("entity").distinct()
     return M.missing_horizons(entities, made.select("entity", "horizon"))
 
 

@@ -45,9 +45,15 @@ def _with_supplier(spark, sf_dir):
         table(spark, sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
 
 
-def region_panel(spark, sf_dir):
-    """Rows are grouped by the region number; the name joins the few groups, not the rows."""
+def region_panel(spark, sf_dir, entities=None):
+    """Rows are grouped by the region number; the name joins the few groups, not the rows.
+
+    With `entities`, a table of names, the records of all others are left out before they are grouped.
+    """
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    if entities is not None:
+        region = region.join(entities, F.col("entity") == F.col("r_name"), "left_semi")
+        nation = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
     rows = _with_supplier(spark, sf_dir).join(nation, F.col("n_nationkey") == F.col("s_nationkey"))
     panel = _panel(rows, "n_regionkey").join(region, F.col("r_regionkey") == F.col("n_regionkey"))
     return _named(panel, F.col("r_name"))
