@@ -193,7 +193,8 @@ def test_pieces_equal_the_library(vocabulary):
     pick, library = random.Random(1), sentencepiece.SentencePieceProcessor(model_file=SP)
     names = [n.replace("▁", " ") for n in vocabulary.name]
     texts = ["".join(pick.choice(kind) for _ in range(pick.randint(0, 20)))
-             for kind in (PARTS, names, list("aeionrst "), list(" aa▁")) for _ in range(1500)] + ["ab" * 3000, "é" * 700]
+             for kind in (PARTS, names, list("aeionrst "), list(" aa▁")) for _ in range(1500)] + [
+                 "ab" * 3000, "é" * 700, "".join(pick.choice(names).strip() for _ in range(2000)), "①x日" * 400]
     known = pieces.Encoder(vocabulary)
     ids, counts = known.encode(pa.array(texts))
     parts = np.split(ids, np.cumsum(counts)[:-1])
