@@ -55,23 +55,24 @@ def ordered(block: pa.Table) -> pa.Table:
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """Ascending 64-bit numbers as the byte planes of their steps; the upper planes, all zero, are left out."""
+    """Ascending 64-bit numbers as the byte planes of their steps; planes that are all zero are left out."""
     if not len(numbers):
         return b""
     steps = np.diff(numbers.astype(np.uint64), prepend=np.uint64(0))
     first, steps[0] = int(steps[0]), 0
-    planes = max(1, (int(steps.max()).bit_length() + 7) // 8)
-    return first.to_bytes(8, "little") + bytes([planes]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[
-        :, :planes].T.tobytes()
+    every = int(np.bitwise_or.reduce(steps))
+    planes = [i for i in range(8) if every >> 8 * i & 255] or [0]
+    return first.to_bytes(8, "little") + bytes([sum(1 << i for i in planes)]) + steps.astype("<u8").view(np.uint8).reshape(
+        -1, 8)[:, planes].T.tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
     if not data:
         return np.zeros(0, np.uint64)
-    planes = data[8]
-    n = (len(data) - 9) // planes
+    planes = [i for i in range(8) if data[8] >> i & 1]
+    n = (len(data) - 9) // len(planes)
     steps = np.zeros((n, 8), np.uint8)
-    steps[:, :planes] = np.frombuffer(data, np.uint8, offset=9).reshape(planes, n).T
+    steps[:, planes] = np.frombuffer(data, np.uint8, offset=9).reshape(len(planes), n).T
     out = np.cumsum(steps.reshape(-1).view("<u8"), dtype=np.uint64)
     return out + np.uint64(int.from_bytes(data[:8], "little"))
 

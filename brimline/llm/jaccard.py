@@ -33,6 +33,9 @@ from brimline.llm import blocks as B, text as X
 from brimline.llm.shared import Scratch, free_shuffles
 
 SIZE = 5
+#: Counts are asked for by the upper 48 bits of a hash. Shingles that share them count together, which makes lists longer but
+#: loses nothing: any order of shingles that all documents see alike will do.
+UPPER = np.uint64(0xFFFFFFFFFFFF0000)
 #: Sizes that can be light at most; turns in which the largest part of a list gives the hubs, after the first turn.
 MOST_LIGHT = 16
 LARGE_TURNS = 2
@@ -74,8 +77,8 @@ def shingle_table(docs: DataFrame, size: int, borders: list[float]) -> DataFrame
 
     def keys(block: pa.Table):
         key, *_ = _sets(block, size)
-        new, of = B.groups(key)
-        return key[new], np.bincount(of, minlength=len(new)).astype("<i4")
+        new, of = B.groups(key & UPPER)
+        return (key & UPPER)[new], np.bincount(of, minlength=len(new)).astype("<i4")
 
     def answer(key, _, count):
         new, of = B.groups(key)
@@ -87,7 +90,7 @@ def shingle_table(docs: DataFrame, size: int, borders: list[float]) -> DataFrame
         block = table["block"][0].as_py()
         table = B.ordered(table)
         key, row, n_shingles, digest = _sets(table, size)
-        _, of = B.groups(key)
+        _, of = B.groups(key & UPPER)
         count = B.answers_of(answers, "<i4")[of].astype(np.int64)
         rank = (count.clip(max=65535).astype(np.uint64) << np.uint64(48)) | (key >> np.uint64(16))
         order = np.argsort(rank, kind="stable")
