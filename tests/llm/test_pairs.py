@@ -123,6 +123,7 @@ def test_phrase_finder_reads_words_not_hashes():
 
 
 def test_packed_numbers_and_blocks(spark):
+    assert (blocks.unpack(blocks.pack(np.array([7 << 16, 7 << 40], np.uint64))) == [7 << 16, 7 << 40]).all()
     for n in (0, 1, 1000):
         x = np.sort(np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
         assert (blocks.unpack(blocks.pack(x)) == x).all()
