@@ -13,7 +13,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def product_sums(keys, columns, halflife):
-    """Map over batches: one row of product sums over (1, columns) for each cell a batch touches.
+    """Map over batches: one row of product sums over (1, columns) for each cell a batch touches, the upper triangle only;
+    `plain` is NULL where it equals `weighted`.
 
     Weights count back from the newest day of the row set they are summed over, so they neither overflow nor
     vanish together. `halflife` is a key column, a number, or None for equal weights.
@@ -25,6 +26,7 @@ def product_sums(keys, columns, halflife):
             if not len(pdf):
                 continue
             z = np.column_stack([np.ones(len(pdf)), pdf[list(columns)].to_numpy(float)])
+            upper = np.triu_indices(z.shape[1])
             day = pdf["day"].to_numpy()
             sample = pdf["sample_no"].to_numpy()
             out = []
@@ -36,13 +38,13 @@ def product_sums(keys, columns, halflife):
                 row = dict(zip(cell, key))
                 h = row[halflife] if isinstance(halflife, str) else halflife
                 if h is None or pd.isna(h):
-                    weighted = plain = zs.T @ zs
+                    weighted, plain = (zs.T @ zs)[upper], None
                 else:
                     w = np.exp2((day[use] - newest) / float(h))
-                    weighted, plain = (zs * w[:, None]).T @ zs, zs.T @ zs
+                    weighted, plain = ((zs * w[:, None]).T @ zs)[upper], (zs.T @ zs)[upper]
                 out.append({
                     **row, "last_day": newest, "last_sample": sample[at].max(), "first": pdf["first"].iloc[at[0]],
-                    "lo": np.fmin.reduce(block, 0), "hi": np.fmax.reduce(block, 0), "weighted": weighted.ravel(), "plain": plain.ravel()})
+                    "lo": np.fmin.reduce(block, 0), "hi": np.fmax.reduce(block, 0), "weighted": weighted, "plain": plain})
             yield pd.DataFrame(out)
 
     return sums
@@ -54,7 +56,8 @@ def fold_sums(keys, halflife):
     def combine(pdf):
         first = pdf.iloc[0]
         h = first[halflife] if isinstance(halflife, str) else halflife
-        weighted, plain = np.stack(pdf["weighted"]), np.stack(pdf["plain"])
+        weighted = np.stack(pdf["weighted"])
+        plain = np.stack([w if p is None else p for w, p in zip(pdf["weighted"], pdf["plain"])])
         lo, hi = np.stack(pdf["lo"]), np.stack(pdf["hi"])
         after, last = pdf["train_after"].to_numpy(), pdf["last_sample"].to_numpy()
         day = pdf["last_day"].to_numpy()
@@ -70,13 +73,21 @@ def fold_sums(keys, halflife):
             out.append({
                 **{k: first[k] for k in keys}, "fold": fold, "train_rows": train_rows, "test_rows": test_rows,
                 "first": first["first"], "lo": np.fmin.reduce(lo[own], 0), "hi": np.fmax.reduce(hi[own], 0),
-                "fit_sums": (weighted[fit] * factor).sum(0), "val_sums": plain[val].sum(0)})
+                "fit_sums": _whole((weighted[fit] * factor).sum(0)), "val_sums": _whole(plain[val].sum(0))})
         return pd.DataFrame(out, columns=[
             *keys, "fold", "train_rows", "test_rows", "first", "lo", "hi", "fit_sums", "val_sums"])
 
     return combine
 
 
+def _whole(upper):
+    """The flat symmetric matrix of an upper triangle."""
+    n = int((np.sqrt(8 * len(upper) + 1) - 1) / 2)
+    out = np.zeros((n, n))
+    out[np.triu_indices(n)] = upper
+    return np.where(out == 0, out.T, out).ravel()
+
+
 def _moments(flat, k):
     """Count, means and centred products from stacked flat sums over (1, inputs, target)."""
     sums = flat.reshape(-1, k + 1, k + 1)
