@@ -153,10 +153,9 @@ PARTS = ["a", "é", " ", "  ", "\n", "\t", " ", " ", "　", "'s", "1", "22",
 @given(st.lists(st.lists(st.sampled_from(PARTS), max_size=20).map("".join), min_size=1, max_size=5))
 def test_pieces_of_texts_encode_as_the_whole(texts):
     ids, counts = token_files.encoder(BPE).encode(pa.array(texts))
-    want = [t[2] - 1 for t in brute_tokens([(0, t) for t in texts])]
-    assert counts.tolist() == want
-    model = Tokenizer.from_file(BPE) if False else token_files.encoder(BPE).model
-    assert ids.tolist() == [i for t in texts for i in model.encode(t, add_special_tokens=False).ids]
+    want = [e.ids for e in token_files.encoder(BPE).model.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, want))
+    assert ids.tolist() == [i for w in want for i in w]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 17, 1000, 20000])
@@ -323,9 +322,9 @@ def test_pipeline_stages(spark, sf_dir, tables):
         out = stage(spark, docs, sf_dir).cache()
         after = {r.doc_id: r for r in out.collect()}
         if name == "toxicity":
-            rude = re.compile("|".join(toxicity.INSULTS[:40]))
-            assert all(d in after for d, t in before if not rude.search(t.lower()) and tables[1].get(d, {"toxic": 1})["toxic"] == 0
-                       ) or len(after) > 0.8 * len(before)
+            model = toxicity.fit(docs, read("labels"))
+            scores = toxicity.score(docs, model).collect()
+            assert set(after) == {r.doc_id for r in scores if r.score < toxicity.THRESHOLD} and len(after) > 0.8 * len(before)
         if name == "near_duplicates":
             assert set(after) == {d for (d, _), first in zip(before, brute_components(before)[2]) if first}
         if name == "decontamination":
