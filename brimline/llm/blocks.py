@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 LEAST_BLOCKS = 24
 
 POSTING = "bucket int, block int, keys binary, extra binary"
