@@ -77,6 +77,16 @@ def unpack(data: bytes) -> np.ndarray:
     return out + np.uint64(int.from_bytes(data[:8], "little"))
 
 
+def planes(rows: np.ndarray) -> bytes:
+    """The bytes of rows of numbers, plane by plane, so that small numbers compress well."""
+    return np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), -1).T.tobytes()
+
+
+def from_planes(data: bytes, dtype, n: int) -> np.ndarray:
+    """n rows of numbers from their planes."""
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, n).T).view(dtype)
+
+
 def cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where the ranges of keys begin in ascending keys; the number of ranges plus one numbers."""
     edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
@@ -101,15 +111,15 @@ def ask(blocks: DataFrame, buckets: int, keys: Callable, answer: Callable, side:
         return pa.table({
             "bucket": pa.array(full.astype(np.int32)), "block": pa.array(np.full(len(full), block, np.int32)),
             "keys": pa.array([pack(held[at[i] : at[i + 1]]) for i in full], pa.binary()),
-            "extra": pa.array([None if extra is None else extra[at[i] : at[i + 1]].tobytes() for i in full], pa.binary())})
+            "extra": pa.array([None if extra is None else planes(extra[at[i] : at[i + 1]]) for i in full], pa.binary())})
 
     def reply(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
         parts = [unpack(x) for x in table["keys"].to_pylist()]
         all_keys, sizes = np.concatenate(parts), [len(x) for x in parts]
         order = np.argsort(all_keys, kind="stable")
-        extra = None if table["extra"].null_count else np.frombuffer(b"".join(table["extra"].to_pylist()), np.int32).reshape(
-            len(order), -1)[order]
+        extra = None if table["extra"].null_count else np.concatenate(
+            [from_planes(x, "<i4", n) for x, n in zip(table["extra"].to_pylist(), sizes)])[order]
         from_block = np.repeat(table["block"].to_numpy(), sizes)[order]
         got = answer(all_keys[order], from_block, extra)
         out = np.empty_like(got)
@@ -117,7 +127,7 @@ def ask(blocks: DataFrame, buckets: int, keys: Callable, answer: Callable, side:
         ends = np.cumsum(sizes)
         return pa.table({
             "block": table["block"].combine_chunks(), "bucket": table["bucket"].combine_chunks(),
-            "answers": pa.array([out[e - n : e].tobytes() for e, n in zip(ends, sizes)], pa.binary())})
+            "answers": pa.array([planes(out[e - n : e]) for e, n in zip(ends, sizes)], pa.binary())})
 
     if side is None:
         posted = blocks.groupBy("block").applyInArrow(lambda table: send(table), POSTING)
@@ -127,9 +137,11 @@ def ask(blocks: DataFrame, buckets: int, keys: Callable, answer: Callable, side:
     return posted.groupBy("bucket").applyInArrow(reply, ANSWER)
 
 
-def answers_of(table: pa.Table, dtype) -> np.ndarray:
-    """The answers to a block's keys, in their order."""
-    return np.frombuffer(b"".join(table.sort_by("bucket")["answers"].to_pylist()), dtype)
+def answers_of(table: pa.Table, dtype, columns: int = 1) -> np.ndarray:
+    """The answers to a block's keys, in their order: a row of numbers for each."""
+    width = np.dtype(dtype).itemsize * columns
+    return np.concatenate([np.zeros((0, columns), dtype), *[
+        from_planes(x, dtype, len(x) // width) for x in table.sort_by("bucket")["answers"].to_pylist()]])
 
 
 def groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -91,7 +91,7 @@ def shingle_table(docs: DataFrame, size: int, borders: list[float]) -> DataFrame
         table = B.ordered(table)
         key, row, n_shingles, digest = _sets(table, size)
         _, of = B.groups(key & UPPER)
-        count = B.answers_of(answers, "<i4")[of].astype(np.int64)
+        count = B.answers_of(answers, "<i4")[of, 0].astype(np.int64)
         rank = (count.clip(max=65535).astype(np.uint64) << np.uint64(48)) | (key >> np.uint64(16))
         order = np.argsort(rank, kind="stable")
         order = order[np.argsort(row[order].astype(np.uint16) if table.num_rows < 65536 else row[order], kind="stable")]

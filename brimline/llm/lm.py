@@ -54,10 +54,10 @@ def _among(ids: pa.ChunkedArray, marked: np.ndarray) -> np.ndarray:
     return np.isin(ids.cast(pa.int64()).fill_null(0).to_numpy(), marked) & there
 
 
-def _count(table: pa.Table, marked: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _count(table: pa.Table, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ascending distinct keys of a block and their counts in all of its texts and in the marked ones."""
     words, pairs, firsts = _tokens(table)
-    here, n = _among(table["doc_id"], marked["doc_id"].cast(pa.int64()).to_numpy()), np.diff(firsts)
+    here, n = _among(table["doc_id"], marked), np.diff(firsts)
     target = np.repeat(here, n)
     keys = np.concatenate([words, pairs, [TOTAL, BEGIN]])
     in_target = np.concatenate([target, target, [n[here].sum(), (n[here] > 0).sum()]]).astype(np.int64)
@@ -89,10 +89,13 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     blocks, n, borders = B.with_blocks(docs)
     marked = B.place(target.select("doc_id").where("doc_id is not null").distinct(), borders)
 
+    def count(table: pa.Table, beside: pa.Table):
+        return _count(table, beside["doc_id"].cast(pa.int64()).to_numpy())
+
     def answer(keys, _, counts):
-        """Counts of the corpus, as two 64-bit numbers."""
+        """Counts of all other blocks, as two 64-bit numbers: 0 for most keys."""
         new, of = B.groups(keys)
-        return np.add.reduceat(counts.astype("<i8"), new, axis=0)[of]
+        return np.add.reduceat(counts.astype("<i8"), new, axis=0)[of] - counts
 
     def ids_of(table: pa.Table) -> pa.Table:
         ids = table["doc_id"].cast(pa.int64()).to_numpy().astype("<i8")
@@ -104,13 +107,12 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
             return pa.table({k: pa.array([], t) for k, t in SCORED})
         table = B.ordered(table)
         words, pairs, firsts = _tokens(table)
-        keys = np.unique(np.concatenate([words, pairs, [TOTAL, BEGIN]]))
-        first = answers.sort_by("bucket")
-        is_marked = np.zeros(table.num_rows, bool)
+        first, ids = answers.sort_by("bucket"), np.zeros(0, np.int64)
         if first["bucket"][0].as_py() < 0:
-            is_marked = _among(table["doc_id"], np.frombuffer(first["answers"][0].as_py(), "<i8"))
-            first = first.slice(1)
-        counts = B.answers_of(first, "<i8").reshape(len(keys), 2)
+            first, ids = first.slice(1), np.frombuffer(first["answers"][0].as_py(), "<i8")
+        is_marked = _among(table["doc_id"], ids)
+        keys, own = _count(table, ids)
+        counts = B.answers_of(first, "<i8", 2) + own
         of = lambda k: counts[np.searchsorted(keys, k)]
         size = np.diff(firsts)
         row = np.repeat(np.arange(table.num_rows), size)
@@ -127,7 +129,7 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
         return pa.table({"doc_id": table["doc_id"], "n_tokens": size.astype(np.int64), "target_loss": loss[1],
                          "background_loss": loss[0], "score": loss[1] - loss[0]})
 
-    answers = B.ask(blocks, n, _count, answer, side=marked).union(
+    answers = B.ask(blocks, n, count, answer, side=marked).union(
         marked.groupBy("block").applyInArrow(ids_of, B.ANSWER))
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         weigh, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

@@ -98,7 +98,7 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, Data
         ids = _ids(table)
         key, row, at, _ = _windows(table, size)
         held, first, of = _first(key, row, at)
-        home, part_of, parts = B.answers_of(answers, "<i4").reshape(-1, 3).T
+        home, part_of, parts = B.answers_of(answers, "<i4", 3).T
         own = ids[row] == ids[row[first]][of]
         claimed = (home[of] < block) | ~own
         # A passage has the first windows of this block that occur again, in another block or in a later document of it.
