@@ -13,7 +13,8 @@ Files are written under another name and renamed, so a task that is run again le
 key follows from the borders of the ranges, and the first id of a shard in the whole stream from the manifest.
 
 Texts are cut before each single space that follows a visible character; the pre-tokenizer of a byte-level BPE cuts there too,
-so pieces can be encoded apart, and equal ones once.
+so pieces can be encoded apart, and equal ones once. The string of a special token in a text becomes that token, as in the library's
+own call; pieces keep such strings whole, as they hold no space.
 
 Defined results: a null or empty text has the end id only; rows without a doc_id come last, as copies of one key; repeated rows
 are copies; texts of any length are encoded whole; extra columns are not read.
@@ -50,7 +51,6 @@ class Encoder:
 
     def __init__(self, path: str):
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
         self.forget()

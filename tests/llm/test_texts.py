@@ -183,6 +183,17 @@ def test_token_query(spark, sf_dir, tables):
     assert [tuple(r) for r in got] == brute_tokens(sorted(tables[0].items()))
 
 
+def test_special_tokens_in_texts_as_the_library_has_them(spark):
+    texts = ["a <|endoftext|> b", "no such string", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y\n<|endoftext|> z", None]
+    model = Tokenizer.from_file(BPE)
+    want = [model.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
+    assert want[0] == [64, 220, 50256, 275, 0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = token_files.read_tokens(*token_files.write_tokens(docs, BPE), ids=True).orderBy("doc_id").collect()
+    assert [r.ids for r in got] == want
+    assert [r.start for r in got] == [sum(map(len, want[:i])) for i in range(len(want))]
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return pieces.Vocabulary(SP)
