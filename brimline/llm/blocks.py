@@ -1,52 +1,180 @@
 """Questions about keys that many documents hold, asked once per block of documents.
 
-Documents are dealt to blocks: consecutive ranges of doc_id with a few megabytes of text each. A block sends every
+Documents are dealt to blocks: consecutive ranges of doc_id with at most 5 MB of text each, or one longer text. A block sends every
 key (a 64-bit hash) that its documents hold once, whatever the number of documents that hold it, so no key has more postings
 than there are blocks: that is the aggregation before the shuffle that a hot key needs. Postings travel as packed arrays, one
 row for each block and range of keys. The range's task answers each posting, and the answers go back to the block, which
 reads its documents again from the same shuffle.
 
-Blocks are ordered: every doc_id of a block is smaller than every one of the next. Rows without a doc_id are in the last block.
+Blocks are ordered: every doc_id of a block is smaller than every one of the next, and rows without a doc_id come last. A doc_id
+with more text than a block holds, or the rows without one, have blocks of their own, in the order of the texts.
 """
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from brimline.sources.writers import materialize
 
 BLOCK_BYTES = 5 << 20
 LEAST_BLOCKS = 24
+#: What a row counts for besides its text, and the characters of a text that are looked at first.
+ROW_BYTES = 64
+PREFIX = 256
+
+KEY = ["nameless", "id", "void", "start"]
+RANGE = pa.schema([("nameless", pa.bool_()), ("id", pa.int64()), ("void", pa.bool_()), ("start", pa.string()),
+                   ("size", pa.int64()), ("n", pa.int64()), ("longest", pa.int32())])
 
 POSTING = "bucket int, block int, keys binary, extra binary"
 ANSWER = "block int, bucket int, answers binary"
 
 
-def split(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[float]:
-    """Borders of blocks, whose number grows with the text. The driver gets one sum and the borders, eight bytes each."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(LEAST_BLOCKS, math.ceil(size / block_bytes))
-    borders = docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (8 * n)) if size else []
-    return sorted(set(borders)) or [0.0]
+@dataclass(frozen=True)
+class Layout:
+    """Where ranges of rows begin, by (no doc_id, doc_id, no text, beginning of the text), and how many blocks deal out each of them:
+    several only for more equal rows than a block holds."""
+    starts: list[tuple[bool, int, bool, str]]
+    shares: list[int]
+
+    @property
+    def n(self) -> int:
+        return max(1, sum(self.shares))
+
+    def heads(self) -> np.ndarray:
+        """For each block the first one with its first doc_id: itself, but for the further blocks of a doc_id that fills several."""
+        out: list[int] = []
+        for i, (start, share) in enumerate(zip(self.starts, self.shares)):
+            own = len(out) if not i or start[:2] != self.starts[i - 1][:2] else out[-1]
+            out += [own] * share
+        return np.array(out or [0], np.int64)
+
+
+def _keys(docs: DataFrame, length: int) -> DataFrame:
+    """doc_id and text with the parts of a row's place in the order, with so many characters of the text."""
+    return docs.select(
+        "doc_id", "text", F.col("doc_id").isNull().alias("nameless"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+        (F.col("text").isNull() if length else F.lit(False)).alias("void"),
+        (F.coalesce(F.substring("text", 1, length), F.lit("")) if length else F.lit("")).alias("start"))
+
 
+def _sums(keyed: DataFrame) -> DataFrame:
+    return keyed.groupBy(*KEY).agg(
+        F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES).alias("size"),
+        F.count(F.lit(1)).alias("n"), F.max(F.coalesce(F.char_length("text"), F.lit(0))).alias("longest"))
 
-def with_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, list[float]]:
-    """(doc_id, text, block), the number of blocks and their borders."""
-    borders = split(docs, block_bytes)
-    return place(docs.select("doc_id", "text"), borders), len(borders) + 2, borders
 
+def _merged(rows: Iterable[tuple], most: int, one_id: bool) -> Iterator[tuple]:
+    """Ascending sums put together as far as they do not exceed `most` bytes; with one_id only those of one doc_id."""
+    held = None
+    for row in rows:
+        if held and held[4] + row[4] <= most and (not one_id or held[:2] == row[:2]):
+            held = (*held[:4], held[4] + row[4], held[5] + row[5], max(held[6], row[6]))
+        else:
+            if held:
+                yield held
+            held = row
+    if held:
+        yield held
 
-def place(rows: DataFrame, borders: list[float]) -> DataFrame:
-    """Adds the block of each row's doc_id."""
-    splits = [-math.inf, *borders, math.inf]
-    dealt = Bucketizer(splits=splits, inputCol="_at", outputCol="_dealt", handleInvalid="keep").transform(
-        rows.withColumn("_at", F.col("doc_id").cast("double")))
-    last = F.lit(float(len(splits) - 1))
-    return dealt.select(*rows.columns, F.coalesce("_dealt", last).cast("int").alias("block"))
+
+def _ranges(sums: DataFrame, most: int, one_id: bool) -> list[tuple]:
+    """Ranges of at most so many bytes, or with one key. Each task sends the driver about as many as there are blocks in its part."""
+    def cut(batches):
+        rows = (r for x in batches for r in zip(*(c.to_pylist() for c in x.columns)))
+        out = list(_merged(rows, most, one_id))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(RANGE), RANGE)], schema=RANGE)
+
+    found = sums.repartitionByRange(*KEY).sortWithinPartitions(*KEY).mapInArrow(cut, sums.schema).collect()
+    return list(_merged(sorted(map(tuple, found)), most, one_id))
+
+
+def split(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Layout:
+    """Ranges of equally many bytes, each row counted with ROW_BYTES more. A doc_id (or none) whose rows exceed a block is cut by the
+    beginnings of its texts, as many characters as it takes, and equal rows that exceed one are dealt to several.
+
+    The driver gets a row for each block.
+    """
+    docs = docs.select("doc_id", "text")
+    sums = materialize(_sums(_keys(docs, 0)))
+    size = sums.agg(F.sum("size")).first()[0] or 0
+    most = math.ceil(size / max(LEAST_BLOCKS, math.ceil(size / block_bytes)))
+    found, done, before, length = _ranges(sums, most, False), [], 0, PREFIX
+    while found:
+        again = []
+        for r in found:
+            if r[4] <= most or r[5] == 1:
+                done.append((r[:4], 1))
+            elif before and r[6] <= before:
+                done.append((r[:4], math.ceil(r[4] / most)))
+            else:
+                again.append(r[:4])
+        if not again:
+            break
+        chosen = docs.sparkSession.createDataFrame(again, "nameless boolean, id long, void boolean, start string")
+        rows = _keys(docs, before).join(F.broadcast(chosen), KEY, "left_semi")
+        found, before, length = _ranges(_sums(_keys(rows, length)), most, True), length, min(length * 16, 2**31 - 1)
+    done.sort()
+    starts = [k for k, _ in done]
+    first = [not i or k[:2] != starts[i - 1][:2] for i, k in enumerate(starts)]
+    return Layout([(*k[:2], False, "") if new else k for k, new in zip(starts, first)], [n for _, n in done])
+
+
+def with_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, Layout]:
+    """(doc_id, text, block), the number of blocks and their layout."""
+    layout = split(docs, block_bytes)
+    return place(docs.select("doc_id", "text"), layout), layout.n, layout
+
+
+def _search(starts: Column, n: int, key: Column) -> Column:
+    """How many of n ascending starts are not above the key."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= n) & (F.get(starts, at + step - 1) <= key), at + step).otherwise(at)) if n else F.lit(0)
+
+
+def _range_of(layout: Layout, void: Column, text: Column) -> Column:
+    """The number of the range that a row with this text is in."""
+    starts, bare = layout.starts[1:], F.col("doc_id").isNull()
+    if not any(s[2] or s[3] for s in starts) and len(set(s[:2] for s in layout.starts)) == len(layout.starts):
+        ids = [s[1] for s in starts if not s[0]]
+        found = _search(F.split(F.lit(",".join(map(str, ids))), ",").cast("array<long>"), len(ids), F.col("doc_id").cast("long"))
+        return F.when(bare, F.lit(len(starts))).otherwise(found)
+    listed = F.from_json(F.lit(json.dumps([dict(zip(KEY, s)) for s in starts])),
+                         "array<struct<nameless: boolean, id: long, void: boolean, start: string>>")
+    return _search(listed, len(starts), F.struct(
+        bare.alias("nameless"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), void.alias("void"),
+        F.when(void, F.lit("")).otherwise(text).alias("start")))
+
+
+def _numbers(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+
+
+def place(rows: DataFrame, layout: Layout) -> DataFrame:
+    """Adds the block of each row. Where equal rows are dealt to several blocks, by chance, the table is written first."""
+    at = _range_of(layout, F.col("text").isNull(), F.col("text"))
+    if layout.n == max(1, len(layout.shares)):
+        return rows.select("*", at.cast("int").alias("block"))
+    first = np.cumsum([0, *layout.shares[:-1]]).tolist()
+    found = rows.withColumn("_range", at)
+    block = F.get(_numbers(first), "_range") + F.floor(F.rand() * F.get(_numbers(layout.shares), "_range"))
+    return materialize(found.select(*[F.col(f"`{c}`") for c in rows.columns], block.cast("int").alias("block")))
+
+
+def place_ids(ids: DataFrame, layout: Layout) -> DataFrame:
+    """Rows of doc_ids with each block that has rows of theirs."""
+    low, high = _range_of(layout, F.lit(False), F.lit("")), _range_of(layout, F.lit(True), F.lit(""))
+    ends = np.cumsum(layout.shares or [1])
+    first = F.get(_numbers((ends - np.array(layout.shares or [1])).tolist()), low)
+    return ids.select("*", F.explode(F.sequence(first, F.get(_numbers(ends.tolist()), high) - 1)).alias("block"))
 
 
 def ordered(block: pa.Table) -> pa.Table:

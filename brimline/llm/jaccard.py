@@ -70,11 +70,9 @@ def _sets(block: pa.Table, size: int):
     return key[keep], row[keep], n, digest
 
 
-def shingle_table(docs: DataFrame, size: int, borders: list[float]) -> DataFrame:
+def shingle_table(blocks: DataFrame, n: int, size: int) -> DataFrame:
     """ROW for each document: its set's size and id; for one row of each set and block, if shingles of its prefix recur, also those
     and all shingles, and how long the lists are that it scans. `at` orders rows by doc_id."""
-    blocks, n = B.place(docs.select("doc_id", "text"), borders), len(borders) + 2
-
     def keys(block: pa.Table):
         key, *_ = _sets(block, size)
         new, of = B.groups(key & UPPER)
@@ -257,10 +255,11 @@ def node_parts(nodes: DataFrame, most: int, scratch: Scratch) -> DataFrame:
         free_shuffles(nodes.sparkSession)
 
 
-def near_duplicates(docs: DataFrame, size: int = SIZE, borders: list[float] | None = None) -> DataFrame:
-    """(doc_id, at, n_shingles, part, component_id): part names the component, by the `at` of its first row."""
+def near_duplicates(docs: DataFrame, size: int = SIZE, placed: tuple[DataFrame, int] | None = None) -> DataFrame:
+    """(doc_id, at, n_shingles, part, component_id): part names the component, by the `at` of its first row. placed: the documents in
+    blocks and the number of blocks, where they are known."""
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.store(shingle_table(docs, size, B.split(docs) if borders is None else borders))
+    rows = scratch.store(shingle_table(*(placed or B.with_blocks(docs)[:2]), size))
     free_shuffles(docs.sparkSession)
     sets = rows.where("n_shingles > 0").groupBy("set_id").agg(F.min("at").alias("node"))
     nodes = rows.where("prefix is not null").join(sets.select("node"), F.col("at") == F.col("node"), "left_semi").select(
@@ -277,16 +276,16 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, borders: list[float] | No
 
 def unique_documents(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """The rows of docs without those that are near duplicates of a row before them; all columns stay."""
-    borders = B.split(docs)
-    first = near_duplicates(docs, size, borders).where("at = part").select(
-        F.shiftright("at", 32).cast("int").alias("block"), F.col("at").bitwiseAND(0xFFFFFFFF).alias("row"))
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    layout = B.split(docs)
     rows = docs.select("doc_id", "text", F.struct(*others, F.lit(0).alias("_")).alias("others"))
+    names, placed = rows.columns, B.place(rows, layout)
+    first = near_duplicates(docs, size, (placed.select("doc_id", "text", "block"), layout.n)).where("at = part").select(
+        F.shiftright("at", 32).cast("int").alias("block"), F.col("at").bitwiseAND(0xFFFFFFFF).alias("row"))
 
     def choose(table: pa.Table, kept: pa.Table) -> pa.Table:
         table = B.ordered(table) if table.num_rows else table
         return table.select(names).take(kept["row"])
 
-    names = rows.columns
-    kept = B.place(rows, borders).groupBy("block").cogroup(first.groupBy("block")).applyInArrow(choose, rows.schema)
+    kept = placed.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(choose, placed.select(names).schema)
     return kept.select(*[F.col(c if c in names[:2] else f"others.{c}") for c in docs.columns])

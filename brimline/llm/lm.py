@@ -86,8 +86,8 @@ def losses(c_pair, c_before, c_word, n) -> np.ndarray:
 
 def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) of each document; target has the doc_ids of marked ones."""
-    blocks, n, borders = B.with_blocks(docs)
-    marked = B.place(target.select("doc_id").where("doc_id is not null").distinct(), borders)
+    blocks, n, layout = B.with_blocks(docs)
+    marked = B.place_ids(target.select("doc_id").where("doc_id is not null").distinct(), layout)
 
     def count(table: pa.Table, beside: pa.Table):
         return _count(table, beside["doc_id"].cast(pa.int64()).to_numpy())

@@ -71,7 +71,8 @@ def _runs(flag: np.ndarray, kind: np.ndarray, row: np.ndarray, at: np.ndarray):
 
 def repeated_spans(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """The documents in blocks, and for each block the spans of words to remove as packed (row, start, end)."""
-    blocks, n, _ = B.with_blocks(docs)
+    blocks, n, layout = B.with_blocks(docs)
+    heads = layout.heads()
 
     def keys(table: pa.Table):
         key, *_ = _windows(table, size)
@@ -100,7 +101,8 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, Data
         held, first, of = _first(key, row, at)
         home, part_of, parts = B.answers_of(answers, "<i4", 3).T
         own = ids[row] == ids[row[first]][of]
-        claimed = (home[of] < block) | ~own
+        # Blocks before this one that share its only doc_id hold no earlier document.
+        claimed = (home[of] < heads[block]) | ((home[of] == block) & ~own)
         # A passage has the first windows of this block that occur again, in another block or in a later document of it.
         again = (home == block) & ((parts > 0) | (np.bincount(of, ~own, len(held)) > 0))
         source = np.zeros(len(key), bool)

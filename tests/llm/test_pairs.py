@@ -132,6 +132,64 @@ def test_packed_numbers_and_blocks(spark):
     assert got == sorted(got, key=lambda r: r[0]) and got[-1][0] < n
 
 
+def sizes_of(placed):
+    out = {}
+    for r in placed.collect():
+        out.setdefault(r.block, []).append(len((r.text or "").encode()) + blocks.ROW_BYTES)
+    return out
+
+
+def test_blocks_hold_equally_many_bytes(spark):
+    rows = [(i, odd.prose(i, 2000 if 500 <= i < 540 else 20)) for i in range(1000)]
+    rows += [(2**62 + i, odd.prose(i, 2000)) for i in range(40)]  # as doubles these ids are one
+    placed, n, _ = blocks.with_blocks(spark.createDataFrame(rows, "doc_id long, text string"))
+    sizes = sizes_of(placed)
+    most = -(-sum(map(sum, sizes.values())) // blocks.LEAST_BLOCKS)
+    assert all(sum(x) <= most for x in sizes.values()) and n <= 2 * blocks.LEAST_BLOCKS
+    got = sorted((r.doc_id, r.block) for r in placed.collect())
+    assert [i for i, _ in got] == [i for i, _ in rows] and [b for _, b in got] == sorted(b for _, b in got)
+
+
+def repeated():
+    """Rows without a doc_id and of one doc_id that fill many blocks, among them equal texts, equal beginnings and no text."""
+    out = [(i, odd.prose(500 + i, 30) + " " + odd.prose(900 + i % 5, 30), "en", "s", 0) for i in range(40)]
+    for i in (None, 7):
+        out += [(i, odd.prose(500 + n, 30) + " " + odd.prose(900 + n % 5, 30), "en", "s", 0) for n in range(20, 90)]
+        out += [(i, odd.prose(3, 90) + f" {n:03d} " + odd.prose(n, 9), "en", "s", 0) for n in range(60)]
+        out += [(i, odd.prose(4, 60), "en", "s", 0)] * 90
+    return out
+
+
+def test_blocks_of_repeated_ids(spark):
+    rows = sorted(repeated() + [(None, None, "en", "s", 0)] * 2000, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or ""))
+    placed, n, layout = blocks.with_blocks(spark.createDataFrame(rows, odd.SCHEMA))
+    sizes = sizes_of(placed)
+    most = -(-sum(map(sum, sizes.values())) // blocks.LEAST_BLOCKS)
+    assert max(map(sum, sizes.values())) < 1.5 * most  # equal rows are dealt by chance
+    got = sorted((r.block, r.doc_id is None, r.doc_id or 0, r.text is None, r.text or "") for r in placed.collect())
+    assert [x[1:] for x in got] == [(r[0] is None, r[0] or 0, r[1] is None, r[1] or "") for r in rows] and got[-1][0] < n
+    ids = {}
+    for b, bare, i, *_ in got:
+        ids.setdefault((bare, i), set()).add(b)
+    heads = layout.heads()
+    assert all({heads[b] for b in x} == {min(x)} for x in ids.values() if len(x) > 1)
+    there = blocks.place_ids(spark.createDataFrame([(i,) for i in range(40)], "doc_id long"), layout).collect()
+    assert {(r.doc_id, r.block) for r in there} >= {(i, b) for (bare, i), x in ids.items() if not bare for b in x}
+
+
+def test_pairs_and_passages_of_repeated_ids(spark):
+    rows = sorted(repeated(), key=order)
+    docs = spark.createDataFrame(rows, odd.SCHEMA)
+    assert max(blocks.split(docs).shares) > 1
+    want, n, first = brute_components(rows)
+    got = jaccard.near_duplicates(docs).orderBy("at").collect()
+    assert [(r.doc_id, r.n_shingles, r.component_id) for r in got] == [(r[0], k, c) for r, k, c in zip(rows, n, want)]
+    kept = jaccard.unique_documents(docs).collect()
+    assert sorted([(r.doc_id, r.text) for r in kept], key=order) == [r[:2] for r, f in zip(rows, first) if f]
+    got = phrases.without_repeats(docs).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute_repeats(rows), key=str)
+
+
 def brute_hits(rows, items):
     words = lambda t: _words((t or "").translate(LOWER))
     windows = {}

@@ -313,6 +313,19 @@ def test_language_model_scores(spark, marked):
     assert lm.score(odd.nothing(spark), ids).count() == 0
 
 
+def test_tokens_and_scores_of_repeated_ids(spark):
+    from test_pairs import order, repeated
+    rows = sorted(repeated(), key=order)
+    docs = spark.createDataFrame(rows, odd.SCHEMA)
+    got = token_files.read_tokens(*token_files.write_tokens(docs, BPE)).orderBy("start").collect()
+    assert [tuple(r) for r in got] == brute_tokens([r[:2] for r in rows])
+    ids = spark.createDataFrame([(i,) for i in (2, 7, 30)], "doc_id long")
+    flat = sorted([(r[0], r[1], *(round(x, 9) for x in r[2:])) for r in map(tuple, lm.score(docs, ids).collect())], key=str)
+    want = brute_scores(rows, {2, 7, 30})
+    assert [f[:2] for f in flat] == [w[:2] for w in want]
+    assert np.allclose(*[[f[2:] for f in x] for x in (flat, want)], atol=1e-7)
+
+
 # --- SQL and the pipeline -----------------------------------------------------------------------
 
 
