@@ -233,14 +233,16 @@ def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, s
 
     `sequence` names a column with the flattened sequence, used in place of `inputs`. There is a fit for each strategy,
     horizon and fold, whatever the number of entities, half-lives and sequence lengths, and `parallelism` of them
-    run at a time. A fit reads the rows that train it, and a test row is scored once.
+    run at a time. A fit reads the rows that train it, and a test row is scored once. Rows before the first full sequence
+    neither train nor test, and their means over it are NULL, so vectors are made of the others only.
     """
+    folds = fold_table(rows, keys).filter((F.col("test_rows") > 0) & enough_train())
+    rows = rows.filter(_sample())
     if sequence:
         rows = rows.withColumn("features", array_to_vector(sequence))
     else:
         rows = VectorAssembler(inputCols=list(inputs), outputCol="features").transform(rows)
     rows = rows.select(*keys, "date", "row_no", "test_row_no", "train_after", "test_fold", "target", "features")
-    folds = fold_table(rows, keys).filter((F.col("test_rows") > 0) & enough_train())
     fits = folds.select("strategy", "horizon", "fold").distinct().orderBy("strategy", "horizon", "fold").collect()
     test = rows.filter(F.col("test_fold").isNotNull() & has_sequence())
     test = with_packed(test, folds, ["train_rows"], keys)

@@ -127,21 +127,33 @@ def natural_start(panel: DataFrame) -> DataFrame:
     )
 
 
-def end_date(ends=None, default=None) -> Column:
-    """Last usable date: the entity's own one in `ends`, else the default, else NULL for no end."""
-    out = F.lit(None if default is None else dt.date.fromisoformat(default)).cast("date")
-    for entity, end in (ends or {}).items():
-        out = F.when(F.col("entity") == entity, F.lit(dt.date.fromisoformat(end))).otherwise(out)
-    return out
+def end_dates(spark, ends) -> DataFrame:
+    """(entity, end_date) of a dict of ISO dates or of a table; an entity with two rows fails the job."""
+    if not isinstance(ends, DataFrame):
+        rows = [(e, None if d is None else dt.date.fromisoformat(d)) for e, d in (ends or {}).items()]
+        return spark.createDataFrame(rows, "entity string, end_date date")
+    twice = F.raise_error(F.concat(F.lit("two end dates for "), "entity")).cast("date")
+    return ends.filter("entity is not null").groupBy("entity").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("end_date").alias("end_date")).select(
+        "entity", F.when(F.col("_n") > 1, twice).otherwise(F.col("end_date")).alias("end_date"))
 
 
 def date_bounds(panel: DataFrame, start_year: int | None = None, ends=None, default_end=None) -> DataFrame:
-    """First and last usable date per entity; a NULL end cuts nothing."""
+    """First and last usable date per entity; a NULL end cuts nothing.
+
+    `ends` is a dict, or a table (entity, end_date) joined on the entity, so the plan is the same for any number of them.
+    An entity without a row there has the default end, one with a NULL there has none.
+    """
     start = F.col("natural_start")
     if start_year is not None:
         start = F.greatest(start, F.lit(dt.date(start_year, 1, 1)))
-    return natural_start(panel).select(
-        "entity", "natural_start", start.alias("start_date"), end_date(ends, default_end).alias("end_date"))
+    default = F.lit(None if default_end is None else dt.date.fromisoformat(default_end)).cast("date")
+    found = natural_start(panel).select("entity", "natural_start", start.alias("start_date"))
+    if ends is None:
+        return found.withColumn("end_date", default)
+    own = end_dates(panel.sparkSession, ends).withColumn("_own", F.lit(True))
+    return found.join(own, "entity", "left").select(
+        "entity", "natural_start", "start_date", F.when(F.col("_own"), F.col("end_date")).otherwise(default).alias("end_date"))
 
 
 def limit_dates(frame: DataFrame, bounds: DataFrame) -> DataFrame:

@@ -269,6 +269,16 @@ def date_bounds(spark, sf):
         "entity", "natural_start", "start_date", "end_date", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
+def date_bounds_table(spark, sf):
+    """Bounds with a table of ends: the last day of each supplier's even orders; suppliers of other numbers take the default."""
+    panel = writers.materialize(_sparse_levels(spark, sf))
+    even = F.col("l_orderkey") % 2 == 0
+    ends = P.table(spark, sf, "lineitem").filter("l_suppkey % 3 > 0").groupBy("l_suppkey").agg(
+        F.max(F.when(even, F.col("l_shipdate"))).cast("date").alias("end_date"))
+    ends = ends.select(F.concat(F.lit("S"), F.col("l_suppkey")).alias("entity"), F.date_sub("end_date", 200).alias("end_date"))
+    return selection.date_bounds(panel, 1996, ends, "1998-01-31")
+
+
 def _roles(spark, sf, strategies, panel=P.flag_panel, frame=None):
     return backtest.roles(frame if frame is not None else _frame(spark, sf, panel), strategies, SPLIT)
 
@@ -547,7 +557,7 @@ def run_warnings(spark, sf):
 
 def gbt_prediction_keys(spark, sf):
     """Predictions of trees by key where entities differ in half-life: each test row is scored once."""
-    rows = writers.materialize(_roles(spark, sf, splits.STRATEGIES).filter("horizon = 7").withColumn(
+    rows = writers.materialize(_roles(spark, sf, splits.STRATEGIES).withColumn(
         "halflife", F.when(F.col("entity") == "A", F.lit(90)).when(F.col("entity") == "N", F.lit(365))))
     keys = (*splits.KEYS, "halflife")
     scored = models.fit_predict_gbt(rows, ("lag_7", "rain_30d"), "halflife", keys=keys, maxIter=2, maxDepth=2)
@@ -571,7 +581,7 @@ QUERIES = {f.__name__: f for f in (
     rain_range_sums, temp_range_mean, lags, deltas, rolling_means, rolling_std, rain_x_level, demand_lag,
     forward_fill, targets, seasonal, feature_frame, feature_frame_dirty, feature_frame_supplier,
     config_projection, missing_config_columns, station_features,
-    entity_subset, config_defaults, horizon_config, lag_columns, natural_start, date_bounds,
+    entity_subset, config_defaults, horizon_config, lag_columns, natural_start, date_bounds, date_bounds_table,
     baseline_split, folds, fold_rows, strategy_union, sample_weights, validation_tail,
     scale_bounds, scaled_features, sequences_baseline, sequences_walkforward, context_rows,
     metrics_baseline, metrics_walkforward, metrics_nation_baseline, metrics_nation_walkforward, summary_pivot, missing_horizons, residual_report,

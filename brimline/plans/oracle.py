@@ -313,7 +313,7 @@ union all select 'rows before the start', entity, cast(early as varchar) from cu
 union all select 'rows after the end', entity, cast(late as varchar) from cut where late > 0
 union all select 'no model for a horizon', entity, cast(horizon as varchar) from gone""",
     "gbt_prediction_keys": f"""with {FLAG_ROLES} select entity, strategy, horizon, cast(fold as integer) as fold,
-  count(*) as n_rows, count(distinct date) as n_dates from test where horizon = 7 group by all""",
+  count(*) as n_rows, count(distinct date) as n_dates from test group by all""",
     "prediction_sink": f"""with {ols('baseline')} select entity, strategy, horizon, date, round(y, 4) as y, round(yhat, 4) as yhat
 from predictions""",
     "summary_sink": _summary(),
@@ -425,6 +425,13 @@ c as (select entity, natural_start, greatest(natural_start, date '1996-01-01') a
   from b where natural_start is not null)
 select entity, natural_start, start_date, end_date, count(*) filter (where date between start_date and end_date) as n_rows
 from c join supplier_panel using (entity) group by all""",
+    "date_bounds_table": f"""with {SUPPLIER}, b as (select entity, min(date) filter (where level <> 0) as natural_start
+  from supplier_panel group by entity),
+e as (select 'S' || l_suppkey as entity, true as own, cast(max(l_shipdate) filter (where l_orderkey % 2 = 0) as date) - 200 as end_date
+  from lineitem where l_suppkey % 3 > 0 group by l_suppkey)
+select entity, natural_start, greatest(natural_start, date '1996-01-01') as start_date,
+  case when own then end_date else date '1998-01-31' end as end_date
+from b left join e using (entity) where natural_start is not null""",
     "baseline_split": f"""with {FLAG_ROLES} select entity, date, horizon, cast(date + horizon as date) as target_date, role
 from tagged where strategy = 'baseline'""",
     "folds": f"""with {REGION}, starts as (select range as fold,

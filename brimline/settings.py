@@ -19,8 +19,6 @@ MIN_FOLD_TRAIN_ROWS = 60
 MIN_EXTRA_ROWS = 10
 VALIDATION_SHARE = 0.2
 MAX_LEVEL = 100.0
-END_DATES = {"Guzelhisar": "2025-11-19"}
-DEFAULT_END_DATE = "2025-11-30"
 RAIN_DAYS = (7, 30, 90)
 TEMP_DAYS = 7
 MEAN_ROWS = (30, 180, 365)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from brimline.functions.calendar import parse_day_first
 from brimline.operators import cleaning, metrics as M, selection
 from brimline.plans import backtest
-from brimline.settings import DEFAULT_END_DATE, END_DATES, LEVEL_SUFFIX
+from brimline.settings import LEVEL_SUFFIX
 from brimline.sources import readers, reshape, writers
 from helpers import random_panel
 
@@ -84,15 +84,26 @@ def test_choose_entities(spark):
 
 
 def test_date_bounds(spark):
-    rows = [("Guzelhisar", dt.date(2010, 5, 1), None), ("Guzelhisar", dt.date(2010, 5, 2), 1.0),
-            ("Balcova", dt.date(2016, 1, 1), 1.0), ("Gordes", dt.date(2016, 1, 1), None)]
+    rows = [("North", dt.date(2010, 5, 1), None), ("North", dt.date(2010, 5, 2), 1.0),
+            ("South", dt.date(2016, 1, 1), 1.0), ("West", dt.date(2016, 1, 1), None), ("East", dt.date(2017, 1, 1), 2.0)]
     panel = spark.createDataFrame(rows, "entity string, date date, level double")
-    got = {r["entity"]: (r["start_date"], r["end_date"]) for r in selection.date_bounds(
-        panel, 2015, END_DATES, DEFAULT_END_DATE).collect()}
-    assert all(r["end_date"] is None for r in selection.date_bounds(panel).collect())
-    assert got == {
-        "Guzelhisar": (dt.date(2015, 1, 1), dt.date.fromisoformat(END_DATES["Guzelhisar"])),
-        "Balcova": (dt.date(2016, 1, 1), dt.date(2025, 11, 30))}
+    bounds = lambda *a: {r["entity"]: (r["start_date"], r["end_date"]) for r in selection.date_bounds(panel, *a).collect()}
+    want = {"North": (dt.date(2015, 1, 1), dt.date(2025, 11, 19)), "South": (dt.date(2016, 1, 1), dt.date(2025, 11, 30)),
+            "East": (dt.date(2017, 1, 1), None)}
+    ends = {"North": "2025-11-19", "East": None, "Nowhere": "2020-01-01"}
+    assert bounds(2015, ends, "2025-11-30") == want
+    listed = spark.createDataFrame([(k, v and dt.date.fromisoformat(v)) for k, v in ends.items()], "entity string, end_date date")
+    assert bounds(2015, listed, "2025-11-30") == want
+    assert bounds() == {"North": (dt.date(2010, 5, 2), None), "South": (dt.date(2016, 1, 1), None), "East": (dt.date(2017, 1, 1), None)}
+    with pytest.raises(Exception, match="two end dates for North"):
+        bounds(None, listed.union(listed))
+
+
+def test_plan_does_not_grow_with_ends(spark):
+    panel = spark.createDataFrame([("E1", dt.date(2020, 1, 1), 1.0)], "entity string, date date, level double")
+    plan = lambda n: selection.date_bounds(panel, None, {f"E{i}": "2021-01-01" for i in range(n)})._jdf.queryExecution(
+        ).optimizedPlan().toString()
+    assert abs(len(plan(5000)) - len(plan(5))) < 20
 
 
 @pytest.fixture(scope="module")
