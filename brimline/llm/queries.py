@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brimline.llm import decontamination, jaccard, lm, phrases, pieces, pii, quality, token_files, topk, toxicity, training
+from brimline.llm import decontamination, infill, jaccard, lm, phrases, pieces, pii, quality, token_files, topk, toxicity, training
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op10_phrases(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_infill(spark: SparkSession, sf: str) -> DataFrame:
+    return infill.digest(infill.fill_in_middle(table(spark, sf, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm": op8_lm,
     "op9_token_files": op9_token_files,
     "op10_phrases": op10_phrases,
+    "op11_infill": op11_infill,
 }
 
 WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -107,4 +112,18 @@ scored as (select q.vec_id as query_id, c.vec_id as vec_id,
            from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
 ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
 select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5""",
+    "op11_infill": r"""
+with d as (select doc_id, coalesce(text, '') as t, sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+u as (select *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') as u, cast('0x' || h[1:8] as bigint) as h1, cast('0x' || h[9:16] as bigint) as h2,
+             cast('0x' || h[17:24] as bigint) as h3, cast('0x' || h[25:32] as bigint) as h4 from d),
+c as (select *, len(u) as n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) as a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) as b from u),
+p as (select doc_id, t, n, array_to_string(u[1:a], '') as p, array_to_string(u[a + 1:b], '') as m, array_to_string(u[b + 1:], '') as s,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 100 then 'plain'
+                  when h4 % 100 < 50 then 'spm' else 'psm' end as form from c),
+o as (select *, case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                          else '<S>' || s || '<P>' || p || '<M>' || m end as output,
+             case form when 'plain' then t else p || m || s end as restored from p)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+       case when form <> 'plain' then length(m) end as middle_chars, sha256(output) as output_sha256, sha256(restored) as restored_sha256
+from o""",
 }
