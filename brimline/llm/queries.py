@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brimline.llm import decontamination, infill, jaccard, lm, phrases, pieces, pii, quality, token_files, topk, toxicity, training
+from brimline.llm import decontamination, infill, jaccard, lm, phrases, pieces, pii, quality, resampling, token_files, topk, toxicity, training
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op11_infill(spark: SparkSession, sf: str) -> DataFrame:
     return infill.digest(infill.fill_in_middle(table(spark, sf, "documents").select("doc_id", "text")))
 
 
+def op12_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return resampling.ranks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_phrases": op10_phrases,
     "op11_infill": op11_infill,
+    "op12_resampling": op12_resampling,
 }
 
 WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -1,12 +1,12 @@
-"""Tables and shuffle files that work in several turns leaves behind."""
+"""Tables and shuffle files that work in several turns leaves behind, and numbers of rows in an order."""
 
 from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from brimline.sources.writers import shared_folder
+from brimline.sources.writers import materialize, shared_folder
 
 
 def free_shuffles(spark: SparkSession) -> None:
@@ -37,3 +37,25 @@ class Scratch:
             if df is not None and (path := self.paths.pop(id(df), None)):
                 at = jvm.org.apache.hadoop.fs.Path(path)
                 at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def numbered(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
+    """Adds the place of each row in an order, from 1, with no task that sees all rows.
+
+    Rows are sorted in ranges and written; a range's first number follows from the sizes of those before it, of which the driver gets
+    one for each partition of the shuffle. Equal rows are spread over ranges by a salt, in an order of no meaning.
+    """
+    kept = [c for c in df.columns if c != name]
+    by = [F.col(c) if isinstance(c, str) else c for c in order]
+    keys = [f"key{i}" for i in range(len(by))]
+    keyed = df.select(F.struct(*[f"`{c}`" for c in kept]).alias("kept"), *[c.alias(k) for c, k in zip(by, keys)], F.rand(7).alias("salt"))
+    placed = materialize(keyed.repartitionByRange(*keys, "salt").sortWithinPartitions(*keys, "salt").select(
+        "kept", F.monotonically_increasing_id().alias("at")))  # the partition above the row's place in it
+    part, row = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
+    sizes = {r[0]: r[1] for r in placed.groupBy(part).count().collect()}
+    before, total = [], 0
+    for i in range(max(sizes, default=0) + 1):
+        before.append(total)
+        total += sizes.get(i, 0)
+    starts = F.split(F.lit(",".join(map(str, before))), ",").cast("array<long>")
+    return placed.select("kept.*", (F.get(starts, part.cast("int")) + row + 1).alias(name))
