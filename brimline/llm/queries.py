@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brimline.llm import decontamination, infill, jaccard, lm, phrases, pieces, pii, quality, resampling, token_files, topk, toxicity, training
+from brimline.llm import (
+    decontamination, infill, jaccard, lm, mixing, phrases, pieces, pii, quality, resampling, token_files, topk, toxicity, training,
+)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -73,6 +75,10 @@ def op12_resampling(spark: SparkSession, sf: str) -> DataFrame:
     return resampling.ranks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op13_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.rates(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_phrases": op10_phrases,
     "op11_infill": op11_infill,
     "op12_resampling": op12_resampling,
+    "op13_mixing": op13_mixing,
 }
 
 WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
