@@ -51,8 +51,8 @@ def temp_mean(df, temp="temp", days=TEMP_DAYS, keys=("entity",)) -> DataFrame:
     return df.withColumn(f"temp_{days}d", _trailing_days("avg", temp, days, keys))
 
 
-def _lags(rows, level, prefix="lag_"):
-    w = by_date()
+def _lags(rows, level, prefix="lag_", keys=("entity",)):
+    w = by_date(*keys)
     return {f"{prefix}{k}": F.lag(level, k).over(w) for k in rows}
 
 
@@ -88,14 +88,14 @@ def deltas(df, lag_rows=DEFAULT_LAGS, level="level") -> DataFrame:
     return df.withColumns(back).withColumns(_deltas(lag_rows)).drop(*back)
 
 
-def _running(level):
-    so_far = by_date().rowsBetween(Window.unboundedPreceding, 0)
+def _running(level, keys=("entity",)):
+    so_far = by_date(*keys).rowsBetween(Window.unboundedPreceding, 0)
     return {"_sum": F.sum(level).over(so_far), "_count": F.count(level).over(so_far)}
 
 
-def _ends(rows):
+def _ends(rows, keys=("entity",)):
     """Running totals up to the previous row and up to the row before each frame."""
-    w = by_date()
+    w = by_date(*keys)
     return {f"_{total}_{k}": F.lag(f"_{total}", k + 1, 0).over(w) for total in ("sum", "count") for k in (0, *rows)}
 
 
@@ -120,8 +120,8 @@ def rolling_means(df, rows=MEAN_ROWS, level="level") -> DataFrame:
     return out
 
 
-def _std(rows, level):
-    before = by_date().rowsBetween(-rows, -1)
+def _std(rows, level, keys=("entity",)):
+    before = by_date(*keys).rowsBetween(-rows, -1)
     return {f"_std_{rows}": F.stddev_samp(level).over(before), f"_std_count_{rows}": F.count(level).over(before)}
 
 
@@ -139,8 +139,8 @@ def rain_x_level(df, rain="rain", base_lag=min(DEFAULT_LAGS)) -> DataFrame:
     return df.withColumn("rain_x_level", F.col(rain) * F.col(f"lag_{base_lag}"))
 
 
-def _shifts(columns):
-    return {c: F.lag(c, 1).over(by_date()) for c in columns}
+def _shifts(columns, keys=("entity",)):
+    return {c: F.lag(c, 1).over(by_date(*keys)) for c in columns}
 
 
 def shift_one(df, columns) -> DataFrame:
@@ -204,23 +204,27 @@ def feature_columns(df, horizons=HORIZONS) -> list[str]:
     return [c for c in df.columns if c not in out]
 
 
-def feature_frame(panel: DataFrame, lag_rows=DEFAULT_LAGS, horizons=HORIZONS,
-                  production=("demand",), rain="rain", temp="temp") -> DataFrame:
-    """Features on the raw level, then the fill, then targets on the filled level, then complete rows.
+def look_back(lag_rows=DEFAULT_LAGS) -> int:
+    """Rows before a row that its features look at: the longest frame, and one more for the end of a running total."""
+    return 1 + max(*lag_rows, *_delta_lags(lag_rows), *MEAN_ROWS, STD_ROWS, *RAIN_DAYS, TEMP_DAYS)
+
+
+def raw_features(panel: DataFrame, lag_rows=DEFAULT_LAGS, production=("demand",), rain="rain", temp="temp",
+                 keys=("entity",), kept=()) -> DataFrame:
+    """The features of each row before any fill, with the columns of `kept` in front.
 
-    The same columns as the single operators give, grouped so that the windows run in four passes: frames over
-    the raw columns, ends of the running totals, the fill, and the targets.
+    `keys` are the columns of a window's partition, in which a row finds all rows that it looks back at. The same columns as the
+    single operators give, grouped so that the windows run in two passes: frames over the raw columns, and ends of the running totals.
     """
-    w = by_date()
     back = [k for k in _delta_lags(lag_rows)]
     df = panel.withColumns({
-        "_again": _repeats(w),
-        **_shifts(production), **_rain_sums(rain, RAIN_DAYS),
-        f"temp_{TEMP_DAYS}d": _trailing_days("avg", temp, TEMP_DAYS),
-        **_lags(lag_rows, "level"), **_lags(back, "level", "_back_"),
-        **_running("level"), **_std(STD_ROWS, "level"),
+        "_again": _repeats(by_date(*keys)),
+        **_shifts(production, keys), **_rain_sums(rain, RAIN_DAYS, keys),
+        f"temp_{TEMP_DAYS}d": _trailing_days("avg", temp, TEMP_DAYS, keys),
+        **_lags(lag_rows, "level", keys=keys), **_lags(back, "level", "_back_", keys),
+        **_running("level", keys), **_std(STD_ROWS, "level", keys),
     })
-    df = df.withColumns(_ends(MEAN_ROWS))
+    df = df.withColumns(_ends(MEAN_ROWS, keys))
     derived = {
         **_deltas(lag_rows), **_means(MEAN_ROWS),
         "trend_direction": F.expr("rolling_mean_180 - rolling_mean_365"), **_full_std(STD_ROWS),
@@ -228,12 +232,16 @@ def feature_frame(panel: DataFrame, lag_rows=DEFAULT_LAGS, horizons=HORIZONS,
     }
     trend = derived.pop("trend_direction")
     df = df.withColumns(derived).withColumns({"trend_direction": trend, "level": _checked("level")})
-    raw = [c for c in panel.columns if c not in ("entity", "date")]
-    filled = [
-        *raw, *[f"rain_{k}d" for k in RAIN_DAYS], f"temp_{TEMP_DAYS}d", *[f"lag_{k}" for k in lag_rows],
-        *[f"delta_{k}" for k in delta_steps(lag_rows)], *[f"rolling_mean_{k}" for k in MEAN_ROWS],
-        "trend_direction", f"rolling_std_{STD_ROWS}", "rain_x_level",
-    ]
-    fills = _fills(filled)
-    df = df.select("entity", "date", *[fills[c].alias(c) for c in filled])
+    raw = [c for c in panel.columns if c not in ("entity", "date", *keys, *kept)]
+    return df.select("entity", "date", *kept, *raw, *[f"rain_{k}d" for k in RAIN_DAYS], f"temp_{TEMP_DAYS}d",
+                     *[f"lag_{k}" for k in lag_rows], *[f"delta_{k}" for k in delta_steps(lag_rows)],
+                     *[f"rolling_mean_{k}" for k in MEAN_ROWS], "trend_direction", f"rolling_std_{STD_ROWS}", "rain_x_level")
+
+
+def feature_frame(panel: DataFrame, lag_rows=DEFAULT_LAGS, horizons=HORIZONS,
+                  production=("demand",), rain="rain", temp="temp") -> DataFrame:
+    """Features on the raw level, then the fill, then targets on the filled level, then complete rows: four passes of windows."""
+    df = raw_features(panel, lag_rows, production, rain, temp)
+    fills = _fills([c for c in df.columns if c not in ("entity", "date")])
+    df = df.select("entity", "date", *[c.alias(n) for n, c in fills.items()])
     return complete_rows(add_seasonal(targets(df, horizons)), horizons)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from brimline.functions.calendar import parse_day_first
 from brimline.operators import (
-    cleaning, features as X, metrics as M, models, scaling, selection, sequences, splits, stations, weights,
+    cleaning, features as X, metrics as M, models, scaling, segments, selection, sequences, splits, stations, weights,
 )
 from brimline.plans import backtest
 from brimline.settings import DEFAULT_SEQ_LENS, HORIZONS, LEVEL_SUFFIX, WEATHER_MEASURES
@@ -199,6 +199,11 @@ def feature_frame_supplier(spark, sf):
     return _round(_frame(spark, sf, P.supplier_panel))
 
 
+def feature_frame_segments(spark, sf):
+    """The feature table with each series cut into segments, so that a few long series are computed by many tasks."""
+    return _round(segments.feature_frame(P.flag_panel(spark, sf), segment_rows=512, part_days=365))
+
+
 def _known_series(spark, sf):
     own = P.region_panel(spark, sf).select(F.inline(F.array(
         F.struct(F.concat("entity", F.lit(LEVEL_SUFFIX)).alias("series"), F.col("level").alias("value")),
@@ -579,7 +584,7 @@ QUERIES = {f.__name__: f for f in (
     csv_scan, date_parse, config_scan, unpivot_long, pivot_wide, series_by_name, drop_empty_series,
     missing_flags, fill_zero, cap_level, bad_level_count, profile,
     rain_range_sums, temp_range_mean, lags, deltas, rolling_means, rolling_std, rain_x_level, demand_lag,
-    forward_fill, targets, seasonal, feature_frame, feature_frame_dirty, feature_frame_supplier,
+    forward_fill, targets, seasonal, feature_frame, feature_frame_dirty, feature_frame_supplier, feature_frame_segments,
     config_projection, missing_config_columns, station_features,
     entity_subset, config_defaults, horizon_config, lag_columns, natural_start, date_bounds, date_bounds_table,
     baseline_split, folds, fold_rows, strategy_union, sample_weights, validation_tail,

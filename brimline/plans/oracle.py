@@ -383,6 +383,7 @@ where contains(series, '{SUFFIX}') or starts_with(series, 'prcp_') or starts_wit
     "seasonal": f"with {SUPPLIER} select {_kept}, " + ", ".join(
         r(e, 6, n) for n, e in SEASONAL.items()) + " from supplier_panel",
     "feature_frame": f"with {FLAG_FRAME} select {FRAME_COLUMNS} from frame",
+    "feature_frame_segments": f"with {FLAG_FRAME} select {FRAME_COLUMNS} from frame",
     "feature_frame_dirty": f"""with {CLEAN}, zero_panel as (select entity, date, level, coalesce(rain, 0.0) as rain, temp,
   demand from clean_panel), {frame('zero_panel')} select {FRAME_COLUMNS} from frame""",
     "feature_frame_supplier": f"with {SUPPLIER}, {frame('supplier_panel')} select {FRAME_COLUMNS} from frame",
