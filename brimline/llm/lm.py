@@ -18,6 +18,8 @@ long texts are read whole; extra columns are not read.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,18 +37,13 @@ SCORED = (("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_loss", pa.f
           ("score", pa.float64()))
 
 
-def _before(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token the one before it, and whether it begins its text."""
+def _tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of words and of pairs of a word with the one before it, whether a word begins its text, and the offsets of texts."""
+    words, firsts = X.all_word_hashes(table["text"], lower=True)
     begins = np.zeros(len(words), bool)
     begins[firsts[:-1][np.diff(firsts) > 0]] = True
-    return np.where(begins, BEGIN, np.roll(words, 1)), begins
-
-
-def _tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of words and of pairs of a word with the one before it, and the offsets of texts."""
-    words, firsts = X.all_word_hashes(table["text"], lower=True)
-    before, _ = _before(words, firsts)
-    return words, X.mix(before * np.uint64(3) + X.mix(words + np.uint64(0x9E3779B97F4A7C15))), firsts
+    before = np.where(begins, BEGIN, np.roll(words, 1))
+    return words, X.mix(before * np.uint64(3) + X.mix(words + np.uint64(0x9E3779B97F4A7C15))), begins, firsts
 
 
 def _among(ids: pa.ChunkedArray, marked: np.ndarray) -> np.ndarray:
@@ -54,28 +51,39 @@ def _among(ids: pa.ChunkedArray, marked: np.ndarray) -> np.ndarray:
     return np.isin(ids.cast(pa.int64()).fill_null(0).to_numpy(), marked) & there
 
 
-def _count(table: pa.Table, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending distinct keys of a block and their counts in all of its texts and in the marked ones."""
-    words, pairs, firsts = _tokens(table)
+@dataclass(frozen=True)
+class Counted:
+    """A block's tokens, sorted once. Entries are all words, then all pairs, the number of tokens and the beginnings of texts."""
+    keys: np.ndarray  # ascending distinct keys
+    counts: np.ndarray  # of each key in all texts and in the marked ones
+    of: np.ndarray  # the number of the key of each entry
+    own: np.ndarray  # how often the text of an entry has its key
+    begins: np.ndarray
+    firsts: np.ndarray
+    marked: np.ndarray  # whether each text is
+
+
+def _count(table: pa.Table, marked: np.ndarray) -> Counted:
+    words, pairs, begins, firsts = _tokens(table)
     here, n = _among(table["doc_id"], marked), np.diff(firsts)
-    target = np.repeat(here, n)
+    row = np.repeat(np.arange(len(n)), n)
     keys = np.concatenate([words, pairs, [TOTAL, BEGIN]])
+    order = np.argsort(keys, kind="stable")  # so entries of one key stay in the order of the texts
+    ranked = keys[order]
+    new, group = B.groups(ranked)
+    of = np.empty(len(keys), np.int64)
+    of[order] = group
+    rows = np.concatenate([row, row, [-1, -1]])[order]
+    same = np.zeros(len(keys), bool)
+    same[1:] = (group[1:] == group[:-1]) & (rows[1:] == rows[:-1])
+    part = np.cumsum(~same) - 1
+    own = np.empty(len(keys), np.int64)
+    own[order] = np.bincount(part)[part]
+    target = here[row]
     in_target = np.concatenate([target, target, [n[here].sum(), (n[here] > 0).sum()]]).astype(np.int64)
     in_all = np.concatenate([np.ones(2 * len(words), np.int64), [n.sum(), (n > 0).sum()]])
-    order = np.argsort(keys, kind="stable")
-    new, _ = B.groups(keys[order])
-    return keys[order][new], np.stack([np.add.reduceat(c[order], new) for c in (in_all, in_target)], axis=1).astype("<i4")
-
-
-def _own_counts(key: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """How often the text of each token has the token's key."""
-    order = np.lexsort((row, key))
-    same = np.ones(len(key), bool)
-    same[1:] = (key[order][1:] != key[order][:-1]) | (row[order][1:] != row[order][:-1])
-    group = np.cumsum(same) - 1
-    out = np.empty(len(key), np.int64)
-    out[order] = np.bincount(group)[group] if len(key) else 0
-    return out
+    counts = np.stack([np.add.reduceat(c[order], new) for c in (in_all, in_target)], axis=1).astype("<i4")
+    return Counted(ranked[new], counts, of, own, begins, firsts, here)
 
 
 def losses(c_pair, c_before, c_word, n) -> np.ndarray:
@@ -90,7 +98,8 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     marked = B.place_ids(target.select("doc_id").where("doc_id is not null").distinct(), layout)
 
     def count(table: pa.Table, beside: pa.Table):
-        return _count(table, beside["doc_id"].cast(pa.int64()).to_numpy())
+        found = _count(table, beside["doc_id"].cast(pa.int64()).to_numpy())
+        return found.keys, found.counts
 
     def answer(keys, _, counts):
         """Counts of all other blocks, as two 64-bit numbers: 0 for most keys."""
@@ -106,25 +115,22 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
         if not table.num_rows:
             return pa.table({k: pa.array([], t) for k, t in SCORED})
         table = B.ordered(table)
-        words, pairs, firsts = _tokens(table)
         first, ids = answers.sort_by("bucket"), np.zeros(0, np.int64)
         if first["bucket"][0].as_py() < 0:
             first, ids = first.slice(1), np.frombuffer(first["answers"][0].as_py(), "<i8")
-        is_marked = _among(table["doc_id"], ids)
-        keys, own = _count(table, ids)
-        counts = B.answers_of(first, "<i8", 2) + own
-        of = lambda k: counts[np.searchsorted(keys, k)]
-        size = np.diff(firsts)
-        row = np.repeat(np.arange(table.num_rows), size)
-        before, begins = _before(words, firsts)
+        found = _count(table, ids)
+        counts, size = B.answers_of(first, "<i8", 2) + found.counts, np.diff(found.firsts)
+        row, n = np.repeat(np.arange(table.num_rows), size), len(found.begins)
+        word, pair, begin = found.of[:n], found.of[n : 2 * n], found.of[-1]
+        before = np.where(found.begins, begin, np.roll(word, 1))
         # A text's own part of each count, in the background always and in the target if the text is marked.
-        own_word, own_pair = _own_counts(words, row), _own_counts(pairs, row)
-        own_before = np.where(begins, 1, np.roll(own_word, 1))
-        loss = []
-        for side, held in ((0, np.ones(table.num_rows, np.int64)), (1, is_marked.astype(np.int64))):
-            part = held[row]
-            each = losses(of(pairs)[:, side] - own_pair * part, of(before)[:, side] - own_before * part,
-                          of(words)[:, side] - own_word * part, counts[np.searchsorted(keys, TOTAL), side] - size[row] * part)
+        own_word, own_pair = found.own[:n], found.own[n : 2 * n]
+        own_before = np.where(found.begins, 1, np.roll(own_word, 1))
+        total, loss = counts[found.of[-2]], []
+        for side, held in ((0, np.ones(table.num_rows, np.int64)), (1, found.marked.astype(np.int64))):
+            part, of_side = held[row], counts[:, side]
+            each = losses(of_side[pair] - own_pair * part, of_side[before] - own_before * part, of_side[word] - own_word * part,
+                          (total[side] - size * held)[row])
             loss.append(np.bincount(row, each, table.num_rows) / np.maximum(1, size))
         return pa.table({"doc_id": table["doc_id"], "n_tokens": size.astype(np.int64), "target_loss": loss[1],
                          "background_loss": loss[0], "score": loss[1] - loss[0]})
