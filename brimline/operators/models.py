@@ -138,15 +138,46 @@ def add_means(frame: DataFrame, columns, seq_lens) -> DataFrame:
     }).drop(*[f"_t_{c}" for c in columns])
 
 
+def add_slopes(frame: DataFrame, columns, seq_lens) -> DataFrame:
+    """Slope per row of each column over the last L rows, for each distinct L; NULL before row L, 0 for L = 1.
+
+    Two running totals, of values and of values times their row number, give every slope in constant work. Values count from the
+    first one of the entity, which moves no slope and keeps the totals small.
+    """
+    order = "over (partition by entity order by date"
+    out = frame.withColumns({"_row": F.expr(f"row_number() {order})"), **{f"_x_{c}": F.expr(
+        f"`{c}` - first(`{c}`) {order} rows between unbounded preceding and current row)") for c in columns}})
+    out = out.withColumns({name: F.expr(f"sum({value}) {order} rows unbounded preceding)") for c in columns for name, value in (
+        (f"_t_{c}", f"`_x_{c}`"), (f"_p_{c}", f"`_x_{c}` * _row"))})
+
+    def slope(c, n):
+        if n == 1:
+            return "0d"
+        part = lambda t: f"(`_{t}_{c}` - lag(`_{t}_{c}`, {n}, 0d) {order}))"
+        return f"({part('p')} - (_row - {(n - 1) / 2}d) * {part('t')}) / {n * (n * n - 1) / 12}d"
+
+    return out.withColumns({
+        f"{c}_slope_{n}": F.expr(f"case when _row >= {n} then {slope(c, n)} end") for c in columns for n in sorted(set(seq_lens))
+    }).drop("_row", *[f"_{t}_{c}" for t in "xtp" for c in columns])
+
+
+def add_windows(frame: DataFrame, columns, seq_lens) -> DataFrame:
+    """Mean and slope of each column over the last L rows."""
+    return add_slopes(add_means(frame, columns, seq_lens), columns, seq_lens)
+
+
+def pick_windows(rows: DataFrame, columns, seq_lens, kinds=("mean", "slope")) -> DataFrame:
+    """`{column}_mean` and `{column}_slope` for the sequence length of the row."""
+    lengths = sorted(set(seq_lens))
+    unknown = "else cast(raise_error(concat('no windows for sequence length ', seq_len)) as double) end"
+    picked = {f"{c}_{k}": F.expr("case " + " ".join(f"when seq_len = {n} then `{c}_{k}_{n}`" for n in lengths) + f" {unknown}")
+              for c in columns for k in kinds}
+    return rows.withColumns(picked).drop(*[f"{c}_{k}_{n}" for c in columns for k in kinds for n in lengths])
+
+
 def pick_means(rows: DataFrame, columns, seq_lens) -> DataFrame:
     """`{column}_mean` for the sequence length of the row."""
-    lengths = sorted(set(seq_lens))
-    unknown = "else cast(raise_error(concat('no means for sequence length ', seq_len)) as double) end"
-    picked = {
-        f"{c}_mean": F.expr("case " + " ".join(f"when seq_len = {n} then `{c}_mean_{n}`" for n in lengths) + f" {unknown}")
-        for c in columns
-    }
-    return rows.withColumns(picked).drop(*[f"{c}_mean_{n}" for c in columns for n in lengths])
+    return pick_windows(rows, columns, seq_lens, ("mean",))
 
 
 def _own(f, keys):

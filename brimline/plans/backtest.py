@@ -84,12 +84,6 @@ def _longest(config: DataFrame, column: str) -> int:
     return config.agg(F.max(F.size(column)).alias("n")).first()["n"] or 0
 
 
-def default_means(frame: DataFrame) -> list[str]:
-    """Columns whose mean over the sequence joins the inputs: base lag, rain, temperature, production."""
-    lags = sorted((c for c in frame.columns if c.startswith("lag_")), key=lambda c: int(c[4:]))
-    return lags[:1] + [c for c in frame.columns if c.startswith(("rain_7d_s", "temp_7d_s", "prod_p"))]
-
-
 def warnings_of(levels, production, config, wanted, bounds, missing) -> DataFrame:
     """(kind, entity, detail) of all that a run passes over: one row for each case."""
     def row(df, kind, detail):
@@ -141,15 +135,14 @@ def run(levels, weather, production, config, *, entities=None, places=None, prod
     bounds = selection.date_bounds(cleaning.cap_level(levels), start_year, ends, default_end)
     frame = selection.limit_dates(frame, bounds)
     last = X.feature_columns(frame, horizons)
-    means = default_means(frame)
-    frame = models.add_means(splits.number_rows(frame, split), means, lengths)
+    frame = models.add_windows(splits.number_rows(frame, split), last, lengths)
     settings = config.select(
         "entity", models.model_column().alias("model"), "strategy", "seq_lens",
         F.when(F.col("strategy") == splits.WALK_FORWARD, F.get("halflives", F.lit(0))).alias("halflife"))
     frame = materialize(frame.join(settings, "entity"))
 
-    rows = models.pick_means(roles(frame, None, split, months, horizons, "seq_lens", embargo), means, lengths)
-    inputs = [*last, *[f"{c}_mean" for c in means]]
+    rows = models.pick_windows(roles(frame, None, split, months, horizons, "seq_lens", embargo), last, lengths)
+    inputs = [*last, *[f"{c}_{k}" for c in last for k in ("mean", "slope")]]
     keys = (*splits.KEYS, "halflife")
     of = {m: rows.filter(F.col("model") == m) for m in ("ols", "ridge", "gbt")}
     base = next(c for c in last if c.startswith("lag_"))

@@ -475,22 +475,41 @@ def ridge_pair_report(spark, sf):
     return _metrics(models.predict_ridge(rows, fitted, inputs, keys))
 
 
-def _ridge(spark, sf, panel):
-    frame = models.add_means(splits.number_rows(_frame(spark, sf, panel), SPLIT), backtest.RIDGE_MEANS, DEFAULT_SEQ_LENS)
-    frame = writers.materialize(frame)
-    rows = models.pick_means(_roles(spark, sf, splits.STRATEGIES, frame=frame), backtest.RIDGE_MEANS, DEFAULT_SEQ_LENS)
+def window_slopes(spark, sf):
+    """Means and slopes of six features over the last 30 and 90 rows of the whole feature table, summed up by year."""
+    names = ("level", "lag_7", "delta_1", "rain_30d", "temp_7d", "rolling_std_30")
+    kinds = [f"{k}_{n}" for k in ("mean", "slope") for n in (30, 90)]
+    out = models.add_windows(_frame(spark, sf), names, (30, 90))
+    rows = [F.struct(F.lit(c).alias("feature"), *[F.col(f"{c}_{k}").alias(k) for k in kinds]) for c in names]
+    long = out.select("entity", F.year("date").alias("year"), F.inline(F.array(*rows)))
+    return _round(long.groupBy("entity", "year", "feature").agg(
+        F.count("mean_30").alias("n_30"), F.count("mean_90").alias("n_90"),
+        *[f(k).alias(f"{sd}{k}") for k in kinds for sd, f in (("", F.avg), ("sd_", F.stddev_samp))]), 5)
+
+
+def _ridge_report(rows, inputs):
     rows = rows.withColumn("halflife", F.when(F.col("strategy") == WALK_FORWARD, F.lit(365)))
     keys = (*splits.KEYS, "halflife")
-    fitted = models.fit_ridge(rows, backtest.RIDGE_INPUTS, "halflife", keys=keys)
-    return models.predict_ridge(rows, fitted, backtest.RIDGE_INPUTS, keys)
+    fitted = models.fit_ridge(rows, inputs, "halflife", keys=keys)
+    return _metrics(models.predict_ridge(rows, fitted, inputs, keys))
 
 
 def ridge_report(spark, sf):
-    return _metrics(_ridge(spark, sf, P.flag_panel))
+    """Ridge on the last value, mean and slope of every feature over the sequence."""
+    frame = splits.number_rows(_frame(spark, sf), SPLIT)
+    names = X.feature_columns(_frame(spark, sf))
+    frame = writers.materialize(models.add_windows(frame, names, DEFAULT_SEQ_LENS))
+    rows = models.pick_windows(_roles(spark, sf, splits.STRATEGIES, frame=frame), names, DEFAULT_SEQ_LENS)
+    return _ridge_report(rows, [*names, *[f"{c}_{k}" for c in names for k in ("mean", "slope")]])
 
 
 def ridge_nation_report(spark, sf):
-    return _metrics(_ridge(spark, sf, P.nation_flag_panel))
+    """Many entities on a few features and means."""
+    frame = models.add_means(
+        splits.number_rows(_frame(spark, sf, P.nation_flag_panel), SPLIT), backtest.RIDGE_MEANS, DEFAULT_SEQ_LENS)
+    frame = writers.materialize(frame)
+    rows = models.pick_means(_roles(spark, sf, splits.STRATEGIES, frame=frame), backtest.RIDGE_MEANS, DEFAULT_SEQ_LENS)
+    return _ridge_report(rows, backtest.RIDGE_INPUTS)
 
 
 def gbt_report(spark, sf):
@@ -590,7 +609,7 @@ QUERIES = {f.__name__: f for f in (
     baseline_split, folds, fold_rows, strategy_union, sample_weights, validation_tail,
     scale_bounds, scaled_features, sequences_baseline, sequences_walkforward, context_rows,
     metrics_baseline, metrics_walkforward, metrics_nation_baseline, metrics_nation_walkforward, summary_pivot, missing_horizons, residual_report,
-    weighted_ols, ridge_statistics, ridge_pair_report, ridge_report, ridge_nation_report, gbt_report, config_report, config_ols_report,
+    weighted_ols, window_slopes, ridge_statistics, ridge_pair_report, ridge_report, ridge_nation_report, gbt_report, config_report, config_ols_report,
     run_warnings,
     gbt_prediction_keys, prediction_sink, summary_sink,
     time_interpolate, test_fill,

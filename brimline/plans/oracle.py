@@ -488,6 +488,16 @@ from predictions""",
     "weighted_ols": f"""with {ols('walkfwd_expanding')} select entity, horizon, cast(m.fold as integer) as fold, train_rows,
   train_samples, test_rows, {r('slope', 5)}, {r('intercept', 5)}
 from models m join (select * from fold_sizes where strategy = 'walkfwd_expanding') f using (entity, horizon, fold)""",
+    "window_slopes": f"""with {FLAG_FRAME}, numbered as (select *, row_number() over (partition by entity order by date) as n from frame),
+long as (select entity, date, n, c.feature, c.x from (select entity, date, n, unnest([
+  {', '.join(f"{{'feature': '{c}', 'x': cast({c} as double)}}" for c in ('level', 'lag_7', 'delta_1', 'rain_30d', 'temp_7d', 'rolling_std_30'))}]) as c
+  from numbered)),
+w as (select entity, year(date) as year, feature, {', '.join(
+    f"case when n >= {k} then {f} over (partition by entity, feature order by date rows {k - 1} preceding) end as {name}_{k}"
+    for name, f in (('mean', 'avg(x)'), ('slope', 'regr_slope(x, n)')) for k in (30, 90))} from long)
+select entity, cast(year as integer) as year, feature, count(mean_30) as n_30, count(mean_90) as n_90, {', '.join(
+    f'round(avg({c}), 5) + 0.0 as {c}, round(stddev_samp({c}), 5) as sd_{c}' for c in ('mean_30', 'mean_90', 'slope_30', 'slope_90'))}
+from w group by entity, year, feature""",
     "ridge_statistics": f"""with {FLAG_ROLES}, samples as (
   select entity, horizon, cast(fold as integer) as fold, lag_7, rain_30d, temp_7d, target, {WEIGHT} as w,
     row_no - seq_len + 1 > floor(train_samples * 0.8) as is_val

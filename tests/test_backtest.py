@@ -260,3 +260,26 @@ def test_means_start_with_the_first_full_sequence(spark):
     rows = [("a", DAY + dt.timedelta(days=i), float(i)) for i in range(10)]
     got = models.add_means(spark.createDataFrame(rows, "entity string, date date, x double"), ["x"], [4]).orderBy("date")
     assert [r["x_mean_4"] for r in got.collect()] == [None] * 3 + [i - 1.5 for i in range(3, 10)]
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e7])
+def test_slopes_equal_a_fitted_line(spark, offset):
+    pdf = random_panel(entities=2, days=400, gaps=0.2, nulls=0.0)
+    pdf["level"] += offset
+    got = models.add_windows(to_spark(spark, pdf), ["level", "rain"], [1, 5, 90]).toPandas()
+    for _, g in got.groupby("entity"):
+        g = g.sort_values("date", ignore_index=True)
+        for c in ("level", "rain"):
+            assert g[f"{c}_slope_1"].eq(0).all()
+            for n in (5, 90):
+                x = g[c].to_numpy()
+                want = [np.polyfit(np.arange(n), x[i - n + 1 : i + 1] - offset, 1)[0] for i in range(n - 1, len(x))]
+                assert g[f"{c}_slope_{n}"].isna().sum() == n - 1
+                np.testing.assert_allclose(g[f"{c}_slope_{n}"].iloc[n - 1 :], want, atol=1e-7 if offset else 1e-9)
+
+
+def test_windows_of_the_row_s_own_length(frame):
+    rows = models.pick_windows(backtest.roles(models.add_windows(splits.number_rows(frame), ["lag_7"], [30, 60, 90])),
+                               ["lag_7"], [30, 60, 90])
+    assert {"lag_7_mean", "lag_7_slope"} <= set(rows.columns) and not any(c.endswith(("_30", "_60")) and "lag_7_" in c for c in rows.columns)
+    assert rows.filter("(row_no >= seq_len) <> (lag_7_slope is not null)").count() == 0
