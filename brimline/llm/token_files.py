@@ -22,11 +22,15 @@ are copies; texts of any length are encoded whole; extra columns are not read.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
@@ -36,16 +40,78 @@ from brimline.llm import blocks as B, text as X
 from brimline.sources.writers import materialize, shared_folder
 
 END_ID = 0
-#: Pieces that a worker remembers between blocks.
-REMEMBERED = 1 << 20
+#: Bytes that a worker keeps of known pieces, and what a piece counts for besides its ids.
+REMEMBERED, OVERHEAD = 160 << 20, 64
 MAGIC = b"TOKSHRD1"
 HEADER = struct.Struct("<8sQQQ")  # magic, bytes of an id, keys, displacements
 LAST = np.iinfo(np.int64).max
 
+# Tasks fill the cores; threads of the library inside each would only wait for each other.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 _WHITE = X.table_of(X.SPACES)
 _encoders: dict[str, "Encoder"] = {}
 
 
+class Numbers:
+    """Numbers 0, 1, ... of 64-bit hashes in the order in which they were added, for whole arrays at a time: a table of slots, at
+    most half of them full, in which a hash stands in the first slot from its own one on that was free."""
+
+    def __init__(self):
+        self.n = 0
+        self.hash, self.number = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int32)
+
+    def _walk(self, h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Entries that are looked for and the slots that each looks at next; send tells which entries go on."""
+        at, mask = np.arange(len(h)), np.uint64(len(self.hash) - 1)
+        slot = (h & mask).astype(np.int64)
+        while len(at):
+            on = yield at, slot
+            at, slot = at[on], (slot[on] + 1) & int(mask)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash, or -1; 0 stands for an empty slot, so it is looked up as 1."""
+        h, out = np.maximum(h, np.uint64(1)), np.full(len(h), -1, np.int64)
+        walk, on = self._walk(h), None
+        while True:
+            try:
+                at, slot = walk.send(on)
+            except StopIteration:
+                return out
+            there = self.hash[slot]
+            hit = there == h[at]
+            out[at[hit]] = self.number[slot[hit]]
+            on = ~hit & (there != 0)
+
+    def add(self, h: np.ndarray) -> np.ndarray:
+        """The numbers of distinct hashes that are not there yet."""
+        h = np.maximum(h, np.uint64(1))
+        numbers = np.arange(self.n, self.n + len(h))
+        self.n += len(h)
+        if 2 * self.n > len(self.hash):
+            full = self.hash != 0
+            old, size = (self.hash[full], self.number[full]), len(self.hash)
+            while 2 * self.n > size:
+                size *= 2
+            self.hash, self.number = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+            self._put(*old)
+        self._put(h, numbers)
+        return numbers
+
+    def _put(self, h: np.ndarray, numbers: np.ndarray):
+        walk, on = self._walk(h), None
+        while True:
+            try:
+                at, slot = walk.send(on)
+            except StopIteration:
+                return
+            free = self.hash[slot] == 0
+            self.hash[slot[free]] = h[at[free]]  # of several for one slot the last one stays
+            won = free & (self.hash[slot] == h[at])
+            self.number[slot[won]] = numbers[at[won]]
+            on = ~won
+
+
 class Encoder:
     """Encodes whole columns of text, each distinct piece once; remembers pieces between calls, up to a bound."""
 
@@ -56,8 +122,9 @@ class Encoder:
         self.forget()
 
     def forget(self):
-        self.known, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, self.kind)
+        self.numbers = Numbers()
+        self.used, self.bytes = 0, 0
+        self.first, self.size, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, self.kind)
 
     @staticmethod
     def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,18 +146,16 @@ class Encoder:
         for _, data, offsets in X.chunks(texts):
             starts, ends = self.pieces(data, offsets)
             h = X.span_hashes(data, starts, ends)
-            distinct, at, of = np.unique(h, return_index=True, return_inverse=True)
-            places = np.searchsorted(self.known, distinct)
-            new = np.ones(len(distinct), bool)
-            if len(self.known):
-                new = self.known[np.minimum(places, len(self.known) - 1)] != distinct
-            if new.any():
-                if len(self.known) > REMEMBERED:
-                    self.forget()
-                    new[:] = True
-                self.learn(data, starts[at[new]], ends[at[new]], distinct[new])
-                places = np.searchsorted(self.known, distinct)
-            place = places[of]
+            of, distinct = pd.factorize(h)
+            at = np.empty(len(distinct), np.int64)
+            at[of[::-1]] = np.arange(len(h))[::-1]  # where each occurs first
+            if self.bytes > REMEMBERED:
+                self.forget()
+            place = self.numbers.find(distinct)
+            new = np.flatnonzero(place < 0)
+            if len(new):
+                place[new] = self.learn(data, starts[at[new]], ends[at[new]], distinct[new])
+            place = place[of]
             size, first = self.size[place], self.first[place]
             total = np.cumsum(size)
             ids.append(self.flat[np.repeat(first - total + size, size) + np.arange(total[-1] if len(total) else 0)])
@@ -98,18 +163,24 @@ class Encoder:
             counts.append(np.diff(before))
         return np.concatenate(ids), np.concatenate(counts)
 
-    def learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray):
+    def learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Numbers of new pieces, whose ids are put behind those of the known ones."""
         raw = data.tobytes()
         found = self.model.encode_batch_fast(
             [raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())], add_special_tokens=False)
         lists = [e.ids for e in found]
         size = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for x in lists for i in x), self.kind, int(size.sum()))
-        first = len(self.flat) + np.cumsum(size) - size
-        keys = np.concatenate([self.known, h])
-        order = np.argsort(keys, kind="stable")
-        self.known, self.flat = keys[order], np.concatenate([self.flat, flat])
-        self.size, self.first = np.concatenate([self.size, size])[order], np.concatenate([self.first, first])[order]
+        total, low = int(size.sum()), self.numbers.n
+        for name, n in (("first", low + len(lists)), ("size", low + len(lists)), ("flat", self.used + total)):
+            held = getattr(self, name)
+            if n > len(held):  # room for as many again, so that a piece is copied a few times at most
+                setattr(self, name, np.concatenate([held, np.zeros(max(n, 2 * len(held)) - len(held), held.dtype)]))
+        numbers = self.numbers.add(h)
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(lists), self.kind, total)
+        self.first[numbers], self.size[numbers] = self.used + np.cumsum(size) - size, size
+        self.used += total
+        self.bytes += OVERHEAD * len(lists) + 2 * self.kind.itemsize * total
+        return numbers
 
 
 def encoder(path: str) -> Encoder:

@@ -364,3 +364,29 @@ def test_pipeline_stages(spark, sf_dir, tables):
         else:
             assert out.columns == columns
             docs = out
+
+
+@pytest.mark.parametrize("size", [1, 7, 5000])
+def test_numbers_of_hashes(size):
+    pick, known, table = np.random.default_rng(size), {}, token_files.Numbers()
+    for _ in range(12):
+        h = np.unique(pick.integers(0, 20000, size).astype(np.uint64) * np.uint64(4096))  # many share their first slot
+        found = table.find(h)
+        assert found.tolist() == [known.get(max(x, 1), -1) for x in h.tolist()]
+        new = h[found < 0]
+        for x, i in zip(new.tolist(), table.add(new).tolist()):
+            known[max(x, 1)] = i
+    assert sorted(known.values()) == list(range(table.n)) and 2 * table.n <= len(table.hash)
+
+
+def test_encoder_forgets_by_bytes(monkeypatch):
+    """Texts without spaces are one piece each, so their number says little about what is kept."""
+    monkeypatch.setattr(token_files, "REMEMBERED", 1 << 20)
+    model, known = Tokenizer.from_file(BPE), token_files.Encoder(BPE)
+    pick = random.Random(4)
+    for _ in range(6):
+        texts = ["".join(pick.choice("日本語文字abc") for _ in range(3000)) for _ in range(40)]
+        ids, counts = known.encode(pa.array(texts))
+        assert np.split(ids, np.cumsum(counts)[:-1])[7].tolist() == model.encode(texts[7], add_special_tokens=False).ids
+        held = sum(x.nbytes for x in (known.flat, known.first, known.size, known.numbers.hash, known.numbers.number))
+        assert held < (6 << 20)
