@@ -17,8 +17,8 @@ from brimline.functions.numeric import decay
 from brimline.functions.solve import fold_sums, product_sums, ridge_solver
 from brimline.operators.scaling import with_packed
 from brimline.operators.splits import (
-    KEYS, cells, enough_train, fold_counts, fold_table, has_sequence, in_train, spread_folds,
-    validation_cut, validation_tail,
+    KEYS, cells, enough_train, fold_counts, has_sequence, in_train, spread_folds, usable_folds, validation_cut,
+    validation_tail,
 )
 
 PENALTIES = (1e-6, 1e-4, 1e-2, 1.0)
@@ -127,9 +127,9 @@ def predict_ols(rows: DataFrame, models: DataFrame, x: str, keys=KEYS) -> DataFr
 # --- ridge on many inputs -----------------------------------------------------------------------
 
 
-def add_means(frame: DataFrame, columns, seq_lens) -> DataFrame:
+def add_means(frame: DataFrame, columns, seq_lens, keys=("entity",)) -> DataFrame:
     """Mean of each column over the last L rows, for each distinct L, from running totals; NULL before row L."""
-    order = "over (partition by entity order by date"
+    order = f"over (partition by {', '.join(keys)} order by date"
     out = frame.withColumns({f"_t_{c}": F.expr(f"sum(`{c}`) {order} rows unbounded preceding)") for c in columns})
     return out.withColumns({
         f"{c}_mean_{n}": F.expr(
@@ -138,13 +138,13 @@ def add_means(frame: DataFrame, columns, seq_lens) -> DataFrame:
     }).drop(*[f"_t_{c}" for c in columns])
 
 
-def add_slopes(frame: DataFrame, columns, seq_lens) -> DataFrame:
+def add_slopes(frame: DataFrame, columns, seq_lens, keys=("entity",)) -> DataFrame:
     """Slope per row of each column over the last L rows, for each distinct L; NULL before row L, 0 for L = 1.
 
     Two running totals, of values and of values times their row number, give every slope in constant work. Values count from the
     first one of the entity, which moves no slope and keeps the totals small.
     """
-    order = "over (partition by entity order by date"
+    order = f"over (partition by {', '.join(keys)} order by date"
     out = frame.withColumns({"_row": F.expr(f"row_number() {order})"), **{f"_x_{c}": F.expr(
         f"`{c}` - first(`{c}`) {order} rows between unbounded preceding and current row)") for c in columns}})
     out = out.withColumns({name: F.expr(f"sum({value}) {order} rows unbounded preceding)") for c in columns for name, value in (
@@ -161,9 +161,9 @@ def add_slopes(frame: DataFrame, columns, seq_lens) -> DataFrame:
     }).drop("_row", *[f"_{t}_{c}" for t in "xtp" for c in columns])
 
 
-def add_windows(frame: DataFrame, columns, seq_lens) -> DataFrame:
+def add_windows(frame: DataFrame, columns, seq_lens, keys=("entity",)) -> DataFrame:
     """Mean and slope of each column over the last L rows."""
-    return add_slopes(add_means(frame, columns, seq_lens), columns, seq_lens)
+    return add_slopes(add_means(frame, columns, seq_lens, keys), columns, seq_lens, keys)
 
 
 def pick_windows(rows: DataFrame, columns, seq_lens, kinds=("mean", "slope")) -> DataFrame:
@@ -196,7 +196,7 @@ def ridge_sums(rows: DataFrame, inputs, halflife=None, keys=KEYS, around_first=F
     `lo` and `hi`: of rows with a value, so a mean over a sequence counts from the first full one. With around_first,
     sums are of values less the entity's first ones, which come back as `first`.
     """
-    folds = fold_table(rows, keys).filter((F.col("test_rows") > 0) & enough_train())
+    folds = usable_folds(rows, keys)
     cuts = folds.withColumn("cut", validation_cut())
     # Both tables made from the cuts use the same columns, so their common part runs once.
     packed = cuts.groupBy("entity").agg(F.collect_list(F.struct(
@@ -267,7 +267,7 @@ def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, s
     run at a time. A fit reads the rows that train it, and a test row is scored once. Rows before the first full sequence
     neither train nor test, and their means over it are NULL, so vectors are made of the others only.
     """
-    folds = fold_table(rows, keys).filter((F.col("test_rows") > 0) & enough_train())
+    folds = usable_folds(rows, keys)
     rows = rows.filter(_sample())
     if sequence:
         rows = rows.withColumn("features", array_to_vector(sequence))

@@ -131,6 +131,11 @@ def fold_table(rows: DataFrame, keys=KEYS) -> DataFrame:
         *fold_counts(), F.max("latest").alias("latest"))
 
 
+def usable_folds(rows: DataFrame, keys=KEYS) -> DataFrame:
+    """Folds with test rows and enough training rows for a model."""
+    return fold_table(rows, keys).filter((F.col("test_rows") > 0) & enough_train())
+
+
 def walk_forward_folds(frame: DataFrame, split=SPLIT_DATE, months=FOLD_MONTHS) -> DataFrame:
     """Expanding folds of each entity with their dates; folds need test rows and more than 60 training rows."""
     rows = with_roles(

@@ -48,31 +48,33 @@ def empty_as_zero(stations: DataFrame, columns) -> DataFrame:
         c: F.when(F.count(c).over(whole) == 0, F.lit(0.0)).otherwise(F.col(c)) for c in columns})
 
 
-def _place(limit: int, what: str):
-    return F.when(F.col("position") < limit, F.col("position")).otherwise(
-        F.raise_error(F.lit(f"an entity has more than {limit} {what}")).cast("int"))
+def production_rows(days: DataFrame, production: DataFrame, config: DataFrame) -> DataFrame:
+    """One row per entity, date and configured production series that exists, with yesterday's value as `prod`.
 
+    The join is on (series, date), so a series that many entities name spreads over its dates. A repeated (series, date) fails.
+    """
+    wanted = config.select("entity", F.posexplode("prod_cols").alias("position", "series"))
+    known = wanted.join(production.select("series").distinct(), "series", "left_semi")
+    values = unique_dates(production, "value", ("series",)).select("series", "date", F.col("value").alias("prod"))
+    long = days.select("entity", "date").join(known, "entity").join(values, ["series", "date"], "left")
+    return long.withColumn("prod", F.lag("prod", 1).over(by_date("entity", "position")))
 
-def side_by_side(long: DataFrame, columns, places: int, suffix: str, what: str) -> DataFrame:
-    """Columns of numbered rows next to each other, `{column}_{suffix}{position}`, one row per (entity, date).
 
-    More rows than places fail the job; nothing is cut off.
-    """
-    return (
-        long.withColumn("position", _place(places, what)).groupBy("entity", "date").agg(
-            F.max("position").alias("_last"),
-            *[F.expr(f"max(case when position = {i} then `{c}` end) as `{c}_{suffix}{i}`")
-              for i in range(places) for c in columns]).drop("_last")
-    )
+def filled(long: DataFrame, columns, empty_as=None) -> DataFrame:
+    """Rows of numbered series (entity, position, date) with their columns filled forward; with empty_as, a column without any
+    value in its series is that number."""
+    out = forward_fill(long, columns, ("entity", "position"))
+    if empty_as is None:
+        return out
+    whole = by_date("entity", "position").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return out.withColumns({c: F.when(F.count(c).over(whole) == 0, F.lit(empty_as)).otherwise(F.col(c)) for c in columns})
 
 
-def entity_production(days: DataFrame, production: DataFrame, config: DataFrame, places: int) -> DataFrame:
-    """Configured production series on the days of each entity, `prod_p{position}`; absent series stay out.
+def in_order(long: DataFrame, columns: dict[str, list]) -> DataFrame:
+    """(entity, date) with an array for each name: the given expressions of each numbered row, one position after the other.
 
-    The join is on (series, date), so a series that many entities name spreads over its dates. A repeated
-    (series, date) fails.
+    An array is as long as the entity has rows on a date, so entities with many series add nothing to those with few.
     """
-    wanted = config.select("entity", F.posexplode("prod_cols").alias("position", "series"))
-    values = unique_dates(production, "value", ("series",)).select("series", "date", F.col("value").alias("prod"))
-    long = days.select("entity", "date").join(wanted, "entity").join(values, ["series", "date"])
-    return side_by_side(long, ["prod"], places, "p", "production series")
+    rows = F.array_sort(F.collect_list(F.struct("position", *[F.array(*c).alias(n) for n, c in columns.items()])))
+    return long.groupBy("entity", "date").agg(rows.alias("_rows")).select(
+        "entity", "date", *[F.flatten(F.col(f"_rows.{n}")).alias(n) for n in columns])

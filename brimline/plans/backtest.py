@@ -3,10 +3,10 @@
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brimline.operators import (
-    cleaning, features as X, metrics as M, models, selection, splits, stations as S,
+    cleaning, features as X, metrics as M, models, selection, shared, splits, stations as S,
 )
 from brimline.settings import (
     DEFAULT_LAGS, DEFAULT_SEQ_LENS, FOLD_MONTHS, HORIZONS, SPLIT_DATE, STRATEGIES, WEATHER_MEASURES,
@@ -41,37 +41,73 @@ def roles(frame: DataFrame, strategies=STRATEGIES, split=SPLIT_DATE, months=FOLD
     return splits.with_roles(rows, split, months, embargo)
 
 
-def entity_frame(levels, weather, production, config, places=5, production_places=1,
-                 lag_rows=DEFAULT_LAGS, horizons=HORIZONS) -> DataFrame:
-    """Complete feature rows of every entity, with the stations and production series its settings name.
+STATION = (*WEATHER_MEASURES, *S.DERIVED, "rain_x_level")
 
-    Columns carry the position of the station or series in the settings, so entities with different stations
-    share one table; places an entity does not use hold 0.
+
+def entity_frame(levels, weather, production, config, lag_rows=DEFAULT_LAGS, horizons=HORIZONS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Complete feature rows of every entity, and its rows for each of its stations and production series.
+
+    The first table has the features that every entity has as columns, the others (entity, position, date) with those of one station or
+    series, as many as the settings of the entity name.
     """
-    station_columns = (*WEATHER_MEASURES, *S.DERIVED)
-    around = S.empty_as_zero(S.station_frame(weather), station_columns)
+    around = S.empty_as_zero(S.station_frame(weather), (*WEATHER_MEASURES, *S.DERIVED))
     own = config.select("entity", "lag_days", F.size("weather_stations").alias("_stations"))
     base = cleaning.cap_level(X.unique_dates(levels)).join(own, "entity")
-    days = base.select("entity", "date")
-    nearby = S.side_by_side(
-        S.join_stations(days, around, config), station_columns, places, "s", "stations")
-    made = S.entity_production(days, production, config, production_places)
-    df = base.join(nearby, ["entity", "date"], "left").join(made, ["entity", "date"], "left")
-
-    prod = [f"prod_p{i}" for i in range(production_places)]
-    df = X.shift_one(df, prod) if prod else df
-    df = X.settings_lags(df, lag_rows)
-    df = X.rolling_std(X.rolling_means(df))
-    used = {f"{c}_s{i}": F.expr(f"case when _stations > {i} then {c}_s{i} else 0d end")
-            for i in range(places) for c in station_columns}
-    used |= {f"rain_x_level_s{i}": F.expr(f"case when _stations > {i} then prcp_s{i} * base_level else 0d end")
-             for i in range(places)}
-    df = df.withColumns(used).drop("_stations", "lag_days", "base_level")
+    df = X.rolling_std(X.rolling_means(X.settings_lags(base, lag_rows)))
+    df = materialize(df.drop("lag_days"))
+    nearby = S.join_stations(df.select("entity", "date", "base_level"), around, config).withColumn(
+        "rain_x_level", F.col("prcp") * F.col("base_level"))
+    nearby = S.filled(nearby.drop("station", "base_level"), STATION)
+    made = S.filled(S.production_rows(df, production, config).drop("series"), ["prod"], 0.0)
+    nearby, made = materialize(nearby), materialize(made)
+    df = df.drop("base_level", "_stations")
     df = X.forward_fill(df, [c for c in df.columns if c not in ("entity", "date")])
-    whole = X.by_date().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    if prod:
-        df = df.withColumns({c: F.when(F.count(c).over(whole) == 0, 0.0).otherwise(F.col(c)) for c in prod})
-    return X.complete_rows(X.add_seasonal(X.targets(df, horizons)), horizons)
+    df = X.complete_rows(X.add_seasonal(X.targets(df, horizons)), horizons)
+    for side, columns in ((nearby, STATION), (made, ["prod"])):
+        # A row is complete if its stations and series are.
+        gaps = side.where(" or ".join(f"`{c}` is null" for c in columns)).select("entity", "date")
+        df = df.join(gaps, ["entity", "date"], "left_anti")
+    return df, nearby, made
+
+
+def with_inputs(frame, sides, inputs, lengths) -> DataFrame:
+    """The vectors that models take: adds `x`, `wx` (see `shared`), `own` and `own_wx` (the parts of stations and series).
+
+    frame has numbered rows with settings; `sides` are pairs of (table of numbered series, its columns). Windows run over the rows of the
+    frame, within each series of an entity.
+    """
+    frame = shared.with_vectors(models.add_windows(frame, inputs, lengths), inputs, inputs, "seq_lens", lengths=lengths)
+    frame = frame.drop(*[f"{c}_{k}_{n}" for c in inputs for k in ("mean", "slope") for n in lengths])
+    keys, days = ("entity", "position"), frame.select("entity", "date", "row_no")
+    frame = frame.withColumns({"own": F.array().cast("array<double>"), "own_wx": F.transform("wx", lambda w: F.array().cast("array<double>"))})
+    for side, columns in sides:
+        long = models.add_windows(side.join(days, ["entity", "date"]), columns, lengths, keys)
+        of = {"_x": list(columns)} | {f"_w{n}": [f"{c}_{k}_{n}" for k in ("mean", "slope") for c in columns] for n in lengths}
+        packed = S.in_order(long, of)
+        frame = frame.join(packed, ["entity", "date"], "left")
+        picked = lambda n, i: reduce(lambda out, k: F.when((n == k), F.col(f"_w{k}")).otherwise(out), lengths,
+                                     F.lit(None).cast("array<double>"))
+        more = F.transform("seq_lens", lambda n, i: F.coalesce(picked(n, i), F.array().cast("array<double>")))
+        frame = frame.withColumns({
+            "own": F.concat("own", F.coalesce("_x", F.array().cast("array<double>"))),
+            "own_wx": F.zip_with("own_wx", more, lambda a, b: F.concat(a, b))}).drop(*of)
+    return frame
+
+
+def whole_vectors(frame) -> DataFrame:
+    """`x` and `wx` with the parts of the entity's own stations and series behind those that all entities have."""
+    return frame.withColumns({
+        "x": F.concat("x", "own"),
+        "wx": F.zip_with("wx", "own_wx", lambda a, b: F.when(a.isNotNull(), F.concat(a, b)))}).drop("own", "own_wx")
+
+
+def even_vector(horizons, width: int) -> Column:
+    """The input vector of a row with its horizon, as long for every entity: own parts are filled up with zeros."""
+    def even(v, n):
+        return F.concat(v, F.array_repeat(F.lit(0.0), F.greatest(F.lit(0), n - F.size(v))))
+
+    at = F.array_position(F.array(*[F.lit(h) for h in horizons]), F.col("horizon")).cast("int") - 1
+    return F.concat("x", F.get("wx", at), even(F.col("own"), F.lit(width)), even(F.get("own_wx", at), F.lit(2 * width)))
 
 
 def _distinct_ints(config: DataFrame, column: str) -> list[int]:
@@ -80,10 +116,6 @@ def _distinct_ints(config: DataFrame, column: str) -> list[int]:
     return sorted(r["n"] for r in found)
 
 
-def _longest(config: DataFrame, column: str) -> int:
-    return config.agg(F.max(F.size(column)).alias("n")).first()["n"] or 0
-
-
 def warnings_of(levels, production, config, wanted, bounds, missing) -> DataFrame:
     """(kind, entity, detail) of all that a run passes over: one row for each case."""
     def row(df, kind, detail):
@@ -106,18 +138,17 @@ def warnings_of(levels, production, config, wanted, bounds, missing) -> DataFram
     return reduce(DataFrame.unionByName, out)
 
 
-def run(levels, weather, production, config, *, entities=None, places=None, production_places=None, horizons=HORIZONS,
-        split=SPLIT_DATE, months=FOLD_MONTHS, start_year=None, ends=None, default_end=None, embargo=False,
-        tree_params=None) -> Report:
+def run(levels, weather, production, config, *, entities=None, horizons=HORIZONS, split=SPLIT_DATE, months=FOLD_MONTHS,
+        start_year=None, ends=None, default_end=None, embargo=False, tree_params=None) -> Report:
     """The whole job. Settings decide per entity on stations, lags, model, sequence lengths and strategy.
 
     `entities` is a comma list of those to run; without one all that have levels run, and with none of them known the
     job fails. Entities without settings take the defaults. Nothing is cut off the end unless `ends` or `default_end`
     say so. `warnings` lists all that the run passes over.
 
-    `config` takes the raw settings rows; pass an override by changing its rows. An entity may have one row only. `places` and `production_places` are
-    the most stations and series of any entity, read from the settings unless given. The feature table is
-    written once to the shared folder and read by every fit and score.
+    `config` takes the raw settings rows; pass an override by changing its rows. An entity may have one row only. Ridge and trees take
+    the last value, the mean and the slope of every feature; an entity's input vector is as long as its own settings make it. The table
+    of inputs is written once to the shared folder and read by every fit and score.
     """
     found = levels.select("entity").distinct()
     unknown = None
@@ -129,28 +160,32 @@ def run(levels, weather, production, config, *, entities=None, places=None, prod
         unknown = config.select("entity").join(found, "entity", "left_anti")
     config = materialize(selection.settings_of(found, config))
     lengths, lag_rows = _distinct_ints(config, "seq_lens"), _distinct_ints(config, "lag_days")
-    places = _longest(config, "weather_stations") if places is None else places
-    production_places = _longest(config, "prod_cols") if production_places is None else production_places
-    frame = entity_frame(levels, weather, production, config, places, production_places, lag_rows, horizons)
+    frame, nearby, made = entity_frame(levels, weather, production, config, lag_rows, horizons)
     bounds = selection.date_bounds(cleaning.cap_level(levels), start_year, ends, default_end)
     frame = selection.limit_dates(frame, bounds)
     last = X.feature_columns(frame, horizons)
-    frame = models.add_windows(splits.number_rows(frame, split), last, lengths)
+    base = next(c for c in last if c.startswith("lag_"))
     settings = config.select(
-        "entity", models.model_column().alias("model"), "strategy", "seq_lens",
+        "entity", models.model_column().alias("model"), "strategy", F.slice("seq_lens", 1, len(horizons)).alias("seq_lens"),
         F.when(F.col("strategy") == splits.WALK_FORWARD, F.get("halflives", F.lit(0))).alias("halflife"))
-    frame = materialize(frame.join(settings, "entity"))
+    frame = materialize(splits.number_rows(frame, split).join(settings, "entity"))
+    inputs = materialize(with_inputs(frame, ((nearby, STATION), (made, ("prod",))), last, lengths).drop(*[c for c in last if c != base]))
 
-    rows = models.pick_windows(roles(frame, None, split, months, horizons, "seq_lens", embargo), last, lengths)
-    inputs = [*last, *[f"{c}_{k}" for c in last for k in ("mean", "slope")]]
     keys = (*splits.KEYS, "halflife")
-    of = {m: rows.filter(F.col("model") == m) for m in ("ols", "ridge", "gbt")}
-    base = next(c for c in last if c.startswith("lag_"))
+    of = {m: inputs.filter(F.col("model") == m) for m in ("ols", "ridge", "gbt")}
+    by_row = {m: roles(df, None, split, months, horizons, "seq_lens", embargo) for m, df in of.items()}
+    whole = whole_vectors(of["ridge"])
+    at = F.array_position(F.array(*[F.lit(h) for h in horizons]), F.col("horizon")).cast("int") - 1
+    ridge = roles(whole, None, split, months, horizons, "seq_lens", embargo)
+    fitted = shared.fit_ridge(whole, splits.usable_folds(by_row["ridge"], keys), "halflife", horizons, keys, windows=True)
+    width = of["gbt"].agg(F.max(F.size("own"))).first()[0] or 0
     predictions = (
-        models.predict_ols(of["ols"], models.fit_ols(of["ols"], base, "halflife", keys), base, keys)
-        .unionByName(models.predict_ridge(of["ridge"], models.fit_ridge(of["ridge"], inputs, "halflife", keys=keys), inputs, keys))
-        .unionByName(models.fit_predict_gbt(of["gbt"], inputs, "halflife", keys=keys, **(tree_params or {})))
+        models.predict_ols(by_row["ols"], models.fit_ols(by_row["ols"], base, "halflife", keys), base, keys)
+        .unionByName(shared.predict_ridge(ridge, fitted, F.concat("x", F.get("wx", at)), keys))
+        .unionByName(models.fit_predict_gbt(
+            by_row["gbt"].withColumn("_v", even_vector(horizons, width)), None, "halflife", keys=keys, sequence="_v", **(tree_params or {})))
     )
+    rows = roles(inputs.drop("x", "wx", "own", "own_wx"), None, split, months, horizons, "seq_lens", embargo)
     predictions = materialize(M.bounded(predictions))
     errors = M.metrics(predictions)
     missing = M.missing_horizons(config.select("entity"), errors.select("entity", "horizon"), horizons)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from brimline.functions.calendar import parse_day_first
 from brimline.operators import (
-    cleaning, features as X, metrics as M, models, scaling, segments, selection, sequences, splits, stations, weights,
+    cleaning, features as X, metrics as M, models, scaling, segments, selection, sequences, shared, splits, stations, weights,
 )
 from brimline.plans import backtest
 from brimline.settings import DEFAULT_SEQ_LENS, HORIZONS, LEVEL_SUFFIX, WEATHER_MEASURES
@@ -454,8 +454,9 @@ def weighted_ols(spark, sf):
 
 def ridge_statistics(spark, sf):
     """Mean products of the weighted fit part and the plain validation part of every walk-forward fold."""
-    rows = _roles(spark, sf, [WALK_FORWARD], frame=_stored(spark, sf, P.flag_panel))
-    sums = models.ridge_sums(rows, GRAM_COLUMNS, 365)
+    frame = _stored(spark, sf, P.flag_panel)
+    folds = splits.usable_folds(_roles(spark, sf, [WALK_FORWARD], frame=frame))
+    sums = shared.fold_sums(shared.with_vectors(frame, GRAM_COLUMNS), folds, 365)
     every = (*GRAM_COLUMNS, "target")
     width = len(every) + 1
     places = [(f"s_{c}", j + 1) for j, c in enumerate(every)]
@@ -487,29 +488,29 @@ def window_slopes(spark, sf):
         *[f(k).alias(f"{sd}{k}") for k in kinds for sd, f in (("", F.avg), ("sd_", F.stddev_samp))]), 5)
 
 
-def _ridge_report(rows, inputs):
+def _ridge_report(spark, sf, frame, inputs, windows, kinds):
+    """Ridge on input columns and on windows of some of them, 365 days of half-life where folds walk forward."""
+    frame = writers.materialize(frame)
+    rows = models.pick_windows(_roles(spark, sf, splits.STRATEGIES, frame=frame), windows, DEFAULT_SEQ_LENS, kinds)
     rows = rows.withColumn("halflife", F.when(F.col("strategy") == WALK_FORWARD, F.lit(365)))
     keys = (*splits.KEYS, "halflife")
-    fitted = models.fit_ridge(rows, inputs, "halflife", keys=keys)
-    return _metrics(models.predict_ridge(rows, fitted, inputs, keys))
+    vectors = shared.with_vectors(frame, inputs, windows, DEFAULT_SEQ_LENS, kinds)
+    fitted = shared.fit_ridge(vectors, splits.usable_folds(rows, keys), "halflife", keys=keys, windows=True)
+    return _metrics(models.predict_ridge(rows, fitted, [*inputs, *[f"{c}_{k}" for k in kinds for c in windows]], keys))
 
 
 def ridge_report(spark, sf):
     """Ridge on the last value, mean and slope of every feature over the sequence."""
     frame = splits.number_rows(_frame(spark, sf), SPLIT)
     names = X.feature_columns(_frame(spark, sf))
-    frame = writers.materialize(models.add_windows(frame, names, DEFAULT_SEQ_LENS))
-    rows = models.pick_windows(_roles(spark, sf, splits.STRATEGIES, frame=frame), names, DEFAULT_SEQ_LENS)
-    return _ridge_report(rows, [*names, *[f"{c}_{k}" for c in names for k in ("mean", "slope")]])
+    return _ridge_report(spark, sf, models.add_windows(frame, names, DEFAULT_SEQ_LENS), names, names, ("mean", "slope"))
 
 
 def ridge_nation_report(spark, sf):
     """Many entities on a few features and means."""
-    frame = models.add_means(
-        splits.number_rows(_frame(spark, sf, P.nation_flag_panel), SPLIT), backtest.RIDGE_MEANS, DEFAULT_SEQ_LENS)
-    frame = writers.materialize(frame)
-    rows = models.pick_means(_roles(spark, sf, splits.STRATEGIES, frame=frame), backtest.RIDGE_MEANS, DEFAULT_SEQ_LENS)
-    return _ridge_report(rows, backtest.RIDGE_INPUTS)
+    frame = splits.number_rows(_frame(spark, sf, P.nation_flag_panel), SPLIT)
+    frame = models.add_means(frame, backtest.RIDGE_MEANS, DEFAULT_SEQ_LENS)
+    return _ridge_report(spark, sf, frame, backtest.RIDGE_LAST, backtest.RIDGE_MEANS, ("mean",))
 
 
 def gbt_report(spark, sf):

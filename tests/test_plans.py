@@ -93,5 +93,5 @@ def test_the_job_joins_production_by_series_and_date(spark, sf_dir):
     levels, weather, demand = catalog._job_tables(spark, sf_dir)
     from brimline.operators import selection
     config = selection.settings_of(levels.select("entity").distinct(), P.region_config(spark, sf_dir))
-    text = plan(backtest.entity_frame(levels, weather, demand, config, 5, 2))
+    text = plan(backtest.entity_frame(levels, weather, demand, config)[0])
     assert "NestedLoop" not in text and "Cartesian" not in text and "lineitem" not in text

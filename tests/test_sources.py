@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brimline.functions.calendar import parse_day_first
-from brimline.operators import cleaning, metrics as M, selection
+from brimline.operators import cleaning, features as X, metrics as M, selection, splits
 from brimline.plans import backtest
 from brimline.settings import LEVEL_SUFFIX
 from brimline.sources import readers, reshape, writers
@@ -150,14 +150,35 @@ def test_whole_job(spark, tables, tmp_path):
     assert out.count() == 2
 
 
-def test_too_many_stations_fail(spark, tables):
-    config = selection.settings_for(spark, ["Balcova"], weather_stations=["S1", "S2"])
-    with pytest.raises(Exception, match="more than 1 stations"):
-        backtest.entity_frame(*tables, selection.with_defaults(config), places=1).count()
+def test_many_stations_of_one_entity_widen_no_other(spark, tables):
+    """Inputs are as long as an entity's own settings make them, and the other entity's results stay the same."""
+    levels, weather, production = tables
+    many = [f"M{i}" for i in range(50)]
+    more = weather.where("station = 'S1'").drop("station").withColumn("station", F.explode(F.array(*[F.lit(m) for m in many])))
+    weather = weather.unionByName(more.withColumn("prcp", F.col("prcp") * (1 + F.length("station"))))
+    small = selection.settings_for(spark, ["Urkmez"], weather_stations=["S2"], model="ridge", seq_lens=[10, 20, 30])
+    big = selection.settings_for(spark, ["Balcova"], weather_stations=many, prod_cols=["made_0", "made_1"], model="ridge",
+                                 seq_lens=[10, 20, 30])
+    config = selection.settings_of(levels.select("entity").distinct(), small.unionByName(big))
+    frame, nearby, made = backtest.entity_frame(levels, weather, production, config, [7, 14, 30, 60, 90])
+    last = X.feature_columns(frame)
+    numbered = splits.number_rows(frame).join(config.select("entity", "seq_lens"), "entity")
+    inputs = backtest.with_inputs(numbered, ((nearby, backtest.STATION), (made, ("prod",))), last, [10, 20, 30])
+    per = len(backtest.STATION)
+    sizes = {r["entity"]: (r["own"], r["wx"]) for r in inputs.groupBy("entity").agg(
+        F.max(F.size("own")).alias("own"), F.max(F.size(F.get("own_wx", 2))).alias("wx")).collect()}
+    assert sizes == {"Urkmez": (per, 2 * per), "Balcova": (50 * per + 2, 2 * (50 * per + 2))}
+    assert not [c for c in inputs.columns if c.endswith(("_s1", "_p1"))]
+    alone = backtest.run(*tables, small, entities="Urkmez").metrics.collect()
+    both = backtest.run(levels, weather, production, small.unionByName(big)).metrics.collect()
+    assert len(both) == 6 and len(alone) == 3
+    for r in alone:
+        other = next(x for x in both if x["entity"] == "Urkmez" and x["horizon"] == r["horizon"])
+        assert other["rmse"] == pytest.approx(r["rmse"], rel=1e-9)
 
 
 def test_start_year_moves_the_start(spark, tables):
     config = selection.settings_for(spark, ["Balcova"], weather_stations=["S1"], model="ols")
-    early = backtest.run(*tables, config, places=1).summary.first()["train_rows"]
-    late = backtest.run(*tables, config, places=1, start_year=2022).summary.first()["train_rows"]
+    early = backtest.run(*tables, config).summary.first()["train_rows"]
+    late = backtest.run(*tables, config, start_year=2022).summary.first()["train_rows"]
     assert late < early and late == (dt.date(2022, 12, 1) - dt.date(2022, 1, 1)).days + 1
