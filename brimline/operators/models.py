@@ -10,8 +10,8 @@ from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from brimline.functions.numeric import decay
 from brimline.functions.solve import fold_sums, product_sums, ridge_solver
@@ -22,6 +22,8 @@ from brimline.operators.splits import (
 )
 
 PENALTIES = (1e-6, 1e-4, 1e-2, 1.0)
+# Trees without a gain on the validation tail after which no more are looked at.
+PATIENCE = 8
 # Settings keys of the replaced networks, and the regressor that does their job here.
 REGISTRY = {"ols": "ols", "ridge": "ridge", "gbt": "gbt", "Dense": "ridge", "GRU": "ridge", "LSTM": "gbt"}
 
@@ -259,8 +261,47 @@ def predict_ridge(rows: DataFrame, models: DataFrame, inputs, keys=KEYS) -> Data
 # --- pooled boosted trees -----------------------------------------------------------------------
 
 
-def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, sequence=None, parallelism=4, **params) -> DataFrame:
-    """One pooled boosted model per (strategy, horizon, fold), stopped on the validation tail.
+def best_round(errors, patience: int = PATIENCE) -> int:
+    """Number of trees to keep: the best one found until `patience` more trees in a row brought no gain."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The ensemble of the first n trees."""
+    if n >= model.getNumTrees:
+        return model
+    java, gateway = model._java_obj, SparkSession.active().sparkContext._gateway
+    vm, trees, weights = gateway.jvm, java.trees(), java.treeWeights()
+    kept = gateway.new_array(vm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weight = gateway.new_array(vm.double, n)
+    for i in range(n):
+        kept[i], weight[i] = trees[i], weights[i]
+    shorter = vm.org.apache.spark.ml.regression.GBTRegressionModel(f"{java.uid()}_{n}", kept, weight)
+    shorter.setFeaturesCol(java.getFeaturesCol()).setPredictionCol(java.getPredictionCol())
+    return GBTRegressionModel(shorter)
+
+
+def fit_trees(train: DataFrame, trees: GBTRegressor, patience: int = PATIENCE) -> GBTRegressionModel:
+    """Trees on the rows before the validation tail (`is_val`), as many as do best on the tail.
+
+    The errors of all numbers of trees come from one pass over the tail. Without a tail all trees stay.
+    """
+    model = trees.fit(train.filter("not is_val"))
+    tail = train.filter("is_val")
+    if not tail.limit(1).count():
+        return model
+    return first_trees(model, best_round(model.evaluateEachIteration(tail, "squared"), patience))
+
+
+def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, sequence=None, parallelism=4, patience=PATIENCE,
+                    **params) -> DataFrame:
+    """One pooled boosted model per (strategy, horizon, fold), with as many trees as do best on the validation tail.
 
     `sequence` names a column with the flattened sequence, used in place of `inputs`. There is a fit for each strategy,
     horizon and fold, whatever the number of entities, half-lives and sequence lengths, and `parallelism` of them
@@ -278,8 +319,7 @@ def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, s
     test = rows.filter(F.col("test_fold").isNotNull() & has_sequence())
     test = with_packed(test, folds, ["train_rows"], keys)
     trees = GBTRegressor(
-        featuresCol="features", labelCol="target", predictionCol="yhat", seed=seed,
-        validationIndicatorCol="is_val", **{"maxIter": 20, "maxDepth": 4, **params})
+        featuresCol="features", labelCol="target", predictionCol="yhat", seed=seed, **{"maxIter": 30, "maxDepth": 4, **params})
     if halflife is not None:
         trees = trees.setWeightCol("weight")
 
@@ -293,7 +333,7 @@ def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, s
         if halflife is not None:
             raw = F.coalesce(decay(F.datediff("latest", "date"), _halflife(halflife)), F.lit(1.0))
             train = train.withColumn("_w", raw).withColumn("weight", F.col("_w") / F.avg("_w").over(Window.partitionBy(*keys)))
-        return trees.fit(train).transform(test.filter(same & (F.col("test_fold") == f["fold"])))
+        return fit_trees(train, trees, patience).transform(test.filter(same & (F.col("test_fold") == f["fold"])))
 
     with ThreadPoolExecutor(max(1, parallelism)) as pool:
         scored = list(pool.map(fit_one, fits))

@@ -3,6 +3,8 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from brimline.operators import features as X, metrics as M, models, scaling, sequences, splits, weights
@@ -283,3 +285,36 @@ def test_windows_of_the_row_s_own_length(frame):
                                ["lag_7"], [30, 60, 90])
     assert {"lag_7_mean", "lag_7_slope"} <= set(rows.columns) and not any(c.endswith(("_30", "_60")) and "lag_7_" in c for c in rows.columns)
     assert rows.filter("(row_no >= seq_len) <> (lag_7_slope is not null)").count() == 0
+
+
+def test_best_round():
+    assert models.best_round([5, 4, 3, 3.5, 3.2]) == 3
+    assert models.best_round([5, 4] + [6] * 8 + [1]) == 2 and models.best_round([5, 4] + [6] * 7 + [1]) == 10
+    assert models.best_round([1]) == 1 and models.best_round([2, 2, 2], 1) == 1
+
+
+def test_trees_kept_where_more_of_them_hurt(spark):
+    """Noise that trees learn by heart: the kept number is that of a search over all prefixes, and less than all."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(600):
+        x = rng.normal(size=3)
+        rows.append((*map(float, x), float(2 * (x[0] > 0) + rng.normal(0, 3)), i >= 450, 1.0 + i % 3))
+    df = spark.createDataFrame(rows, "a double, b double, c double, target double, is_val boolean, weight double")
+    df = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df).cache()
+    for weight in (None, "weight"):
+        trees = GBTRegressor(featuresCol="features", labelCol="target", predictionCol="yhat", seed=1, maxIter=15, maxDepth=4)
+        if weight:
+            trees = trees.setWeightCol(weight)
+        whole = trees.fit(df.filter("not is_val"))
+        tail = df.filter("is_val")
+        errors = [models.first_trees(whole, n).transform(tail).select(
+            F.avg(F.pow(F.col("yhat") - F.col("target"), 2)).alias("e")).first()["e"] for n in range(1, 16)]
+        kept = models.fit_trees(df, trees, 50)
+        want = int(np.argmin(errors)) + 1
+        assert kept.getNumTrees == want < 15 and errors[want - 1] < errors[-1]
+        sums = sum(w * t.predict(tail.first()["features"]) for w, t in zip(whole.treeWeights[:want], whole.trees))
+        assert kept.transform(tail.limit(1)).first()["yhat"] == pytest.approx(sums)
+        patient = models.fit_trees(df, trees, 2)
+        assert patient.getNumTrees == models.best_round(errors, 2)
+    assert models.fit_trees(df.filter("not is_val"), trees).getNumTrees == 15
