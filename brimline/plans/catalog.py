@@ -49,6 +49,25 @@ def csv_scan(spark, sf):
     return _round(readers.read_wide_csv(spark, path)).orderBy("date")
 
 
+def rejected_rows(spark, sf):
+    """What cannot be read of a damaged file: dates and numbers overwritten on some days, and lines cut short on others."""
+    path, wide = writers.shared_folder(spark), _wide_flags(spark, sf)
+    names = [c for c in wide.columns if c != "date"]
+    day, date = F.dayofmonth("date"), F.date_format("date", "dd.MM.yyyy")
+    broken = {names[0]: F.when(day == 13, F.lit("12,5x")), names[4]: F.when(day == 19, F.lit("none")),
+              names[8]: F.when((day == 19) | (day == 13), F.lit("--"))}
+    fields = [F.concat(F.lit('"'), F.coalesce(broken.get(c, F.lit(None)), F.col(f"`{c}`").cast("string"), F.lit("")), F.lit('"'))
+              for c in names]
+    date = F.when(day == 17, F.concat(F.lit("on "), date)).otherwise(date)
+    line = F.when(day == 23, date).otherwise(F.concat_ws(",", date, *fields))
+    head = spark.createDataFrame([(None, ",".join(["Date", *names]))], "date date, value string")
+    lines = head.union(wide.select("date", line.alias("value")))
+    lines.coalesce(1).sortWithinPartitions(F.col("date").asc_nulls_first()).select("value").write.text(path)
+    good, rejected = readers.split_wide_csv(spark, path)
+    kept = good.agg(F.count("date").alias("line")).select("line", F.lit("rows kept").alias("column"), F.lit(None).cast("string").alias("text"))
+    return rejected.select("line", "column", "text").union(kept)
+
+
 def date_parse(spark, sf):
     day = F.col("o_orderdate").cast("date")
     kind = F.col("o_orderkey") % 4
@@ -601,7 +620,7 @@ def test_fill(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     slice_ols_report,
-    csv_scan, date_parse, config_scan, unpivot_long, pivot_wide, series_by_name, drop_empty_series,
+    csv_scan, rejected_rows, date_parse, config_scan, unpivot_long, pivot_wide, series_by_name, drop_empty_series,
     missing_flags, fill_zero, cap_level, bad_level_count, profile,
     rain_range_sums, temp_range_mean, lags, deltas, rolling_means, rolling_std, rain_x_level, demand_lag,
     forward_fill, targets, seasonal, feature_frame, feature_frame_dirty, feature_frame_supplier, feature_frame_segments,

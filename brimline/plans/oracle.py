@@ -202,6 +202,8 @@ METRIC_COLUMNS = f"entity, strategy, model, horizon, n, {r('rmse', 4)}, {r('mae'
 
 SERIES_COLUMNS = {f"{f}{SUFFIX}": ("level", f) for f in "ANR"} | {
     f"prcp_{f}": ("rain", f) for f in "ANR"} | {f"tavg_{f}": ("temp", f) for f in "ANR"}
+#: Columns of the wide table in the order of the file: level, rain and temperature of one flag after the other.
+FLAG_COLUMNS = [c for f in "ANR" for c in (f"{f}{SUFFIX}", f"prcp_{f}", f"tavg_{f}")]
 WIDE = "wide as (select date, " + ", ".join(
     f'max(case when entity = \'{f}\' then {m} end) as "{c}"' for c, (m, f) in SERIES_COLUMNS.items()
 ) + " from flag_panel group by date)"
@@ -333,6 +335,14 @@ select entity, any_value(train_rows) as train_rows, count(*) as test_rows,
 from p join m using (entity) group by entity""",
     "csv_scan": f"""with {FLAG}, {WIDE} select date, {', '.join(
         f'round("{c}", 6) + 0.0 as "{c}"' for c in SERIES_COLUMNS)} from wide""",
+    "rejected_rows": f"""with {FLAG}, {WIDE}, n as (
+  select row_number() over (order by date) + 1 as line, day(date) as d, strftime(date, '%d.%m.%Y') as text from wide)
+select line, 'Date' as "column", 'on ' || text as text from n where d = 17
+union all select line, null, text from n where d = 23
+union all select line, '{FLAG_COLUMNS[0]}', '12,5x' from n where d = 13
+union all select line, '{FLAG_COLUMNS[4]}', 'none' from n where d = 19
+union all select line, '{FLAG_COLUMNS[8]}', '--' from n where d in (13, 19)
+union all select count(*), 'rows kept', null from n where d not in (13, 17, 19, 23)""",
     "date_parse": """with t as (select o_orderkey, case o_orderkey % 4
     when 0 then strftime(o_orderdate, '%d.%m.%Y') when 1 then strftime(o_orderdate, '%-d/%-m/%Y')
     when 2 then strftime(o_orderdate, '%Y-%m-%d') else concat('on ', strftime(o_orderdate, '%Y-%m-%d')) end as date_text

@@ -83,6 +83,31 @@ def test_choose_entities(spark):
         selection.choose_entities(known, "Nowhere")
 
 
+def test_rejected_rows_of_damaged_files(spark, tmp_path):
+    """Lines count in their file, whatever splits it is read in; rows with any unreadable text are not among the good ones."""
+    lines = ["Date,a,b", *[f"{i % 28 + 1:02d}.03.2021,{i}.5,{'NA' if i % 7 else ''}" for i in range(1, 60)]]
+    lines[10], lines[20], lines[40] = "someday,1,2", "05.03.2021,x,--", ""
+    lines[30], lines[31], lines[50] = "05.03.2021,1", "05.03.2021,1,2,3", ',1,"2"'
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "b.csv").write_text("\n".join(lines[:12]))
+    for size in (200, 1 << 27):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        try:
+            good, rejected = readers.split_wide_csv(spark, str(tmp_path))
+            got = sorted((r["file"][-5:], r["line"], r["column"] or "", r["text"]) for r in rejected.collect())
+            kept = good.collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert got == [
+            ("a.csv", 11, "Date", "someday"), ("a.csv", 21, "a", "x"), ("a.csv", 21, "b", "--"), ("a.csv", 31, "", "05.03.2021,1"),
+            ("a.csv", 32, "", "05.03.2021,1,2,3"), ("a.csv", 51, "Date", None), ("b.csv", 11, "Date", "someday")]
+        assert len(kept) == 59 - 6 + 11 - 1 and all(r["date"] is not None and r["b"] is None for r in kept)
+    with pytest.raises(Exception, match="unreadable"):
+        readers.read_wide_csv(spark, str(tmp_path)).collect()
+
+
 def test_date_bounds(spark):
     rows = [("North", dt.date(2010, 5, 1), None), ("North", dt.date(2010, 5, 2), 1.0),
             ("South", dt.date(2016, 1, 1), 1.0), ("West", dt.date(2016, 1, 1), None), ("East", dt.date(2017, 1, 1), 2.0)]
