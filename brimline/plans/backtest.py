@@ -1,5 +1,6 @@
 """From daily tables to predictions and reports, for all entities in one plan."""
 
+import json
 from functools import reduce
 from typing import NamedTuple
 
@@ -11,7 +12,7 @@ from brimline.operators import (
 from brimline.settings import (
     DEFAULT_LAGS, DEFAULT_SEQ_LENS, FOLD_MONTHS, HORIZONS, SPLIT_DATE, STRATEGIES, WEATHER_MEASURES,
 )
-from brimline.sources.writers import materialize
+from brimline.sources.writers import Stages, fingerprint
 
 RIDGE_LAST = (
     "lag_7", "delta_1", "rolling_mean_30", "rolling_std_30", "trend_direction", "rain_30d", "temp_7d",
@@ -29,6 +30,7 @@ class Report(NamedTuple):
     residuals: DataFrame
     missing: DataFrame
     warnings: DataFrame
+    stages: Stages
 
 
 def roles(frame: DataFrame, strategies=STRATEGIES, split=SPLIT_DATE, months=FOLD_MONTHS,
@@ -44,22 +46,24 @@ def roles(frame: DataFrame, strategies=STRATEGIES, split=SPLIT_DATE, months=FOLD
 STATION = (*WEATHER_MEASURES, *S.DERIVED, "rain_x_level")
 
 
-def entity_frame(levels, weather, production, config, lag_rows=DEFAULT_LAGS, horizons=HORIZONS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def entity_frame(levels, weather, production, config, lag_rows=DEFAULT_LAGS, horizons=HORIZONS,
+                 stages: Stages | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Complete feature rows of every entity, and its rows for each of its stations and production series.
 
     The first table has the features that every entity has as columns, the others (entity, position, date) with those of one station or
     series, as many as the settings of the entity name.
     """
+    stages = stages or Stages(levels.sparkSession)
     around = S.empty_as_zero(S.station_frame(weather), (*WEATHER_MEASURES, *S.DERIVED))
     own = config.select("entity", "lag_days", F.size("weather_stations").alias("_stations"))
     base = cleaning.cap_level(X.unique_dates(levels)).join(own, "entity")
-    df = X.rolling_std(X.rolling_means(X.settings_lags(base, lag_rows)))
-    df = materialize(df.drop("lag_days"))
+    df_of_levels = X.rolling_std(X.rolling_means(X.settings_lags(base, lag_rows)))
+    df = stages.table("levels", lambda: df_of_levels.drop("lag_days"))
     nearby = S.join_stations(df.select("entity", "date", "base_level"), around, config).withColumn(
         "rain_x_level", F.col("prcp") * F.col("base_level"))
-    nearby = S.filled(nearby.drop("station", "base_level"), STATION)
-    made = S.filled(S.production_rows(df, production, config).drop("series"), ["prod"], 0.0)
-    nearby, made = materialize(nearby), materialize(made)
+    stations, series = nearby.drop("station", "base_level"), S.production_rows(df, production, config).drop("series")
+    nearby = stages.table("stations", lambda: S.filled(stations, STATION))
+    made = stages.table("series", lambda: S.filled(series, ["prod"], 0.0))
     df = df.drop("base_level", "_stations")
     df = X.forward_fill(df, [c for c in df.columns if c not in ("entity", "date")])
     df = X.complete_rows(X.add_seasonal(X.targets(df, horizons)), horizons)
@@ -138,8 +142,37 @@ def warnings_of(levels, production, config, wanted, bounds, missing) -> DataFram
     return reduce(DataFrame.unionByName, out)
 
 
+def _inputs(levels, weather, production, config, lag_rows, lengths, horizons, split, bounds, stages) -> DataFrame:
+    """Numbered rows with roles' columns, settings, the level that `ols` takes and the vectors of the other models."""
+    frame, nearby, made = entity_frame(levels, weather, production, config, lag_rows, horizons, stages)
+    frame = selection.limit_dates(frame, bounds)
+    last = X.feature_columns(frame, horizons)
+    settings = config.select(
+        "entity", models.model_column().alias("model"), "strategy", F.slice("seq_lens", 1, len(horizons)).alias("seq_lens"),
+        F.when(F.col("strategy") == splits.WALK_FORWARD, F.get("halflives", F.lit(0))).alias("halflife"))
+    numbered = stages.table("frame", lambda: splits.number_rows(frame, split).join(settings, "entity"))
+    found = with_inputs(numbered, ((nearby, STATION), (made, ("prod",))), last, lengths)
+    return found.drop(*[c for c in last if c != f"lag_{lag_rows[0]}"])
+
+
+def _predictions(inputs, base, keys, horizons, with_roles, tree_params) -> DataFrame:
+    """Predictions of all three regressors, each fitted on the entities whose settings name it."""
+    of = {m: inputs.filter(F.col("model") == m) for m in ("ols", "ridge", "gbt")}
+    by_row = {m: with_roles(df) for m, df in of.items()}
+    whole = whole_vectors(of["ridge"])
+    at = F.array_position(F.array(*[F.lit(h) for h in horizons]), F.col("horizon")).cast("int") - 1
+    fitted = shared.fit_ridge(whole, splits.usable_folds(by_row["ridge"], keys), "halflife", horizons, keys, windows=True)
+    width = of["gbt"].agg(F.max(F.size("own"))).first()[0] or 0
+    trees = by_row["gbt"].withColumn("_v", even_vector(horizons, width))
+    return (
+        models.predict_ols(by_row["ols"], models.fit_ols(by_row["ols"], base, "halflife", keys), base, keys)
+        .unionByName(shared.predict_ridge(with_roles(whole), fitted, F.concat("x", F.get("wx", at)), keys))
+        .unionByName(models.fit_predict_gbt(trees, None, "halflife", keys=keys, sequence="_v", **(tree_params or {})))
+    )
+
+
 def run(levels, weather, production, config, *, entities=None, horizons=HORIZONS, split=SPLIT_DATE, months=FOLD_MONTHS,
-        start_year=None, ends=None, default_end=None, embargo=False, tree_params=None) -> Report:
+        start_year=None, ends=None, default_end=None, embargo=False, tree_params=None, folder=None) -> Report:
     """The whole job. Settings decide per entity on stations, lags, model, sequence lengths and strategy.
 
     `entities` is a comma list of those to run; without one all that have levels run, and with none of them known the
@@ -147,9 +180,18 @@ def run(levels, weather, production, config, *, entities=None, horizons=HORIZONS
     say so. `warnings` lists all that the run passes over.
 
     `config` takes the raw settings rows; pass an override by changing its rows. An entity may have one row only. Ridge and trees take
-    the last value, the mean and the slope of every feature; an entity's input vector is as long as its own settings make it. The table
-    of inputs is written once to the shared folder and read by every fit and score.
+    the last value, the mean and the slope of every feature; an entity's input vector is as long as its own settings make it.
+
+    Tables that several steps read are written once, by stage, to `folder` or below the shared folder. With a `folder`, a job that was
+    ended goes on after its last whole stage, if inputs, settings and arguments are the same; `stages.clear()` of the report
+    removes them.
     """
+    spark, key = levels.sparkSession, ""
+    if folder:
+        given = [entities, list(horizons), split, months, start_year, default_end, embargo, tree_params]
+        tables = [levels, weather, production, config, *([] if ends is None else [selection.end_dates(spark, ends)])]
+        key = json.dumps([given, [fingerprint(t) for t in tables]], default=str)
+    stages = Stages(spark, folder, key)
     found = levels.select("entity").distinct()
     unknown = None
     if entities:
@@ -158,37 +200,20 @@ def run(levels, weather, production, config, *, entities=None, horizons=HORIZONS
         levels = levels.join(found.select("entity"), "entity", "left_semi")
     else:
         unknown = config.select("entity").join(found, "entity", "left_anti")
-    config = materialize(selection.settings_of(found, config))
+    asked = config
+    config = stages.table("settings", lambda: selection.settings_of(found, asked))
     lengths, lag_rows = _distinct_ints(config, "seq_lens"), _distinct_ints(config, "lag_days")
-    frame, nearby, made = entity_frame(levels, weather, production, config, lag_rows, horizons)
     bounds = selection.date_bounds(cleaning.cap_level(levels), start_year, ends, default_end)
-    frame = selection.limit_dates(frame, bounds)
-    last = X.feature_columns(frame, horizons)
-    base = next(c for c in last if c.startswith("lag_"))
-    settings = config.select(
-        "entity", models.model_column().alias("model"), "strategy", F.slice("seq_lens", 1, len(horizons)).alias("seq_lens"),
-        F.when(F.col("strategy") == splits.WALK_FORWARD, F.get("halflives", F.lit(0))).alias("halflife"))
-    frame = materialize(splits.number_rows(frame, split).join(settings, "entity"))
-    inputs = materialize(with_inputs(frame, ((nearby, STATION), (made, ("prod",))), last, lengths).drop(*[c for c in last if c != base]))
+    base = f"lag_{lag_rows[0]}"
+    inputs = stages.table("inputs", lambda: _inputs(
+        levels, weather, production, config, lag_rows, lengths, horizons, split, bounds, stages))
 
     keys = (*splits.KEYS, "halflife")
-    of = {m: inputs.filter(F.col("model") == m) for m in ("ols", "ridge", "gbt")}
-    by_row = {m: roles(df, None, split, months, horizons, "seq_lens", embargo) for m, df in of.items()}
-    whole = whole_vectors(of["ridge"])
-    at = F.array_position(F.array(*[F.lit(h) for h in horizons]), F.col("horizon")).cast("int") - 1
-    ridge = roles(whole, None, split, months, horizons, "seq_lens", embargo)
-    fitted = shared.fit_ridge(whole, splits.usable_folds(by_row["ridge"], keys), "halflife", horizons, keys, windows=True)
-    width = of["gbt"].agg(F.max(F.size("own"))).first()[0] or 0
-    predictions = (
-        models.predict_ols(by_row["ols"], models.fit_ols(by_row["ols"], base, "halflife", keys), base, keys)
-        .unionByName(shared.predict_ridge(ridge, fitted, F.concat("x", F.get("wx", at)), keys))
-        .unionByName(models.fit_predict_gbt(
-            by_row["gbt"].withColumn("_v", even_vector(horizons, width)), None, "halflife", keys=keys, sequence="_v", **(tree_params or {})))
-    )
+    predictions = stages.table("predictions", lambda: M.bounded(_predictions(
+        inputs, base, keys, horizons, lambda df: roles(df, None, split, months, horizons, "seq_lens", embargo), tree_params)))
     rows = roles(inputs.drop("x", "wx", "own", "own_wx"), None, split, months, horizons, "seq_lens", embargo)
-    predictions = materialize(M.bounded(predictions))
     errors = M.metrics(predictions)
     missing = M.missing_horizons(config.select("entity"), errors.select("entity", "horizon"), horizons)
     return Report(
         predictions, errors, M.summary(errors, splits.fold_table(rows, keys), horizons), M.residuals(predictions),
-        missing, warnings_of(levels, production, config, unknown, bounds, missing))
+        missing, warnings_of(levels, production, config, unknown, bounds, missing), stages)
