@@ -142,33 +142,41 @@ def warnings_of(levels, production, config, wanted, bounds, missing) -> DataFram
     return reduce(DataFrame.unionByName, out)
 
 
-def _inputs(levels, weather, production, config, lag_rows, lengths, horizons, split, bounds, stages) -> DataFrame:
-    """Numbered rows with roles' columns, settings, the level that `ols` takes and the vectors of the other models."""
-    frame, nearby, made = entity_frame(levels, weather, production, config, lag_rows, horizons, stages)
-    frame = selection.limit_dates(frame, bounds)
-    last = X.feature_columns(frame, horizons)
+def _frame(levels, weather, production, config, lag_rows, horizons, split, bounds, stages) -> DataFrame:
+    """Numbered feature rows of every entity within its dates, with the settings that fits need."""
+    frame, _, _ = entity_frame(levels, weather, production, config, lag_rows, horizons, stages)
     settings = config.select(
         "entity", models.model_column().alias("model"), "strategy", F.slice("seq_lens", 1, len(horizons)).alias("seq_lens"),
         F.when(F.col("strategy") == splits.WALK_FORWARD, F.get("halflives", F.lit(0))).alias("halflife"))
-    numbered = stages.table("frame", lambda: splits.number_rows(frame, split).join(settings, "entity"))
-    found = with_inputs(numbered, ((nearby, STATION), (made, ("prod",))), last, lengths)
-    return found.drop(*[c for c in last if c != f"lag_{lag_rows[0]}"])
-
-
-def _predictions(inputs, base, keys, horizons, with_roles, tree_params) -> DataFrame:
-    """Predictions of all three regressors, each fitted on the entities whose settings name it."""
-    of = {m: inputs.filter(F.col("model") == m) for m in ("ols", "ridge", "gbt")}
-    by_row = {m: with_roles(df) for m, df in of.items()}
-    whole = whole_vectors(of["ridge"])
-    at = F.array_position(F.array(*[F.lit(h) for h in horizons]), F.col("horizon")).cast("int") - 1
-    fitted = shared.fit_ridge(whole, splits.usable_folds(by_row["ridge"], keys), "halflife", horizons, keys, windows=True)
-    width = of["gbt"].agg(F.max(F.size("own"))).first()[0] or 0
-    trees = by_row["gbt"].withColumn("_v", even_vector(horizons, width))
-    return (
-        models.predict_ols(by_row["ols"], models.fit_ols(by_row["ols"], base, "halflife", keys), base, keys)
-        .unionByName(shared.predict_ridge(with_roles(whole), fitted, F.concat("x", F.get("wx", at)), keys))
-        .unionByName(models.fit_predict_gbt(trees, None, "halflife", keys=keys, sequence="_v", **(tree_params or {})))
-    )
+    return splits.number_rows(selection.limit_dates(frame, bounds), split).join(settings, "entity")
+
+
+def _inputs(frame, lengths, horizons, stages) -> DataFrame:
+    """The rows of entities whose models take vectors, with the vectors in place of the features."""
+    other = ("row_no", "test_row_no", "last_date", "model", "strategy", "seq_lens", "halflife")
+    last = X.feature_columns(frame.drop(*other), horizons)
+    sides = ((stages.stored("stations"), STATION), (stages.stored("series"), ("prod",)))
+    return with_inputs(frame.filter("model <> 'ols'"), sides, last, lengths).drop(*last)
+
+
+def _predictions(frame, inputs, used, base, keys, horizons, with_roles, tree_params) -> DataFrame:
+    """Predictions of the regressors that settings name, each fitted on its entities."""
+    out = []
+    if "ols" in used:
+        rows = with_roles(frame.filter("model = 'ols'"))
+        out.append(models.predict_ols(rows, models.fit_ols(rows, base, "halflife", keys), base, keys))
+    if "ridge" in used:
+        whole = whole_vectors(inputs.filter("model = 'ridge'"))
+        at = F.array_position(F.array(*[F.lit(h) for h in horizons]), F.col("horizon")).cast("int") - 1
+        rows = with_roles(whole)
+        fitted = shared.fit_ridge(whole, splits.usable_folds(rows, keys), "halflife", horizons, keys, windows=True)
+        out.append(shared.predict_ridge(rows, fitted, F.concat("x", F.get("wx", at)), keys))
+    if "gbt" in used:
+        own = inputs.filter("model = 'gbt'")
+        width = own.agg(F.max(F.size("own"))).first()[0] or 0
+        rows = with_roles(own).withColumn("_v", even_vector(horizons, width))
+        out.append(models.fit_predict_gbt(rows, None, "halflife", keys=keys, sequence="_v", **(tree_params or {})))
+    return reduce(DataFrame.unionByName, out)
 
 
 def run(levels, weather, production, config, *, entities=None, horizons=HORIZONS, split=SPLIT_DATE, months=FOLD_MONTHS,
@@ -204,14 +212,17 @@ def run(levels, weather, production, config, *, entities=None, horizons=HORIZONS
     config = stages.table("settings", lambda: selection.settings_of(found, asked))
     lengths, lag_rows = _distinct_ints(config, "seq_lens"), _distinct_ints(config, "lag_days")
     bounds = selection.date_bounds(cleaning.cap_level(levels), start_year, ends, default_end)
-    base = f"lag_{lag_rows[0]}"
-    inputs = stages.table("inputs", lambda: _inputs(
-        levels, weather, production, config, lag_rows, lengths, horizons, split, bounds, stages))
+    base, keys = f"lag_{lag_rows[0]}", (*splits.KEYS, "halflife")
+    used = {r[0] for r in config.select(models.model_column()).distinct().collect()}
+    frame = stages.table("frame", lambda: _frame(levels, weather, production, config, lag_rows, horizons, split, bounds, stages))
+    inputs = None if used == {"ols"} else stages.table("inputs", lambda: _inputs(frame, lengths, horizons, stages))
+
+    def with_roles(df):
+        return roles(df, None, split, months, horizons, "seq_lens", embargo)
 
-    keys = (*splits.KEYS, "halflife")
     predictions = stages.table("predictions", lambda: M.bounded(_predictions(
-        inputs, base, keys, horizons, lambda df: roles(df, None, split, months, horizons, "seq_lens", embargo), tree_params)))
-    rows = roles(inputs.drop("x", "wx", "own", "own_wx"), None, split, months, horizons, "seq_lens", embargo)
+        frame, inputs, used, base, keys, horizons, with_roles, tree_params)))
+    rows = with_roles(frame)
     errors = M.metrics(predictions)
     missing = M.missing_horizons(config.select("entity"), errors.select("entity", "horizon"), horizons)
     return Report(

@@ -85,6 +85,13 @@ class Stages:
                 f"{self.folder}/_manifest/{name}")
         return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
 
+    def stored(self, name: str) -> DataFrame:
+        """A table that an earlier stage has written."""
+        schema = self._noted(name)
+        if schema is None:
+            raise LookupError(f"no table {name} in {self.folder}")
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+
     def clear(self) -> None:
         at = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
