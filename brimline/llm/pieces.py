@@ -28,11 +28,13 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from brimline.llm import text as X
+from brimline.llm.token_files import Numbers
 
 SPACE = "▁"
-#: Words that advance together, rows that are read together, and words that a worker remembers between batches, at most.
+#: Words that advance together, and rows that are read together.
 BATCH_WORDS, BATCH_ROWS = 4096, 512
-REMEMBERED = 1 << 19
+#: Bytes that a worker keeps of known words, what a word counts for besides its ids, and judged pairs of pieces that it keeps.
+REMEMBERED, OVERHEAD, PAIRS = 96 << 20, 64, 1 << 17
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 20
@@ -130,6 +132,7 @@ class Vocabulary:
                 self.odd[i] = min(l, r) < 0 or bool(self.odd[l] or self.odd[r]) or (
                     (len(word[:a]) > 1 and self.score[l] <= self.score[i]) or (len(word[a:]) > 1 and self.score[r] <= self.score[i]))
         self.text = names
+        self.lefts, self.rights, self.odd_list = self.left.tolist(), self.right.tolist(), self.odd.tolist()
         self.judged: dict[tuple[int, int], bool] = {}
 
     def stands(self, q: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -163,6 +166,26 @@ class Vocabulary:
             a, b = np.where(undo_b, a, self.right[a]), np.where(undo_b, self.left[b], b)
         return out
 
+    def stands_one(self, q: int, p: int) -> bool:
+        """`stands` for one pair, from plain lists: where few are asked for at a time, arrays cost more than the steps."""
+        if self.odd_list[q] or self.odd_list[p]:
+            return bool(self.stands(np.array([q]), np.array([p]))[0])
+        limit, right_next = -math.inf, False
+        while True:
+            joined = self.name.get(self.text[q] + self.text[p])
+            if joined is not None:
+                score = self.scores[joined]
+                if score > limit or (score == limit and right_next):
+                    return False
+            made_q, made_p = self.lefts[q] >= 0, self.lefts[p] >= 0
+            if not (made_q or made_p):
+                return True
+            right_next = made_p and (not made_q or self.scores[p] <= self.scores[q])
+            if right_next:
+                limit, p = self.scores[p], self.lefts[p]
+            else:
+                limit, q = self.scores[q], self.rights[q]
+
 
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
@@ -171,8 +194,8 @@ class Encoder:
         self.forget()
 
     def forget(self):
-        self.known, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.numbers, self.used, self.bytes = Numbers(), 0, 0
+        self.first, self.size, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32)
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of each."""
@@ -185,26 +208,18 @@ class Encoder:
             starts, ends = self.words(data, offsets)
             h = X.span_hashes(data, starts, ends)
             distinct, at, of = np.unique(h, return_index=True, return_inverse=True)
-            place = self.places(distinct)
-            new = place < 0
-            if new.any():
-                if len(self.known) > REMEMBERED:
-                    self.forget()
-                    new[:] = True
-                self.learn(data, starts[at[new]], ends[at[new]], distinct[new])
-                place = self.places(distinct)
+            if self.bytes > REMEMBERED:
+                self.forget()
+            place = self.numbers.find(distinct)
+            new = np.flatnonzero(place < 0)
+            if len(new):
+                place[new] = self.learn(data, starts[at[new]], ends[at[new]], distinct[new])
             place = place[of]
             size, total = self.size[place], np.cumsum(self.size[place])
             ids.append(self.flat[np.repeat(self.first[place] - total + size, size) + np.arange(total[-1] if len(total) else 0)])
             counts.append(np.diff(np.concatenate([[0], total])[np.searchsorted(starts, offsets)]))
         return np.concatenate(ids), np.concatenate(counts)
 
-    def places(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.known):
-            return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
-        return np.where(self.known[at] == h, at, -1)
-
     @staticmethod
     def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cut = np.zeros(len(data) + 1, bool)
@@ -216,7 +231,8 @@ class Encoder:
         edges = np.flatnonzero(cut)
         return edges[:-1], edges[1:]
 
-    def learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> None:
+    def learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Numbers of new words, whose ids are put behind those of the known ones."""
         size = ends - starts
         total = np.cumsum(size)
         chosen = data[np.repeat(starts - total + size, size) + np.arange(total[-1])]
@@ -234,13 +250,17 @@ class Encoder:
                 for i, x in zip(some.tolist(), made):
                     found[i] = x
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        at = len(self.flat) + np.cumsum(counts) - counts
-        keys = np.concatenate([self.known, h])
-        order = np.argsort(keys, kind="stable")
-        self.known = keys[order]
-        self.flat = np.concatenate([self.flat, *found]).astype(np.int32)
-        self.size = np.concatenate([self.size, counts])[order]
-        self.first = np.concatenate([self.first, at])[order]
+        ids, low = np.concatenate(found).astype(np.int32), self.numbers.n
+        for name, n in (("first", low + len(h)), ("size", low + len(h)), ("flat", self.used + len(ids))):
+            held = getattr(self, name)
+            if n > len(held):  # room for as many again, so that a word is copied a few times at most
+                setattr(self, name, np.concatenate([held, np.zeros(max(n, 2 * len(held)) - len(held), held.dtype)]))
+        numbers = self.numbers.add(h)
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.first[numbers], self.size[numbers] = self.used + np.cumsum(counts) - counts, counts
+        self.used += len(ids)
+        self.bytes += OVERHEAD * len(h) + 8 * len(ids)
+        return numbers
 
     def viterbi(self, words: np.ndarray) -> list[np.ndarray]:
         """Ids of words of one length, given as rows of code points."""
@@ -310,9 +330,9 @@ class Encoder:
             return bool(self.v.stable[p])
         known = self.pairs.get((q, p))
         if known is None:
-            if len(self.pairs) > REMEMBERED:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
-            known = self.pairs[q, p] = bool(self.v.stands(np.array([q]), np.array([p]))[0])
+            known = self.pairs[q, p] = self.v.stands_one(q, p)
         return known
 
     def with_bytes(self, ids: np.ndarray, points: np.ndarray) -> np.ndarray:

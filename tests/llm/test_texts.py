@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -390,3 +391,42 @@ def test_encoder_forgets_by_bytes(monkeypatch):
         assert np.split(ids, np.cumsum(counts)[:-1])[7].tolist() == model.encode(texts[7], add_special_tokens=False).ids
         held = sum(x.nbytes for x in (known.flat, known.first, known.size, known.numbers.hash, known.numbers.number))
         assert held < (6 << 20)
+
+
+def test_pairs_one_at_a_time(vocabulary):
+    pick = np.random.default_rng(8)
+    stable = np.flatnonzero(vocabulary.stable)
+    q, p = pick.choice(stable, 4000), pick.choice(stable, 4000)
+    assert [vocabulary.stands_one(a, b) for a, b in zip(q.tolist(), p.tolist())] == vocabulary.stands(q, p).tolist()
+
+
+def test_long_random_words(vocabulary):
+    """Words such as base64: each in about the time of its length, and none is kept for long."""
+    pick, known = random.Random(9), pieces.Encoder(vocabulary)
+    texts = ["".join(pick.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/") for _ in range(n)) for n in (300, 3000, 100_000)]
+    library = sentencepiece.SentencePieceProcessor(model_file=SP)
+    begin = time.process_time()
+    ids, counts = known.encode(pa.array(texts))
+    assert time.process_time() - begin < 10
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    assert [x.tolist() for x in parts[:2]] == library.encode(texts[:2])
+    assert known.decode(ids, counts) == texts
+
+
+def test_words_are_forgotten_by_bytes(vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 1 << 20)
+    pick, known = random.Random(4), pieces.Encoder(vocabulary)
+    for _ in range(5):
+        known.encode(pa.array(["".join(pick.choice("日本語文字abc") for _ in range(1500)) for _ in range(40)]))
+        assert sum(x.nbytes for x in (known.flat, known.first, known.size, known.numbers.hash, known.numbers.number)) < (8 << 20)
+
+
+def test_a_labelled_id_counts_once(spark):
+    """However many rows bear it, with equal texts or others."""
+    docs = spark.createDataFrame([(1, "one"), (1, "one"), (1, "uno"), (1, None), (2, "two"), (3, "three")] + [(4, "four")] * 500,
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in (1, 2, 3, 4)] + [(1, 0, 0)], LABELS)
+    got = training.labelled_sample(docs, labels, "quality", 100).collect()
+    want = [i for i in (1, 2, 3, 4) if zlib.crc32(str(i).encode()) % 5]
+    assert sorted((r.doc_id, r.label) for r in got) == [(i, i % 2) for i in want]
+    assert {r.text for r in got if r.doc_id == 4} <= {"four"}
