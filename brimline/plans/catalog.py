@@ -372,14 +372,16 @@ def scaled_features(spark, sf):
                              "restored_target"))
 
 
-def _sequences(spark, sf, strategy):
+def _sequences(spark, sf, strategy, from_shards=False):
     frame = _stored(spark, sf, P.flag_panel)
     columns = sorted(_features(frame))
     frame = frame.withColumns({c: F.round(F.col(c) * 100) for c in columns})  # whole numbers add up alike in any order
+    stored = writers.materialize(sequences.shards(frame, columns, max(DEFAULT_SEQ_LENS), 256)) if from_shards else None
     out = None
     for h, n in zip(HORIZONS, DEFAULT_SEQ_LENS):
-        one = sequences.add_sequences(frame, columns, n).withColumns({
-            "strategy": F.lit(strategy), "horizon": F.lit(h), "seq_len": F.lit(n)})
+        one = sequences.add_sequences(frame, columns, n) if stored is None else frame.drop("date").join(
+            sequences.cut(stored, len(columns), n), ["entity", "row_no"])
+        one = one.withColumns({"strategy": F.lit(strategy), "horizon": F.lit(h), "seq_len": F.lit(n)})
         out = one if out is None else out.unionByName(one)
     rows = splits.with_roles(out, SPLIT)
     kept = rows.filter(F.col("train_after").isNotNull() & (F.col("strategy") == BASELINE)
@@ -395,6 +397,11 @@ def sequences_baseline(spark, sf):
     return _sequences(spark, sf, BASELINE)
 
 
+def sequence_store(spark, sf):
+    """Sequences of three lengths cut out of shards in which every row is stored once."""
+    return _sequences(spark, sf, WALK_FORWARD, from_shards=True)
+
+
 def sequences_walkforward(spark, sf):
     return _sequences(spark, sf, WALK_FORWARD)
 
@@ -627,7 +634,7 @@ QUERIES = {f.__name__: f for f in (
     config_projection, missing_config_columns, station_features,
     entity_subset, config_defaults, horizon_config, lag_columns, natural_start, date_bounds, date_bounds_table,
     baseline_split, folds, fold_rows, strategy_union, sample_weights, validation_tail,
-    scale_bounds, scaled_features, sequences_baseline, sequences_walkforward, context_rows,
+    scale_bounds, scaled_features, sequences_baseline, sequences_walkforward, sequence_store, context_rows,
     metrics_baseline, metrics_walkforward, metrics_nation_baseline, metrics_nation_walkforward, summary_pivot, missing_horizons, residual_report,
     weighted_ols, window_slopes, ridge_statistics, ridge_pair_report, ridge_report, ridge_nation_report, gbt_report, config_report, config_ols_report,
     run_warnings,

@@ -481,6 +481,7 @@ select entity, strategy, horizon, date, """ + ", ".join(
 from tagged join b using (entity, strategy, horizon, fold) where role = 'test'""",
     "sequences_baseline": _sequences("baseline"),
     "sequences_walkforward": _sequences("walkfwd_expanding"),
+    "sequence_store": _sequences("walkfwd_expanding"),
     "metrics_baseline": f"with {ols('baseline')}, {METRICS} select {METRIC_COLUMNS} from errors",
     "metrics_walkforward": f"with {ols('walkfwd_expanding')}, {METRICS} select {METRIC_COLUMNS} from errors",
     "metrics_nation_baseline": f"with {ols('baseline', NATION_ROLES)}, {METRICS} select {METRIC_COLUMNS} from errors",

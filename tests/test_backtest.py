@@ -136,6 +136,20 @@ def test_sequences(frame, table, length):
             np.testing.assert_array_equal(np.array(mine[i]["sequence"]), x[i:i + length])
 
 
+@pytest.mark.parametrize("shard_rows", [7, 100, 5000])
+def test_sequences_cut_out_of_shards(frame, shard_rows):
+    """Every length up to the longest comes out of one store, which holds each row about once."""
+    numbered = splits.number_rows(frame)
+    stored = sequences.shards(numbered, INPUTS, 90, shard_rows).cache()
+    n, k = numbered.count(), len(INPUTS)
+    held = stored.agg(F.sum(F.size("data"))).first()[0]
+    assert n * k <= held <= n * k * (1 + 89 / shard_rows)
+    for length in (1, 30, 90):
+        want = sequences.add_sequences(numbered, INPUTS, length).select("entity", "row_no", "date", "sequence")
+        got = sequences.cut(stored, k, length)
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
 def test_ols_equals_direct_fit(frame, table):
     rows = backtest.roles(frame, ["walkfwd_expanding"])
     fitted = models.fit_ols(rows, "lag_7", 30)
