@@ -65,14 +65,13 @@ def _rescale(halflife) -> Column:
     return F.coalesce(decay(F.unix_date("latest") - end, halflife), F.lit(1.0))
 
 
-def _around_first(rows: DataFrame, columns) -> tuple[DataFrame, list[Column]]:
-    """The columns less their first value in the entity's series, and those values. One more pass of the entity's window."""
-    first = Window.partitionBy("entity").orderBy("date").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    names = [f"_first_{c}" for c in columns]
-    out = rows.withColumns({n: F.first(c, ignorenulls=True).over(first) for n, c in zip(names, columns)})
-    return out.withColumns({c: F.col(c) - F.coalesce(F.col(n), F.lit(0.0)) for n, c in zip(names, columns)}), [
-        F.coalesce(F.col(n), F.lit(0.0)) for n in names]
+def _around_least(rows: DataFrame, columns) -> tuple[DataFrame, list[Column]]:
+    """The columns less their least value in the entity's series, and those values. The rows are in their entities' partitions
+    already, and no order among them is asked for."""
+    whole = Window.partitionBy("entity")
+    names = [f"_least_{c}" for c in columns]
+    out = rows.withColumns({n: F.coalesce(F.min(c).over(whole), F.lit(0.0)) for n, c in zip(names, columns)})
+    return out.withColumns({c: F.col(c) - F.col(n) for n, c in zip(names, columns)}), [F.col(n) for n in names]
 
 
 def _halflife(halflife) -> Column:
@@ -82,12 +81,24 @@ def _halflife(halflife) -> Column:
 # --- least squares on one regressor -------------------------------------------------------------
 
 
-def fit_ols(rows: DataFrame, x: str, halflife=None, keys=KEYS) -> DataFrame:
+def first_values(frame: DataFrame, x: str, target: str) -> DataFrame:
+    """(entity, x0, y0) from the first row of each series of a stored, numbered frame; the filter reaches the scan."""
+    return frame.filter("row_no = 1").select(
+        "entity", F.col(x).cast("double").alias("x0"), F.col(target).cast("double").alias("y0"))
+
+
+def fit_ols(rows: DataFrame, x: str, halflife=None, keys=KEYS, around: DataFrame | None = None) -> DataFrame:
     """Slope and intercept of target on x for every fold, weighted when a half-life is given.
 
-    Sums are taken around the first values of the entity, so they keep their digits when values are far from 0.
+    Sums are taken around values of the entity, so they keep their digits when values are far from 0: those of `around`
+    (entity, x0, y0), which spares the rows a shuffle, or else the least ones.
     """
-    train, (x0, y0) = _around_first(rows.withColumn("_x", F.col(x)), ("_x", "target"))
+    train = rows.withColumn("_x", F.col(x))
+    if around is None:
+        train, (x0, y0) = _around_least(train, ("_x", "target"))
+    else:
+        x0, y0 = (F.coalesce(c, F.lit(0.0)) for c in ("x0", "y0"))
+        train = train.join(around, "entity", "left").withColumns({"_x": F.col("_x") - x0, "target": F.col("target") - y0})
     if halflife is None:
         train = train.withColumns({"_w": F.lit(1.0), "_block": F.lit(0)})
     else:
@@ -196,7 +207,7 @@ def ridge_sums(rows: DataFrame, inputs, halflife=None, keys=KEYS, around_first=F
     pass over the rows serves all folds. Tasks reduce each batch of rows to one matrix per cell; only matrices are
     shuffled, and a key holds a few of them. Matrices come back flat, with the training bounds of every element in
     `lo` and `hi`: of rows with a value, so a mean over a sequence counts from the first full one. With around_first,
-    sums are of values less the entity's first ones, which come back as `first`.
+    sums are of values less the entity's least ones, which come back as `first`.
     """
     folds = usable_folds(rows, keys)
     cuts = folds.withColumn("cut", validation_cut())
@@ -207,7 +218,7 @@ def ridge_sums(rows: DataFrame, inputs, halflife=None, keys=KEYS, around_first=F
     below = F.filter("_folds", lambda f: _own(f, keys) & (f["cut"] < F.col("sample_no")))
     held = [F.lit(0.0)] * len(every)
     if around_first:
-        rows, held = _around_first(rows, every)
+        rows, held = _around_least(rows, every)
     train = (
         rows.filter("train_after is not null").join(packed, "entity")
         .withColumn("sample_no", F.col("row_no") - F.col("seq_len") + 1)

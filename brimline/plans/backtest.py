@@ -164,7 +164,8 @@ def _predictions(frame, inputs, used, base, keys, horizons, with_roles, tree_par
     out = []
     if "ols" in used:
         rows = with_roles(frame.filter("model = 'ols'"))
-        out.append(models.predict_ols(rows, models.fit_ols(rows, base, "halflife", keys), base, keys))
+        around = models.first_values(frame, base, f"target_{horizons[0]}")
+        out.append(models.predict_ols(rows, models.fit_ols(rows, base, "halflife", keys, around), base, keys))
     if "ridge" in used:
         whole = whole_vectors(inputs.filter("model = 'ridge'"))
         at = F.array_position(F.array(*[F.lit(h) for h in horizons]), F.col("horizon")).cast("int") - 1

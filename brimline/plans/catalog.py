@@ -429,8 +429,9 @@ def slice_ols_report(spark, sf):
 
 
 def _ols(spark, sf, strategy, halflife=None, panel=P.flag_panel):
-    rows = _roles(spark, sf, [strategy], frame=_stored(spark, sf, panel))
-    fitted = models.fit_ols(rows, "lag_7", halflife)
+    frame = _stored(spark, sf, panel)
+    rows = _roles(spark, sf, [strategy], frame=frame)
+    fitted = models.fit_ols(rows, "lag_7", halflife, around=models.first_values(frame, "lag_7", "target_7"))
     return rows, fitted, models.predict_ols(rows, fitted, "lag_7")
 
 

@@ -268,6 +268,9 @@ def test_fits_keep_their_digits_far_from_zero(frame, offset):
     moved = rows.withColumn("lag_7", F.col("lag_7") + offset)
     slopes = [[r["slope"] for r in models.fit_ols(d, "lag_7").orderBy("entity").collect()] for d in (rows, moved)]
     assert np.allclose(*slopes, rtol=1e-5)
+    given = models.first_values(splits.number_rows(frame).withColumn("lag_7", F.col("lag_7") + offset), "lag_7", "target_7")
+    around = [(r["slope"], r["intercept"]) for r in models.fit_ols(moved, "lag_7", around=given).orderBy("entity").collect()]
+    assert np.allclose([a for a, _ in around], slopes[0], rtol=1e-5)
     coefs = [[r["coef"] for r in models.fit_ridge(d, ("lag_7", "rain_30d")).orderBy("entity").collect()] for d in (rows, moved)]
     assert np.allclose(*coefs, rtol=1e-5)
 
