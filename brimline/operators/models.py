@@ -8,18 +8,19 @@ Spark ML model per (horizon, fold) over all entities.
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from brimline.functions.numeric import decay
 from brimline.functions.solve import fold_sums, product_sums, ridge_solver
+from brimline.operators.binning import BINS, bin_edges, binned
 from brimline.operators.scaling import with_packed
 from brimline.operators.splits import (
     KEYS, cells, enough_train, fold_counts, has_sequence, in_train, spread_folds, usable_folds, validation_cut,
     validation_tail,
 )
+from brimline.sources.writers import materialize
 
 PENALTIES = (1e-6, 1e-4, 1e-2, 1.0)
 # Trees without a gain on the validation tail after which no more are looked at.
@@ -311,26 +312,27 @@ def fit_trees(train: DataFrame, trees: GBTRegressor, patience: int = PATIENCE) -
 
 
 def fit_predict_gbt(rows: DataFrame, inputs, halflife=None, seed=1, keys=KEYS, sequence=None, parallelism=4, patience=PATIENCE,
-                    **params) -> DataFrame:
+                    bins=BINS, **params) -> DataFrame:
     """One pooled boosted model per (strategy, horizon, fold), with as many trees as do best on the validation tail.
 
     `sequence` names a column with the flattened sequence, used in place of `inputs`. There is a fit for each strategy,
     horizon and fold, whatever the number of entities, half-lives and sequence lengths, and `parallelism` of them
     run at a time. A fit reads the rows that train it, and a test row is scored once. Rows before the first full sequence
-    neither train nor test, and their means over it are NULL, so vectors are made of the others only.
+    neither train nor test, and their means over it are NULL, so vectors are made of the others only. Inputs are put into `bins`
+    bins once, by quantiles of all training rows, and stored; every fit and score reads that table.
     """
     folds = usable_folds(rows, keys)
-    rows = rows.filter(_sample())
-    if sequence:
-        rows = rows.withColumn("features", array_to_vector(sequence))
-    else:
-        rows = VectorAssembler(inputCols=list(inputs), outputCol="features").transform(rows)
-    rows = rows.select(*keys, "date", "row_no", "test_row_no", "train_after", "test_fold", "target", "features")
+    vector = F.col(sequence) if sequence else F.array(*[F.col(c).cast("double") for c in inputs])
+    rows = rows.filter(_sample()).select(
+        *keys, "date", "row_no", "test_row_no", "train_after", "test_fold", "target", vector.alias("bins"))
+    rows = materialize(binned(rows, "bins", bin_edges(rows.filter("train_after is not null"), "bins", bins)))
+    rows = rows.withColumn("features", array_to_vector(F.col("bins").cast("array<double>"))).drop("bins")
     fits = folds.select("strategy", "horizon", "fold").distinct().orderBy("strategy", "horizon", "fold").collect()
     test = rows.filter(F.col("test_fold").isNotNull() & has_sequence())
     test = with_packed(test, folds, ["train_rows"], keys)
     trees = GBTRegressor(
-        featuresCol="features", labelCol="target", predictionCol="yhat", seed=seed, **{"maxIter": 30, "maxDepth": 4, **params})
+        featuresCol="features", labelCol="target", predictionCol="yhat", seed=seed,
+        **{"maxIter": 30, "maxDepth": 4, "maxBins": max(bins, 2), **params})
     if halflife is not None:
         trees = trees.setWeightCol("weight")
 

@@ -7,7 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from brimline.operators import features as X, metrics as M, models, scaling, sequences, splits, weights
+from brimline.operators import binning, features as X, metrics as M, models, scaling, sequences, splits, weights
 from brimline.plans import backtest
 from helpers import DAY, random_panel, to_spark
 
@@ -335,3 +335,35 @@ def test_trees_kept_where_more_of_them_hurt(spark):
         patient = models.fit_trees(df, trees, 2)
         assert patient.getNumTrees == models.best_round(errors, 2)
     assert models.fit_trees(df.filter("not is_val"), trees).getNumTrees == 15
+
+
+def test_bins(spark):
+    rng = np.random.default_rng(1)
+    x = np.column_stack([rng.normal(size=3000), rng.integers(0, 5, 3000), np.full(3000, 7.0)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i int, v array<double>").repartition(4)
+    edges = binning.bin_edges(df, "v", 16)
+    assert len(edges[0]) == 15 and edges[1] == [0, 1, 2, 3, 4] and edges[2] == [7.0]
+    got = binning.binned(df, "v", edges).orderBy("i").toPandas()
+    for k in range(3):
+        assert [v[k] for v in got["v"]] == np.searchsorted(edges[k], x[:, k]).tolist()
+    sizes = np.bincount([v[0] for v in got["v"]])
+    assert len(sizes) == 16 and sizes.min() > 150  # of 187 rows each
+
+
+def test_trees_on_bins_predict_as_on_values(spark, frame, monkeypatch):
+    """Inputs of few values lose nothing in bins; one binned table serves all fits."""
+    few = frame.withColumns({c: F.pmod(F.floor(c), F.lit(n)).cast("double") for c, n in (("lag_7", 7), ("rain_30d", 5))})
+    rows = backtest.roles(few, ["walkfwd_expanding"], horizons=[7], seq_lens=[10])
+    made = []
+    monkeypatch.setattr(models, "binned", lambda *a: made.append(1) or binning.binned(*a))
+    got = models.fit_predict_gbt(rows, ("lag_7", "rain_30d"), maxIter=4, maxDepth=3, patience=99).toPandas()
+    assert len(made) == 1 and got["fold"].nunique() > 2
+    folds = splits.usable_folds(rows)
+    train = splits.validation_tail(splits.training_rows(rows, folds).filter("fold = 1"))
+    vectors = VectorAssembler(inputCols=["lag_7", "rain_30d"], outputCol="features")
+    trees = GBTRegressor(featuresCol="features", labelCol="target", predictionCol="yhat", seed=1, maxIter=4, maxDepth=3)
+    want = models.fit_trees(vectors.transform(train), trees, 99).transform(
+        vectors.transform(rows.filter("test_fold = 1 and row_no >= seq_len"))).toPandas()
+    both = got[got["fold"] == 1].merge(want, on=["entity", "date"])
+    assert len(both) == len(want) > 0
+    np.testing.assert_allclose(both["yhat_x"], both["yhat_y"], rtol=1e-9)
