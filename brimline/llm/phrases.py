@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from brimline.llm import blocks as B, text as X
 
 WINDOW = 13
+#: Places of a phrase that a hit is compared with one by one.
+FEW_PLACES = 8
 #: Blocks whose runs of one passage meet in one task.
 SENDERS = 64
 
@@ -151,7 +153,11 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, Data
 
 
 class PhraseFinder:
-    """An automaton over phrases of passages, and the extension of its hits to whole equal spans."""
+    """An automaton over phrases of passages, and the extension of its hits to whole equal spans.
+
+    A phrase that stands in few places is compared with each. One that stands in many is looked up with the words around it: of
+    every window that holds it the finder knows one place, so a hit costs the same however common the phrase.
+    """
 
     def __init__(self, passages: list[list[str]], size: int):
         self.size, self.passages = size, passages
@@ -164,30 +170,58 @@ class PhraseFinder:
                     self.automaton.get(phrase).append((p, at))
                 else:
                     self.automaton.add_word(phrase, [(p, at)])
+        self.windows: dict[int, list[tuple[int, int]]] = {}
         if len(self.automaton):
             self.automaton.make_automaton()
+            for places in self.automaton.values():
+                if len(places) > FEW_PLACES:
+                    for p, at in places:
+                        self._know(p, at)
+
+    def _know(self, p: int, at: int) -> None:
+        """Notes the windows of a passage that hold the phrase at a place, each unless an equal one is known."""
+        words = self.passages[p]
+        for w in range(max(0, at + self.step - self.size), min(at, len(words) - self.size) + 1):
+            window = words[w : w + self.size]
+            held = self.windows.setdefault(hash(" ".join(window)), [])
+            if all(self.passages[q][v : v + self.size] != window for q, v in held):
+                held.append((p, w))
+
+    def _grown(self, words: list[str], a: int, b: int, p: int, shift: int) -> tuple[int, int]:
+        """The longest span around words[a:b] that stands in the passage as it stands here, `shift` words further on."""
+        passage = self.passages[p]
+        while a > 0 and a + shift > 0 and words[a - 1] == passage[a - 1 + shift]:
+            a -= 1
+        while b < len(words) and b + shift < len(passage) and words[b] == passage[b + shift]:
+            b += 1
+        return a, b
 
     def spans(self, words: list[str]) -> list[tuple[int, int]]:
-        """Spans of at least `size` words that stand in one passage as they stand here."""
+        """Spans of at least `size` words that stand in one passage as they stand here; together they hold every such window."""
         if not len(self.automaton):
             return []
         text = f" {' '.join(words)} "
         starts = np.cumsum([0] + [len(w) + 1 for w in words])
         reached: dict[tuple[int, int], int] = {}
-        found = []
+        found, done = [], 0  # windows before `done` have been looked up or are found
         for last, places in self.automaton.iter(text):
             end = int(np.searchsorted(starts, last))
             begin = end - self.step
+            if len(places) > FEW_PLACES:
+                for w in range(max(done, end - self.size, 0), min(begin, len(words) - self.size) + 1):
+                    window = words[w : w + self.size]
+                    if w >= done:
+                        for p, at in self.windows.get(hash(" ".join(window)), ()):
+                            if self.passages[p][at : at + self.size] == window:
+                                found.append(self._grown(words, w, w + self.size, p, at - w))
+                                done = max(done, found[-1][1] - self.size + 1)
+                        done = max(done, w + 1)
+                continue
             for p, at in places:
                 line = (p, at - begin)
                 if reached.get(line, -1) >= end:
                     continue
-                passage = self.passages[p]
-                a, b = begin, end
-                while a > 0 and a + line[1] > 0 and words[a - 1] == passage[a - 1 + line[1]]:
-                    a -= 1
-                while b < len(words) and b + line[1] < len(passage) and words[b] == passage[b + line[1]]:
-                    b += 1
+                a, b = self._grown(words, begin, end, *line)
                 reached[line] = b
                 if b - a >= self.size:
                     found.append((a, b))

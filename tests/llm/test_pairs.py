@@ -1,6 +1,7 @@
 """Near duplicates, repeated passages and decontamination against brute force."""
 
 import hashlib
+import random
 from itertools import combinations
 
 import numpy as np
@@ -258,3 +259,38 @@ def test_queries_on_the_small_tables(spark, sf_dir):
     got = queries.op10_phrases(spark, sf_dir).collect()
     assert sorted(map(tuple, got)) == [
         (i, n, k, hashlib.sha256(t.encode()).hexdigest()) for i, t, n, k in brute_repeats(rows)]
+
+
+@pytest.mark.parametrize("few", [0, 2, 8])
+def test_phrases_in_many_places(monkeypatch, few):
+    """Every window that some passage holds is covered, and no other word, however many places its phrases have."""
+    monkeypatch.setattr(phrases, "FEW_PLACES", few)
+    pick = random.Random(few)
+    for size in (5, 13):
+        common = [f"c{i}" for i in range(size)]
+        passages = []
+        for _ in range(60):
+            own = [f"w{pick.randint(0, 40)}" for _ in range(pick.randint(size, 3 * size))]
+            at = pick.randint(0, len(own))
+            passages.append(own[:at] + common[: pick.randint(size // 2, size)] + own[at:])
+        finder = phrases.PhraseFinder(passages, size)
+        known = {tuple(p[i : i + size]) for p in passages for i in range(len(p) - size + 1)}
+        for _ in range(150):
+            a, b = pick.choice(passages), pick.choice(passages)
+            run = a[pick.randint(0, 3) :] + b[: pick.randint(0, len(b))] + common
+            want = {j for i in range(len(run) - size + 1) if tuple(run[i : i + size]) in known for j in range(i, i + size)}
+            assert {j for s, e in finder.spans(run) for j in range(s, e)} == want
+
+
+def test_work_grows_with_the_records(monkeypatch):
+    """Records that share seven words, among themselves: twice as many are twice the work."""
+    steps = []
+    grown = phrases.PhraseFinder._grown
+    monkeypatch.setattr(phrases.PhraseFinder, "_grown", lambda *a: steps.append(1) or grown(*a))
+    for n in (500, 2000):
+        records = [[f"a{i}", "the", "same", "seven", "words", "in", "every", "record", *[f"b{i}x{j}" for j in range(6)]] for i in range(n)]
+        records = [r[1:] + [r[0]] for r in records]
+        finder = phrases.PhraseFinder(records, 13)
+        steps.clear()
+        assert all(set(finder.spans(r)) == {(0, len(r))} for r in records)
+        assert len(steps) <= 3 * n
