@@ -430,3 +430,31 @@ def test_a_labelled_id_counts_once(spark):
     want = [i for i in (1, 2, 3, 4) if zlib.crc32(str(i).encode()) % 5]
     assert sorted((r.doc_id, r.label) for r in got) == [(i, i % 2) for i in want]
     assert {r.text for r in got if r.doc_id == 4} <= {"four"}
+
+
+@pytest.mark.parametrize("table", ["odd", "empty", "nulls"])
+def test_pipeline_on_odd_tables(spark, tmp_path, table):
+    """Nulls in any column, empty and long texts, equal rows, repeated ids, a table of nulls only and an empty one: each stage
+    gives rows of the columns of documents, and rows it does not reject stay as they are."""
+    import corpus_pipeline
+    docs = {"odd": odd.documents(spark), "empty": odd.nothing(spark),
+            "nulls": spark.createDataFrame([(None,) * 5] * 3, odd.SCHEMA)}[table]
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, int(i in (13, 19))) for i in range(28)] + [(None, 1, 1), (3, None, None)], LABELS).write.parquet(
+        str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, odd.BENCH), (2, None), (3, "")], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    docs, left = spark.read.parquet(str(tmp_path / "documents.parquet")), {"odd": 34, "empty": 0, "nulls": 3}[table]
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        if name != "sentencepiece":
+            assert out.columns == docs.columns
+            out.write.parquet(str(tmp_path / name))
+            out = spark.read.parquet(str(tmp_path / name))
+        n = out.count()
+        assert n <= left and (n == left or name in ("toxicity", "near_duplicates", "decontamination"))
+        docs, left = out, n
+    got = docs.collect()
+    assert all(r.same for r in got) and (table == "empty") == (not got)
+    if table == "empty":
+        assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
