@@ -1,4 +1,10 @@
-"""A corpus from raw documents to token ids: five stages, each on all that the one before it kept."""
+"""A corpus from raw documents to token ids: five stages, each on all that the one before it kept.
+
+Defined results, stage by stage: a null text is an empty one for every stage and stays null where it is kept; a text without words is
+never toxic, never a near duplicate and never contaminated, so it stays; rows without a doc_id are judged by their texts, after all
+others; repeated rows are near duplicates of each other, and one of them stays; texts of any length are read whole; an empty
+table gives none, and without labels of both kinds no document is toxic.
+"""
 
 from __future__ import annotations
 
