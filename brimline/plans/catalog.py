@@ -89,6 +89,13 @@ def config_scan(spark, sf):
     return _config_text(readers.read_config(spark, path, whole_file=False))
 
 
+def config_file_scan(spark, sf):
+    """Settings as people keep them: one object over many lines."""
+    path = writers.shared_folder(spark)
+    writers.write_config(P.region_config(spark, sf), path, whole_file=True)
+    return _config_text(readers.read_config(spark, path))
+
+
 def unpivot_long(spark, sf):
     return _round(reshape.unpivot_series(_wide_flags(spark, sf)))
 
@@ -628,7 +635,7 @@ def test_fill(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     slice_ols_report,
-    csv_scan, rejected_rows, date_parse, config_scan, unpivot_long, pivot_wide, series_by_name, drop_empty_series,
+    csv_scan, rejected_rows, date_parse, config_scan, config_file_scan, unpivot_long, pivot_wide, series_by_name, drop_empty_series,
     missing_flags, fill_zero, cap_level, bad_level_count, profile,
     rain_range_sums, temp_range_mean, lags, deltas, rolling_means, rolling_std, rain_x_level, demand_lag,
     forward_fill, targets, seasonal, feature_frame, feature_frame_dirty, feature_frame_supplier, feature_frame_segments,

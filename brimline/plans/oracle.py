@@ -350,6 +350,7 @@ union all select count(*), 'rows kept', null from n where d not in (13, 17, 19,
 select o_orderkey, date_text,
   cast(try_strptime(date_text, ['%d.%m.%Y', '%d/%m/%Y', '%Y-%m-%d']) as date) as parsed from t""",
     "config_scan": f"with {CONFIG} select {CONFIG_TEXT} from config",
+    "config_file_scan": f"with {CONFIG} select {CONFIG_TEXT} from config",
     "unpivot_long": f"with {FLAG}, {WIDE}, {LONG} select date, series, {r('value')} from long",
     "pivot_wide": f"with {STATION} select date, " + ", ".join(
         f"max(case when station = 'NATION_{i}' then prcp end) as \"prcp_NATION_{i}\"" for i in range(25)

@@ -41,10 +41,18 @@ def write_wide_csv(wide: DataFrame, path: str) -> None:
      .write.mode("overwrite").option("header", True).csv(path))
 
 
-def write_config(config: DataFrame, path: str) -> None:
-    """Settings as JSON, one object per line."""
-    row = F.create_map(F.col("entity"), F.struct(*[F.col(f.name) for f in SETTINGS_SCHEMA]))
-    config.select(F.to_json(row).alias("value")).write.mode("overwrite").text(path)
+def write_config(config: DataFrame, path: str, whole_file=False) -> None:
+    """Settings as JSON, one object per line, or with `whole_file` one object over many lines for all entities.
+
+    One object is one row, so that form is for settings that fit in a task, as those that people write do.
+    """
+    settings = F.struct(*[F.col(f.name) for f in SETTINGS_SCHEMA])
+    if whole_file:
+        rows = F.array_sort(F.collect_list(F.struct(F.col("entity").alias("key"), settings.alias("value"))))
+        text = config.agg(F.to_json(F.map_from_entries(rows), {"pretty": "true"}).alias("value"))
+    else:
+        text = config.select(F.to_json(F.create_map(F.col("entity"), settings)).alias("value"))
+    text.write.mode("overwrite").text(path)
 
 
 def materialize(df: DataFrame) -> DataFrame:
