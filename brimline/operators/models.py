@@ -180,6 +180,35 @@ def add_windows(frame: DataFrame, columns, seq_lens, keys=("entity",)) -> DataFr
     return add_slopes(add_means(frame, columns, seq_lens, keys), columns, seq_lens, keys)
 
 
+def add_window_vectors(frame: DataFrame, columns, seq_lens, keys=("entity",)) -> DataFrame:
+    """For each distinct L the means and then the slopes of all columns over the last L rows, as an array `w_{L}`; NULL before row L.
+
+    The same numbers as `add_windows`, for many columns and lengths: running totals are packed into two arrays, so each length asks for two
+    earlier rows, not for two of every column.
+    """
+    order = f"over (partition by {', '.join(keys)} order by date"
+    out = frame.withColumns({"_row": F.expr(f"row_number() {order})"), **{f"_x_{c}": F.expr(
+        f"`{c}` - first(`{c}`) {order} rows between unbounded preceding and current row)") for c in columns}})
+    out = out.withColumns({name: F.expr(f"sum({value}) {order} rows unbounded preceding)") for c in columns for name, value in (
+        (f"_t_{c}", f"`_x_{c}`"), (f"_p_{c}", f"`_x_{c}` * _row"))})
+    out = out.withColumns({
+        "_t": F.array(*[f"_t_{c}" for c in columns]), "_p": F.array(*[f"_p_{c}" for c in columns]),
+        "_first": F.array(*[F.col(f"`{c}`") - F.col(f"_x_{c}") for c in columns])}).drop(*[f"_{t}_{c}" for t in "xtp" for c in columns])
+    lengths = sorted(set(seq_lens))
+    out = out.withColumns({f"_{t}{n}": F.expr(f"lag(_{t}, {n}) {order})") for t in "tp" for n in lengths})
+    none = F.array_repeat(F.lit(0.0), len(columns))
+
+    def windows(n):
+        t, p = (F.zip_with(f"_{x}", F.coalesce(f"_{x}{n}", none), lambda a, b: a - b) for x in "tp")
+        mean = F.zip_with(t, "_first", lambda a, b: a / n + b)
+        middle, spread = F.col("_row") - (n - 1) / 2, n * (n * n - 1) / 12
+        slope = F.zip_with(p, t, lambda a, b: (a - middle * b) / spread) if n > 1 else none
+        return F.when(F.col("_row") >= n, F.concat(mean, slope))
+
+    return out.withColumns({f"w_{n}": windows(n) for n in lengths}).drop(
+        "_row", "_t", "_p", "_first", *[f"_{t}{n}" for t in "tp" for n in lengths])
+
+
 def pick_windows(rows: DataFrame, columns, seq_lens, kinds=("mean", "slope")) -> DataFrame:
     """`{column}_mean` and `{column}_slope` for the sequence length of the row."""
     lengths = sorted(set(seq_lens))

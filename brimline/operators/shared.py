@@ -32,27 +32,19 @@ CELL = (f"upto int, part_of int, last_day int, lo {VECTOR}, hi {VECTOR}, plain {
         f"rows {VECTOR}, days array<int>")
 
 
-def with_vectors(frame: DataFrame, inputs, windows=(), seq_lens=(), kinds=("mean", "slope"), lengths=()) -> DataFrame:
+def with_vectors(frame: DataFrame, inputs, windows=(), seq_lens=(), kinds=("mean", "slope")) -> DataFrame:
     """Adds `x` from input columns and `wx` from `{column}_{kind}_{L}`, a vector for the sequence length of each horizon, null
-    before the first full sequence. `seq_lens` has a length for each horizon, or names an array column with the entity's own, of
-    which `lengths` are all that occur.
-    """
-    x = F.array(*[F.col(f"`{c}`").cast("double") for c in inputs])
-    return frame.withColumns({"x": x, "wx": window_vectors(windows, seq_lens, kinds, lengths)})
-
-
-def window_vectors(windows, seq_lens, kinds=("mean", "slope"), lengths=()) -> Column:
-    """A vector of window columns for the sequence length of each horizon."""
-    if not windows:
-        return F.array().cast(f"array<{VECTOR}>")
-
+    before the first full sequence."""
     def of(n: int) -> Column:
         return F.when(F.col("row_no") >= n, F.array(*[F.col(f"`{c}_{k}_{n}`") for k in kinds for c in windows]))
 
-    if not isinstance(seq_lens, str):
-        return F.array(*[of(n) for n in seq_lens])
-    picked = lambda n: reduce(lambda out, k: F.when(n == k, of(k)).otherwise(out), lengths, F.lit(None).cast(VECTOR))
-    return F.transform(seq_lens, picked)
+    x = F.array(*[F.col(f"`{c}`").cast("double") for c in inputs])
+    return frame.withColumns({"x": x, "wx": F.array(*[of(n) for n in seq_lens]) if windows else F.array().cast(f"array<{VECTOR}>")})
+
+
+def of_length(n: Column, lengths, vector) -> Column:
+    """The vector for length n among those of all lengths that occur."""
+    return reduce(lambda out, k: F.when(n == k, vector(k)).otherwise(out), lengths, F.lit(None).cast(VECTOR))
 
 
 def _specs(folds: DataFrame, keys) -> DataFrame:

@@ -70,11 +70,12 @@ def filled(long: DataFrame, columns, empty_as=None) -> DataFrame:
     return out.withColumns({c: F.when(F.count(c).over(whole) == 0, F.lit(empty_as)).otherwise(F.col(c)) for c in columns})
 
 
-def in_order(long: DataFrame, columns: dict[str, list]) -> DataFrame:
-    """(entity, date) with an array for each name: the given expressions of each numbered row, one position after the other.
+def in_order(long: DataFrame, vectors: dict) -> DataFrame:
+    """(entity, date) with an array for each name: the given array of each numbered row, one position after the other.
 
-    An array is as long as the entity has rows on a date, so entities with many series add nothing to those with few.
+    An array is as long as the entity has rows on a date, so entities with many series add nothing to those with few. Where the rows
+    have no array, there is none.
     """
-    rows = F.array_sort(F.collect_list(F.struct("position", *[F.array(*c).alias(n) for n, c in columns.items()])))
+    rows = F.array_sort(F.collect_list(F.struct("position", *[c.alias(n) for n, c in vectors.items()])))
     return long.groupBy("entity", "date").agg(rows.alias("_rows")).select(
-        "entity", "date", *[F.flatten(F.col(f"_rows.{n}")).alias(n) for n in columns])
+        "entity", "date", *[F.flatten(F.col(f"_rows.{n}")).alias(n) for n in vectors])

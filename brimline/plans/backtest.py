@@ -80,21 +80,20 @@ def with_inputs(frame, sides, inputs, lengths) -> DataFrame:
     frame has numbered rows with settings; `sides` are pairs of (table of numbered series, its columns). Windows run over the rows of the
     frame, within each series of an entity.
     """
-    frame = shared.with_vectors(models.add_windows(frame, inputs, lengths), inputs, inputs, "seq_lens", lengths=lengths)
-    frame = frame.drop(*[f"{c}_{k}_{n}" for c in inputs for k in ("mean", "slope") for n in lengths])
-    keys, days = ("entity", "position"), frame.select("entity", "date", "row_no")
-    frame = frame.withColumns({"own": F.array().cast("array<double>"), "own_wx": F.transform("wx", lambda w: F.array().cast("array<double>"))})
+    empty, of = F.array().cast("array<double>"), [f"w_{n}" for n in lengths]
+    picked = F.transform("seq_lens", lambda n: shared.of_length(n, lengths, lambda k: F.col(f"w_{k}")))
+    frame = models.add_window_vectors(frame, inputs, lengths).withColumns({
+        "x": F.array(*[F.col(c).cast("double") for c in inputs]), "wx": picked, "own": empty,
+        "own_wx": F.transform("seq_lens", lambda n: F.array().cast("array<double>"))}).drop(*of)
+    days = frame.select("entity", "date")
     for side, columns in sides:
-        long = models.add_windows(side.join(days, ["entity", "date"]), columns, lengths, keys)
-        of = {"_x": list(columns)} | {f"_w{n}": [f"{c}_{k}_{n}" for k in ("mean", "slope") for c in columns] for n in lengths}
-        packed = S.in_order(long, of)
+        long = models.add_window_vectors(side.join(days, ["entity", "date"]), columns, lengths, ("entity", "position"))
+        packed = S.in_order(long, {"_x": F.array(*columns)} | {w: F.col(w) for w in of})
         frame = frame.join(packed, ["entity", "date"], "left")
-        picked = lambda n, i: reduce(lambda out, k: F.when((n == k), F.col(f"_w{k}")).otherwise(out), lengths,
-                                     F.lit(None).cast("array<double>"))
-        more = F.transform("seq_lens", lambda n, i: F.coalesce(picked(n, i), F.array().cast("array<double>")))
+        more = F.transform(picked, lambda w: F.coalesce(w, empty))
         frame = frame.withColumns({
-            "own": F.concat("own", F.coalesce("_x", F.array().cast("array<double>"))),
-            "own_wx": F.zip_with("own_wx", more, lambda a, b: F.concat(a, b))}).drop(*of)
+            "own": F.concat("own", F.coalesce("_x", empty)),
+            "own_wx": F.zip_with("own_wx", more, lambda a, b: F.concat(a, b))}).drop("_x", *of)
     return frame
 
 

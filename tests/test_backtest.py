@@ -297,6 +297,17 @@ def test_slopes_equal_a_fitted_line(spark, offset):
                 np.testing.assert_allclose(g[f"{c}_slope_{n}"].iloc[n - 1 :], want, atol=1e-7 if offset else 1e-9)
 
 
+def test_window_vectors_equal_window_columns(spark):
+    df = to_spark(spark, random_panel(entities=2, days=300, gaps=0.2, nulls=0.0)).withColumn("level", F.col("level") + 1e6)
+    names, lengths = ["level", "rain", "demand"], [1, 5, 40]
+    both = models.add_window_vectors(models.add_windows(df, names, lengths), names, lengths).toPandas()
+    for n in lengths:
+        want = both[[f"{c}_{k}_{n}" for k in ("mean", "slope") for c in names]].to_numpy()
+        there = ~np.isnan(want).any(1)
+        assert (both[f"w_{n}"].notna() == there).all() and (~there).sum() == 2 * (n - 1)
+        np.testing.assert_allclose(np.stack(both[f"w_{n}"][there]), want[there], rtol=1e-9, atol=1e-7)
+
+
 def test_windows_of_the_row_s_own_length(frame):
     rows = models.pick_windows(backtest.roles(models.add_windows(splits.number_rows(frame), ["lag_7"], [30, 60, 90])),
                                ["lag_7"], [30, 60, 90])
