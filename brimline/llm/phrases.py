@@ -28,7 +28,7 @@ from brimline.llm import blocks as B, text as X
 
 WINDOW = 13
 #: Places of a phrase that a hit is compared with one by one.
-FEW_PLACES = 8
+FEW_PLACES = 32
 #: Blocks whose runs of one passage meet in one task.
 SENDERS = 64
 
@@ -170,22 +170,33 @@ class PhraseFinder:
                     self.automaton.get(phrase).append((p, at))
                 else:
                     self.automaton.add_word(phrase, [(p, at)])
-        self.windows: dict[int, list[tuple[int, int]]] = {}
         if len(self.automaton):
             self.automaton.make_automaton()
-            for places in self.automaton.values():
-                if len(places) > FEW_PLACES:
-                    for p, at in places:
-                        self._know(p, at)
-
-    def _know(self, p: int, at: int) -> None:
-        """Notes the windows of a passage that hold the phrase at a place, each unless an equal one is known."""
-        words = self.passages[p]
-        for w in range(max(0, at + self.step - self.size), min(at, len(words) - self.size) + 1):
-            window = words[w : w + self.size]
-            held = self.windows.setdefault(hash(" ".join(window)), [])
-            if all(self.passages[q][v : v + self.size] != window for q, v in held):
-                held.append((p, w))
+        #: Places of windows by their hash, or the next free number after it; and the phrases whose windows are there.
+        self.windows: dict[int, int] = {}
+        self.known: set[int] = set()
+
+    def _know(self, places: list[tuple[int, int]]) -> None:
+        """Notes the windows that hold a common phrase, each unless an equal one is known; done when the phrase is first hit."""
+        if id(places) in self.known:
+            return
+        self.known.add(id(places))
+        for p, at in places:
+            words = self.passages[p]
+            for w in range(max(0, at + self.step - self.size), min(at, len(words) - self.size) + 1):
+                key, there = self._find(words[w : w + self.size])
+                if not there:
+                    self.windows[key] = p << 32 | w
+
+    def _find(self, window: list[str]) -> tuple[int, bool]:
+        """The number under which a window stands, or would."""
+        key = hash(" ".join(window))
+        while (place := self.windows.get(key)) is not None:
+            p, w = place >> 32, place & 0xFFFFFFFF
+            if self.passages[p][w : w + self.size] == window:
+                return key, True
+            key += 1
+        return key, False
 
     def _grown(self, words: list[str], a: int, b: int, p: int, shift: int) -> tuple[int, int]:
         """The longest span around words[a:b] that stands in the passage as it stands here, `shift` words further on."""
@@ -203,19 +214,21 @@ class PhraseFinder:
         text = f" {' '.join(words)} "
         starts = np.cumsum([0] + [len(w) + 1 for w in words])
         reached: dict[tuple[int, int], int] = {}
-        found, done = [], 0  # windows before `done` have been looked up or are found
+        found, held = [], bytearray(len(words))  # windows that a span found in this way has
         for last, places in self.automaton.iter(text):
             end = int(np.searchsorted(starts, last))
             begin = end - self.step
             if len(places) > FEW_PLACES:
-                for w in range(max(done, end - self.size, 0), min(begin, len(words) - self.size) + 1):
-                    window = words[w : w + self.size]
-                    if w >= done:
-                        for p, at in self.windows.get(hash(" ".join(window)), ()):
-                            if self.passages[p][at : at + self.size] == window:
-                                found.append(self._grown(words, w, w + self.size, p, at - w))
-                                done = max(done, found[-1][1] - self.size + 1)
-                        done = max(done, w + 1)
+                self._know(places)
+                for w in range(max(0, end - self.size), min(begin, len(words) - self.size) + 1):
+                    if held[w]:
+                        continue
+                    key, there = self._find(words[w : w + self.size])
+                    if there:
+                        p, at = self.windows[key] >> 32, self.windows[key] & 0xFFFFFFFF
+                        a, b = self._grown(words, w, w + self.size, p, at - w)
+                        found.append((a, b))
+                        held[a : b - self.size + 1] = b"\1" * (b - self.size + 1 - a)
                 continue
             for p, at in places:
                 line = (p, at - begin)
